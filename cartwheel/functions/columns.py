@@ -26,6 +26,15 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Round half away from zero, as the decimal number that the value stands for.
+
+    A binary quotient can lie a hair below the half it means, as 886731.09 / 6 does;
+    eight decimals are kept before rounding, which takes such a hair away.
+    """
+    return F.round(value.cast("decimal(28,8)"), digits).cast("double")
+
+
 # --- dates ---------------------------------------------------------------
 
 def days_between(later: Column, earlier: Column) -> Column:

@@ -16,6 +16,7 @@ from cartwheel.functions.columns import differs, version_id
 from cartwheel.session import broadcast_if_small, keep
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
+OPEN_FLAG = "is_open"  # 1 or 0; partitions a stored history
 
 
 class DuplicateKey(ValueError):
@@ -70,7 +71,7 @@ def scd2_apply(history: DataFrame, current: DataFrame, key: str, check_cols: lis
     tracked = current.columns
     now = F.lit(run_ts).cast("timestamp")
     # a stored history is partitioned by this flag, so each side reads its own folder
-    is_open = (F.col("is_current") if "is_current" in history.columns
+    is_open = (F.col(OPEN_FLAG) == 1 if OPEN_FLAG in history.columns
                else F.col("dbt_valid_to").isNull())
     o = history.where(is_open).select(F.struct(*tracked, *META).alias("o"))
     c = current.select(F.struct(*tracked).alias("c"))
@@ -185,10 +186,6 @@ def write_history(history: DataFrame, base: str, run_ts: datetime) -> str:
     open ones.
     """
     path = f"{base}/{run_ts:%Y%m%dT%H%M%S%f}"
-    (history.withColumn("is_current", F.col("dbt_valid_to").isNull())
-            .write.mode("overwrite").partitionBy("is_current").parquet(path))
+    (history.withColumn(OPEN_FLAG, F.col("dbt_valid_to").isNull().cast("int"))
+            .write.mode("overwrite").partitionBy(OPEN_FLAG).parquet(path))
     return path
-
-
-def read_history(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -89,16 +89,25 @@ def _slot_at(sizes: list, position: int) -> int:
 
 
 def _bucket(spec: Ntile, ends: list) -> Column:
-    """1 plus the number of bucket ends that a row comes after.
-
-    Structs compare field by field with NULL as the smallest value, which is also
-    where NULL stands in the sort.
-    """
-    key, tie = F.struct(F.col(spec.order)), F.struct(F.col(spec.tie))
+    """1 plus the number of bucket ends that a row comes after."""
+    key, tie = F.col(spec.order), F.col(spec.tie)
     bucket = F.lit(1)
     for end_key, end_tie in ends:
-        cut, cut_tie = F.struct(F.lit(end_key)), F.struct(F.lit(end_tie))
-        behind = key < cut if spec.descending else key > cut
-        after = behind | ((key == cut) & (tie > cut_tie))
+        behind = _before(key, end_key) if spec.descending else _after(key, end_key)
+        after = behind | (key.eqNullSafe(F.lit(end_key)) & _after(tie, end_tie))
         bucket = bucket + after.cast("int")
     return bucket
+
+
+def _after(column: Column, value) -> Column:
+    """Greater than the value, with NULL as the smallest one."""
+    if value is None:
+        return column.isNotNull()
+    return F.coalesce(column > F.lit(value), F.lit(False))
+
+
+def _before(column: Column, value) -> Column:
+    """Less than the value, with NULL as the smallest one."""
+    if value is None:
+        return F.lit(False)
+    return F.coalesce(column < F.lit(value), F.lit(True))

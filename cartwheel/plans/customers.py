@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import (
-    money_avg, money_sum, month_start, months_between_starts, ratio,
+    money_avg, money_sum, month_start, months_between_starts, ratio, rounded,
 )
 from cartwheel.operators.ranking import Ntile, global_ntile
 from cartwheel.plans.orders import delivered_orders, review_totals
@@ -75,7 +75,7 @@ def customer_reviews(orders_enriched: DataFrame, reviews: DataFrame) -> DataFram
     return (
         orders_enriched.select("order_id", "customer_unique_id").join(scored, "order_id")
         .groupBy("customer_unique_id")
-        .agg(F.round(ratio(F.sum("score_sum"), F.sum("scored")), 2).alias("avg_review_score"),
+        .agg(rounded(ratio(F.sum("score_sum"), F.sum("scored")), 2).alias("avg_review_score"),
              F.sum("scored").alias("reviews_count"))
     )
 
@@ -93,8 +93,8 @@ def mart_customers(lifetime: DataFrame, orders_enriched: DataFrame,
         .select(
             "customer_unique_id", "first_order_date", "last_order_date", "customer_age_days",
             "days_since_last_order", "total_orders",
-            F.coalesce(F.round("ltv_brl", 2), F.lit(0.0)).alias("ltv_brl"),
-            F.round("avg_order_value_brl", 2).alias("avg_order_value_brl"),
+            F.coalesce(rounded(F.col("ltv_brl"), 2), F.lit(0.0)).alias("ltv_brl"),
+            rounded(F.col("avg_order_value_brl"), 2).alias("avg_order_value_brl"),
             "r_score", "f_score", "m_score", (r + f + m).alias("rfm_total"),
             rfm_segment(r, f, m).alias("rfm_segment"),
             "avg_review_score", "reviews_count",
@@ -129,7 +129,7 @@ def mart_cohorts(orders_enriched: DataFrame, max_offset: int = 12) -> DataFrame:
     return (
         retained.withColumn("cohort_size", size)
         .select("cohort_month", "months_since_first_order", "cohort_size", "retained_customers",
-                F.round(rate, 2).alias("retention_rate_pct"))
+                rounded(rate, 2).alias("retention_rate_pct"))
         .orderBy("cohort_month", "months_since_first_order")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import days_between, money_sum, ratio
+from cartwheel.functions.columns import days_between, money_sum, ratio, rounded
 
 DELIVERED = "delivered"
 
@@ -102,7 +102,7 @@ def mart_sales(orders_enriched: DataFrame, items_enriched: DataFrame,
     """Sales fact, one row per delivered order; items and reviews are summed up first."""
     ratings = review_totals(reviews).select(
         "order_id", "review_count",
-        F.round(ratio(F.col("score_sum"), F.col("scored")), 1).alias("review_score"))
+        rounded(ratio(F.col("score_sum"), F.col("scored")), 1).alias("review_score"))
     return (
         delivered_orders(orders_enriched)
         .join(item_totals(items_enriched), "order_id", "left")

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import ratio, shorten, version_label
+from cartwheel.functions.columns import ratio, rounded, shorten, version_label
 
 # Rows of the rankings, versions a product needs, widths of names.
 GALLERY_ROWS = 30
@@ -39,8 +39,8 @@ def mart_price_history(history: DataFrame, as_of: date) -> DataFrame:
     )
     return versions.select(
         "*",
-        F.round(price - base, 2).alias("price_delta_ars"),
-        F.round(ratio((price - base) * 100, base), 2).alias("price_change_pct"),
+        rounded(price - base, 2).alias("price_delta_ars"),
+        rounded(ratio((price - base) * 100, base), 2).alias("price_change_pct"),
         F.when(previous.isNull(), "first_record")
          .when(price > previous, "increase")
          .when(price < previous, "decrease")
@@ -59,7 +59,7 @@ def price_listing(prices: DataFrame) -> DataFrame:
 def _growth(name: str) -> Column:
     """Highest over lowest price in percent; NULL where the lowest is zero."""
     low, high = F.min("price_ars"), F.max("price_ars")
-    return F.round(ratio((high - low) * 100, low), 1).alias(name)
+    return rounded(ratio((high - low) * 100, low), 1).alias(name)
 
 
 def price_ranking(prices: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def price_drops(prices: DataFrame, directional: bool = False) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("price_versions"),
              high.alias("peak_price"),
              now.alias("current_price"),
-             F.round(ratio((now - high) * 100, high), 1).alias("drop_pct"))
+             rounded(ratio((now - high) * 100, high), 1).alias("drop_pct"))
         .where((F.col("price_versions") >= MIN_VERSIONS)
                & (F.col("current_price") < F.col("peak_price")))
         .withColumn("short_name", F.substring("product_name", 1, DROP_NAME_WIDTH))

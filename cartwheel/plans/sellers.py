@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import money_avg, money_sum, ratio
+from cartwheel.functions.columns import money_avg, money_sum, ratio, rounded
 from cartwheel.plans.orders import delivered_orders, review_totals
 
 
@@ -15,8 +15,8 @@ def seller_sales(items_enriched: DataFrame) -> DataFrame:
     return items_enriched.groupBy("seller_id").agg(
         F.count_distinct("product_id").alias("unique_products"),
         F.count_distinct("category_name_en").alias("categories_count"),
-        F.round(money_sum(price), 2).alias("total_revenue_brl"),
-        F.round(money_avg(price), 2).alias("avg_item_price_brl"),
+        rounded(money_sum(price), 2).alias("total_revenue_brl"),
+        rounded(money_avg(price), 2).alias("avg_item_price_brl"),
     )
 
 
@@ -41,11 +41,11 @@ def seller_service(items_enriched: DataFrame, orders_enriched: DataFrame,
     reviewed = F.sum(items * F.col("scored"))
     return per_order.groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),
-        F.round(ratio(F.sum(items * days), F.sum(F.when(days.isNotNull(), items))), 1)
+        rounded(ratio(F.sum(items * days), F.sum(F.when(days.isNotNull(), items))), 1)
          .alias("avg_delivery_days"),
-        F.round(ratio(F.coalesce(F.sum(F.when(on_time, items)), F.lit(0)) * 100, timed), 2)
+        rounded(ratio(F.coalesce(F.sum(F.when(on_time, items)), F.lit(0)) * 100, timed), 2)
          .alias("on_time_delivery_rate_pct"),
-        F.round(ratio(F.sum(items * F.col("score_sum")), reviewed), 2).alias("avg_review_score"),
+        rounded(ratio(F.sum(items * F.col("score_sum")), reviewed), 2).alias("avg_review_score"),
         reviewed.alias("reviews_count"),
     )
 

@@ -346,7 +346,7 @@ def _(t: Inputs) -> DataFrame:
 def _(t: Inputs) -> DataFrame:
     return orders.review_totals(t.stg_reviews()).select(
         "order_id", "review_count",
-        F.round(C.ratio(F.col("score_sum"), F.col("scored")), 1).alias("review_score"))
+        C.rounded(C.ratio(F.col("score_sum"), F.col("scored")), 1).alias("review_score"))
 
 
 @query("a8_reviews_per_customer")
@@ -428,8 +428,8 @@ def _(t: Inputs) -> DataFrame:
         run_ts = datetime(2024, 1, day)
         applied = H.snapshot_apply(H.SNAP_SELLERS, history, run, run_ts)
         path = H.write_history(applied, scratch_path(t.spark, "sellers"), run_ts)
-        history = H.read_history(t.spark, path)
-    return history.drop("is_current")
+        history = t.spark.read.parquet(path)
+    return history.drop(H.OPEN_FLAG)
 
 
 @query("h4_history_rebuild")
@@ -491,7 +491,7 @@ def _(t: Inputs) -> DataFrame:
 def _(t: Inputs) -> DataFrame:
     """The deviation is rounded, as its last digits depend on the order of the rows."""
     return t.features().withColumn(
-        "stddev_order_value_brl", F.round("stddev_order_value_brl", 4))
+        "stddev_order_value_brl", C.rounded(F.col("stddev_order_value_brl"), 4))
 
 
 @query("m9_mart_price_history")
@@ -550,7 +550,7 @@ def _(t: Inputs) -> DataFrame:
 @query("q6_retention_rate_valid")
 def _(t: Inputs) -> DataFrame:
     """On cohorts whose rate was computed with an offset of -3 and a factor of 2."""
-    wrong = F.round((F.col("retention_rate_pct") - 3) * 2, 2)
+    wrong = C.rounded((F.col("retention_rate_pct") - 3) * 2, 2)
     return Q.retention_out_of_range(t.mart_cohorts().withColumn("retention_rate_pct", wrong))
 
 
