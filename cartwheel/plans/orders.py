@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import days_between, money_sum, ratio, rounded
@@ -10,8 +10,25 @@ from cartwheel.functions.columns import days_between, money_sum, ratio, rounded
 DELIVERED = "delivered"
 
 
-def delivered_orders(orders_enriched: DataFrame) -> DataFrame:
-    return orders_enriched.where(F.col("order_status") == DELIVERED)
+def delivered_orders(orders: DataFrame) -> DataFrame:
+    """Works on staged and on enriched orders."""
+    return orders.where(F.col("order_status") == DELIVERED)
+
+
+def delivery_measures() -> list[Column]:
+    """Days to delivery, estimated days, and whether the order came in time.
+
+    It is on time up to the estimate, NULL while not delivered, and late when
+    delivered without an estimate.
+    """
+    bought, delivered, estimated = (
+        F.col(c) for c in ("purchased_at", "delivered_to_customer_at", "estimated_delivery_at"))
+    return [
+        days_between(delivered, bought).alias("actual_delivery_days"),
+        days_between(estimated, bought).alias("estimated_delivery_days"),
+        F.when(delivered.isNotNull(), F.coalesce(delivered <= estimated, F.lit(False)))
+         .alias("is_on_time"),
+    ]
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
@@ -53,14 +70,11 @@ def review_totals(reviews: DataFrame) -> DataFrame:
 def orders_enriched(orders: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders with their customer, payment totals and delivery measures.
 
-    An order without payments has a total of 0 and no payment count. It is on time
-    up to the estimate, NULL while not delivered, and late when delivered without
-    an estimate.
+    An order without payments has a total of 0 and no payment count.
     """
     who = customers.select(
         "customer_id", "customer_unique_id",
         F.col("city").alias("customer_city"), F.col("state").alias("customer_state"))
-    delivered, estimated = F.col("delivered_to_customer_at"), F.col("estimated_delivery_at")
     return (
         orders.join(who, "customer_id", "left")
         .join(payment_totals(payments), "order_id", "left")
@@ -70,10 +84,7 @@ def orders_enriched(orders: DataFrame, customers: DataFrame, payments: DataFrame
             "estimated_delivery_at", "customer_city", "customer_state",
             F.coalesce("total_payment_brl", F.lit(0.0)).alias("total_payment_brl"),
             "payment_count", "primary_payment_type",
-            days_between(delivered, F.col("purchased_at")).alias("actual_delivery_days"),
-            days_between(estimated, F.col("purchased_at")).alias("estimated_delivery_days"),
-            F.when(delivered.isNotNull(), F.coalesce(delivered <= estimated, F.lit(False)))
-             .alias("is_on_time"),
+            *delivery_measures(),
             F.to_date("purchased_at").alias("order_date"),
         )
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import money_avg, money_sum, ratio, rounded
-from cartwheel.plans.orders import delivered_orders, review_totals
+from cartwheel.plans.orders import delivered_orders, delivery_measures, review_totals
 
 
 def seller_sales(items_enriched: DataFrame) -> DataFrame:
@@ -20,44 +20,46 @@ def seller_sales(items_enriched: DataFrame) -> DataFrame:
     )
 
 
-def seller_service(items_enriched: DataFrame, orders_enriched: DataFrame,
-                   reviews: DataFrame) -> DataFrame:
-    """Orders, delivery and reviews per seller.
+def seller_service(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Orders, delivery and reviews per seller, from staged items and orders.
 
     An order counts once per item of the seller, for its delivery as for its
     reviews. Items are therefore counted per seller and order first, and the
     count weighs the order's delivery days and review sums: no item meets a
     review row.
     """
-    lines = items_enriched.groupBy("seller_id", "order_id").agg(F.count(F.lit(1)).alias("items"))
-    delivery = delivered_orders(orders_enriched).select(
-        "order_id", "actual_delivery_days", "is_on_time")
+    lines = items.groupBy("seller_id", "order_id").agg(F.count(F.lit(1)).alias("items"))
+    delivery = delivered_orders(orders).select("order_id", *delivery_measures()).drop(
+        "estimated_delivery_days")
     per_order = (
         lines.join(delivery, "order_id", "left")
         .join(review_totals(reviews), "order_id", "left")
     )
-    items, days, on_time = F.col("items"), F.col("actual_delivery_days"), F.col("is_on_time")
-    timed = F.nullif(F.sum(F.when(on_time.isNotNull(), items)), F.lit(0))
-    reviewed = F.sum(items * F.col("scored"))
+    n, days, on_time = F.col("items"), F.col("actual_delivery_days"), F.col("is_on_time")
+    timed = F.nullif(F.sum(F.when(on_time.isNotNull(), n)), F.lit(0))
+    reviewed = F.sum(n * F.col("scored"))
     return per_order.groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),
-        rounded(ratio(F.sum(items * days), F.sum(F.when(days.isNotNull(), items))), 1)
+        rounded(ratio(F.sum(n * days), F.sum(F.when(days.isNotNull(), n))), 1)
          .alias("avg_delivery_days"),
-        rounded(ratio(F.coalesce(F.sum(F.when(on_time, items)), F.lit(0)) * 100, timed), 2)
+        rounded(ratio(F.coalesce(F.sum(F.when(on_time, n)), F.lit(0)) * 100, timed), 2)
          .alias("on_time_delivery_rate_pct"),
-        rounded(ratio(F.sum(items * F.col("score_sum")), reviewed), 2).alias("avg_review_score"),
+        rounded(ratio(F.sum(n * F.col("score_sum")), reviewed), 2).alias("avg_review_score"),
         reviewed.alias("reviews_count"),
     )
 
 
-def mart_sellers(sellers: DataFrame, items_enriched: DataFrame, orders_enriched: DataFrame,
-                 reviews: DataFrame) -> DataFrame:
-    """One row per seller with at least one item."""
+def mart_sellers(sellers: DataFrame, items: DataFrame, items_enriched: DataFrame,
+                 orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """One row per seller with at least one item.
+
+    Only the categories need enriched items; the rest reads staged tables.
+    """
     return (
         sellers.select("seller_id", F.col("city").alias("seller_city"),
                        F.col("state").alias("seller_state"))
         .join(seller_sales(items_enriched), "seller_id")
-        .join(seller_service(items_enriched, orders_enriched, reviews), "seller_id", "left")
+        .join(seller_service(items, orders, reviews), "seller_id", "left")
         .select(
             "seller_id", "seller_city", "seller_state", "total_orders", "unique_products",
             "categories_count", "total_revenue_brl", "avg_item_price_brl", "avg_delivery_days",

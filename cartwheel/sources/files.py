@@ -58,6 +58,7 @@ def read_jsonl_table(spark: SparkSession, path: str | list[str],
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     (df.write.mode(mode).option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
 

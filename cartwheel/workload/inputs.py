@@ -47,8 +47,9 @@ class Inputs:
         return self.source("orders").select(
             F.col("o_orderkey").cast("string").alias("order_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
-            F.when(status == "F", "delivered").when(status == "O", "shipped")
-             .when(status == "P", "processing").alias("order_status"),
+            F.when(status == "F", "delivered").otherwise(
+                F.when(status == "O", "shipped").otherwise(F.when(status == "P", "processing")))
+             .alias("order_status"),
             bought.alias("order_purchase_timestamp"),
             F.when(status != "P", after(F.lit(1))).alias("order_approved_at"),
             F.when(status != "P", after(F.lit(3))).alias("order_delivered_carrier_date"),
@@ -322,8 +323,9 @@ class Inputs:
         return customers.mart_cohorts(self.orders_enriched())
 
     def mart_sellers(self) -> DataFrame:
-        return sellers.mart_sellers(self.stg_sellers(), self.items_enriched(),
-                                    self.orders_enriched(), self.stg_reviews())
+        return sellers.mart_sellers(self.stg_sellers(), self.stg_order_items(),
+                                    self.items_enriched(), self.stg_orders(),
+                                    self.stg_reviews())
 
     def features(self) -> DataFrame:
         return customers.mart_customer_features(self.sales(), self.stg_reviews(), ORDERS_AS_OF)

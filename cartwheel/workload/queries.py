@@ -361,7 +361,7 @@ def _(t: Inputs) -> DataFrame:
 
 @query("a11_seller_service")
 def _(t: Inputs) -> DataFrame:
-    return sellers.seller_service(t.items_enriched(), t.orders_enriched(), t.stg_reviews())
+    return sellers.seller_service(t.stg_order_items(), t.stg_orders(), t.stg_reviews())
 
 
 @query("a16_daily_volumes")
