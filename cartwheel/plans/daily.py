@@ -10,6 +10,7 @@ from cartwheel.operators import history as H
 from cartwheel.operators import quality as Q
 from cartwheel.operators import staging as S
 from cartwheel.plans import calendar, customers, orders, prices, sellers
+from cartwheel.session import tune
 from cartwheel.sources.catalog import Tables
 
 
@@ -33,7 +34,7 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
     orders and items are stored, as several marts read them. Returns the paths of
     the histories, to be given to the next run, and the report on the marts.
     """
-    spark = tables.spark
+    spark = tune(tables.spark)
     histories = histories or {}
     raw = {name: tables.table(name) for name in (
         "orders", "order_items", "order_payments", "customers", "sellers", "products", "reviews",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,3 +129,28 @@ def mart_sales(orders_enriched: DataFrame, items_enriched: DataFrame,
             "review_count", "primary_payment_type",
         )
     )
+
+
+def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
+                  items: DataFrame, products: DataFrame, categories: DataFrame,
+                  reviews: DataFrame) -> Callable[[date, date | None], DataFrame]:
+    """The sales fact of a range of order dates, from staged tables.
+
+    Orders are cut to the range first and every other table to those orders, so
+    products are looked up, and payments and reviews summed, for the range alone.
+    """
+    def build(start: date, end: date | None = None) -> DataFrame:
+        day = F.to_date("purchased_at")
+        cut = delivered_orders(orders).where(day >= F.lit(start))
+        if end is not None:
+            cut = cut.where(day <= F.lit(end))
+        ids = cut.select("order_id")
+
+        def of_range(table: DataFrame) -> DataFrame:
+            return table.join(ids, "order_id", "left_semi")
+
+        return mart_sales(
+            orders_enriched(cut, customers, of_range(payments)),
+            order_items_enriched(of_range(items), products, categories),
+            of_range(reviews))
+    return build

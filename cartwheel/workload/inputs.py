@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators import history as H
 from cartwheel.operators import staging as S
 from cartwheel.plans import calendar, customers, orders, prices, sellers
+from cartwheel.session import tune
 
 RUN_TS = datetime(2024, 1, 31)
 ORDERS_AS_OF = date(2001, 8, 2)
@@ -29,7 +30,7 @@ class Inputs:
     """Raw tables, staging models and marts over one folder of test tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.folder = folder
 
     def source(self, name: str) -> DataFrame:

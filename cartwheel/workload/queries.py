@@ -757,17 +757,10 @@ def _(t: Inputs) -> DataFrame:
 # --- incremental load and backfill ----------------------------------------
 
 def _sales_builder(t: Inputs, payments: DataFrame | None = None) -> I.Build:
-    """The sales fact of a range of order dates; orders are cut before any join."""
-    def build(start: date, end: date | None) -> DataFrame:
-        staged = t.stg_orders()
-        day = F.to_date("purchased_at")
-        cut = staged.where(day >= F.lit(start))
-        if end is not None:
-            cut = cut.where(day <= F.lit(end))
-        paid = t.stg_order_payments() if payments is None else payments
-        enriched = orders.orders_enriched(cut, t.stg_customers(), paid)
-        return orders.mart_sales(enriched, t.items_enriched(), t.stg_reviews())
-    return build
+    return orders.sales_builder(
+        t.stg_orders(), t.stg_customers(),
+        t.stg_order_payments() if payments is None else payments,
+        t.stg_order_items(), t.stg_products(), t.stg_product_categories(), t.stg_reviews())
 
 
 def _stored_sales(t: Inputs, path: str) -> DataFrame:
