@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ DATE_COLUMN = "order_date"
 MONTH_COLUMN = "order_month"
 CLUSTER_BY = ("primary_category", "customer_state")
 
-Build = Callable[[date, date | None], DataFrame]
+Build = Callable[[date | None, date | None], DataFrame]
 
 
 def write_partitioned(df: DataFrame, path: str, key: str = "order_id",
@@ -51,8 +52,13 @@ def read_range(spark: SparkSession, path: str, start: date, end: date | None = N
 
 
 def last_date(spark: SparkSession, path: str) -> date | None:
-    """The latest order date, read from the last month alone."""
-    table = spark.read.parquet(path)
+    """The latest order date, read from the last month alone; None for no rows or no table."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
     last_month = table.agg(F.max(MONTH_COLUMN)).first()[0]
     if last_month is None:
         return None
@@ -62,13 +68,14 @@ def last_date(spark: SparkSession, path: str) -> date | None:
 def incremental_refresh(spark: SparkSession, build: Build, path: str) -> None:
     """Recompute from the last stored order date on.
 
-    ``build(start, end)`` gives the mart for a range of order dates. The range is
+    ``build(start, end)`` gives the mart for a range of order dates, None being an
+    open side; a target without rows is built whole. The range is
     widened to the whole month, as a month is replaced as a whole: no row is
     doubled, none of the month is lost.
     """
     latest = last_date(spark, path)
     if latest is None:
-        write_partitioned(build(date.min, None), path)
+        write_partitioned(build(None, None), path)
         return
     write_partitioned(build(latest.replace(day=1), None), path, dynamic=True)
 

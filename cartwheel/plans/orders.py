@@ -133,15 +133,21 @@ def mart_sales(orders_enriched: DataFrame, items_enriched: DataFrame,
 
 def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
                   items: DataFrame, products: DataFrame, categories: DataFrame,
-                  reviews: DataFrame) -> Callable[[date, date | None], DataFrame]:
+                  reviews: DataFrame) -> Callable[[date | None, date | None], DataFrame]:
     """The sales fact of a range of order dates, from staged tables.
 
     Orders are cut to the range first and every other table to those orders, so
     products are looked up, and payments and reviews summed, for the range alone.
     """
-    def build(start: date, end: date | None = None) -> DataFrame:
+    def build(start: date | None = None, end: date | None = None) -> DataFrame:
+        if start is None and end is None:
+            return mart_sales(
+                orders_enriched(orders, customers, payments),
+                order_items_enriched(items, products, categories), reviews)
         day = F.to_date("purchased_at")
-        cut = delivered_orders(orders).where(day >= F.lit(start))
+        cut = delivered_orders(orders)
+        if start is not None:
+            cut = cut.where(day >= F.lit(start))
         if end is not None:
             cut = cut.where(day <= F.lit(end))
         ids = cut.select("order_id")
