@@ -47,12 +47,11 @@ def active_customers(customers: DataFrame, as_of: date) -> DataFrame:
 
 def rfm_scores(lifetime: DataFrame) -> DataFrame:
     """Recency, frequency and money quartiles over all customers; equal values by id."""
-    tie = "customer_unique_id"
     return global_ntile(
-        lifetime,
-        Ntile("r_score", "days_since_last_order", tie, descending=True),
-        Ntile("f_score", "total_orders", tie),
-        Ntile("m_score", "ltv_brl", tie),
+        lifetime, "customer_unique_id",
+        Ntile("r_score", "days_since_last_order", descending=True),
+        Ntile("f_score", "total_orders"),
+        Ntile("m_score", "ltv_brl"),
     )
 
 

@@ -10,7 +10,7 @@ from cartwheel.operators import history as H
 from cartwheel.operators import quality as Q
 from cartwheel.operators import staging as S
 from cartwheel.plans import calendar, customers, orders, prices, sellers
-from cartwheel.session import tune
+from cartwheel.session import in_parallel, tune
 from cartwheel.sources.catalog import Tables
 
 
@@ -31,8 +31,9 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
 
     Histories come first, then staging; the raw tables must pass their checks
     before any mart is built, and the marts theirs before this returns. Enriched
-    orders and items are stored, as several marts read them. Returns the paths of
-    the histories, to be given to the next run, and the report on the marts.
+    orders and items are stored, as several marts read them; the marts can be asked
+    for in ``spark.sql`` by name. Returns the paths of the histories, to be given to
+    the next run, and the report on the marts.
     """
     spark = tune(tables.spark)
     histories = histories or {}
@@ -72,7 +73,14 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
         "mart_price_history": prices.mart_price_history(snap_products, as_of),
         "dim_date": calendar.dim_date(spark),
     }
-    marts = {name: tables.materialize(name, df, "marts") for name, df in models.items()}
+    marts = {}
+    for name, stored in in_parallel(spark, {
+            name: lambda name=name, df=df: tables.materialize(name, df, "marts")
+            for name, df in models.items()}).items():
+        if isinstance(stored, BaseException):
+            raise stored
+        marts[name] = stored
+    tables.register(["mart_sales", *marts], "marts")
     report = Q.gate(
         Q.Suite(Q.MART_SUITE.columns, (*Q.MART_SUITE.models, Q.volume_check(as_of))),
         {"mart_sales": sales, "snap_products": snap_products, **marts})

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import text as X
 
-# Fixed value: how much of an unreadable reply an error quotes.
+# How much of an unreadable reply an error quotes, and the refusal texts.
 ERROR_WIDTH = 300
+PII_REFUSAL = "Question contains personal data. Please rephrase."
+SQL_REFUSAL = "SQL validation failed: "
 
 
 def pii_screen(df: DataFrame, text_col: str) -> DataFrame:
@@ -58,3 +60,19 @@ def parse_answer(df: DataFrame, raw_col: str) -> DataFrame:
              .otherwise("Failed to parse response: "), quoted)))
         .drop("_body", "_reply")
     )
+
+
+def answer_verdicts(df: DataFrame, question_col: str, raw_col: str) -> DataFrame:
+    """The answer to every question, or the first reason to refuse it, as ``error``.
+
+    A question with personal data is refused before its reply is read, a reply that
+    cannot be read before its SQL is checked.
+    """
+    screened = pii_screen(df, question_col)
+    checked = sql_guard(parse_answer(screened, raw_col), "sql")
+    return checked.withColumn(
+        "error",
+        F.when(F.col("has_pii"), PII_REFUSAL)
+        .when(F.col("error").isNotNull(), F.col("error"))
+        .when(~F.col("is_valid"), F.concat(F.lit(SQL_REFUSAL), F.col("reason")))
+    ).drop("has_email", "has_phone", "has_pii", "reason", "is_valid")

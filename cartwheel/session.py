@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FALLBACK_FOLDERS: dict[str, str] = {}
 
@@ -18,7 +22,6 @@ def local_session(app: str = "cartwheel", cores: str = "*", shuffle_partitions:
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
     )
@@ -26,11 +29,13 @@ def local_session(app: str = "cartwheel", cores: str = "*", shuffle_partitions:
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Let Spark split a hot join key even where that costs another shuffle.
+    """Settings the operators count on, for a session made elsewhere.
 
-    Without the last setting it leaves a skewed join alone when the grouping after
-    it reuses the join's partitions, as the item totals per order do.
+    Days are days in UTC. Spark may split a hot join key even where that costs
+    another shuffle: without the last setting it leaves a skewed join alone when the
+    grouping after it reuses the join's partitions, as the item totals per order do.
     """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
@@ -70,13 +75,37 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(spark: SparkSession, steps: dict[str, Callable], workers: int = 4) -> dict:
+    """Run independent steps at the same time, so that small ones fill idle executors.
+
+    Gives each step's result, or the exception it ended with, in the order given.
+    """
+    def outcome(future: Future):
+        error = future.exception()
+        return future.result() if error is None else error
+
+    with ThreadPoolExecutor(workers) as pool:
+        futures = {name: pool.submit(inheritable_thread_target(spark)(step))
+                   for name, step in steps.items()}
+        return {name: outcome(future) for name, future in futures.items()}
+
+
+def keep_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """:func:`keep` for several tables at the same time."""
+    spark = next(iter(frames.values())).sparkSession
+    kept = in_parallel(spark, {name: lambda df=df, name=name: keep(df, name)
+                               for name, df in frames.items()})
+    for result in kept.values():
+        if isinstance(result, BaseException):
+            raise result
+    return kept
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast a narrow lookup only after counting that it is small.
 
     A larger one is returned without a hint, so Spark joins it with a shuffle.
     ``df`` is evaluated for the count; pass a stored table.
     """
-    from pyspark.sql import functions as F
-
     rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df

@@ -26,6 +26,11 @@ class Tables:
             return self.spark.read.parquet(self.path(name, layer))
         return self.spark.table(name)
 
+    def register(self, names: list[str], layer: str) -> None:
+        """Make stored tables known to ``spark.sql`` by their names."""
+        for name in names:
+            self.table(name, layer).createOrReplaceTempView(name)
+
     def materialize(self, name: str, df: DataFrame, layer: str) -> DataFrame:
         """Store a mart, or register a staging or intermediate model as a view."""
         if layer in self.STORED_LAYERS:

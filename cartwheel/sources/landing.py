@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.schemas import CSV_TABLES, FREE_TEXT_TABLES
+from cartwheel.session import in_parallel
 from cartwheel.sources.files import drop_path, read_drop, write_csv
 
 STATUS_SCHEMA = "`table` string, status string, `rows` bigint, reason string"
@@ -112,16 +113,16 @@ def land_all(frames: dict[str, DataFrame], base: str, load_date: date | str,
 
 
 def _run_each(spark: SparkSession, items: dict, step: Callable, strict: bool) -> DataFrame:
+    outcomes = in_parallel(spark, {name: lambda name=name, item=item: step(name, item)
+                                   for name, item in items.items()})
     rows = []
-    for name, item in items.items():
-        try:
-            outcome = step(name, item)
-            if isinstance(outcome, int):
-                rows.append((name, "success", outcome, None))
-            else:
-                rows.append((name, outcome, None, None))
-        except Exception as error:  # every failure becomes a status row
-            rows.append((name, "error", None, str(error)))
+    for name, outcome in outcomes.items():
+        if isinstance(outcome, BaseException):
+            rows.append((name, "error", None, str(outcome)))
+        elif isinstance(outcome, int):
+            rows.append((name, "success", outcome, None))
+        else:
+            rows.append((name, outcome, None, None))
     status = spark.createDataFrame(rows, STATUS_SCHEMA)
     failed = [r[0] for r in rows if r[1] == "error"]
     if failed and strict:

@@ -227,14 +227,18 @@ class Inputs:
 
     def raw_replies(self) -> DataFrame:
         """One raw reply per turn: fenced, inside prose, plain, cut short, or without JSON."""
+        source = (
+            F.when(F.col("role") == "user", " FROM dataset_marts.mart_sales")
+            .when(F.col("role") == "assistant", " FROM dataset_marts.mart_customers")
+            .otherwise("; truncate y"))
         whole = F.to_json(F.struct(
-            F.concat(F.lit("SELECT "), F.col("turn").cast("string")).alias("sql"),
+            F.concat(F.lit("SELECT "), F.col("turn").cast("string"), source).alias("sql"),
             F.col("text").alias("explanation"),
             F.array(F.lit("mart_sales"), F.col("role")).alias("tables_used")))
         bare = F.to_json(F.struct(F.lit("SELECT 1").alias("sql")))
         kind = (F.col("conv_id") + F.col("turn")) % 6
         return self.source("conversations").select(
-            "conv_id", "turn",
+            "conv_id", "turn", "text",
             F.when(kind == 0, F.concat(F.lit("```json\n"), whole, F.lit("\n```")))
             .when(kind == 1, F.concat(F.lit("The answer: "), whole, F.lit(" as asked")))
             .when(kind == 2, F.col("text"))

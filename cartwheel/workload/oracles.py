@@ -141,7 +141,12 @@ TABLES["generated_sql"] = f"""
     FROM events"""
 
 TABLES["replies"] = """
-    SELECT conv_id, turn, role, text, (conv_id + turn) % 6 AS kind FROM conversations"""
+    SELECT conv_id, turn, role, text, (conv_id + turn) % 6 AS kind,
+           'SELECT ' || CAST(turn AS VARCHAR)
+               || CASE role WHEN 'user' THEN ' FROM dataset_marts.mart_sales'
+                       WHEN 'assistant' THEN ' FROM dataset_marts.mart_customers'
+                       ELSE '; truncate y' END AS statement
+    FROM conversations"""
 
 # --- enriched tables ---------------------------------------------------------
 
@@ -901,9 +906,9 @@ STATEMENTS["g2_sql_guard"] = f"""
                AS reason,
            word IS NULL AND stray IS NULL AS is_valid
     FROM found"""
-STATEMENTS["g3_parse_answer"] = r"""
+TABLES["parsed"] = r"""
     SELECT conv_id, turn,
-           CASE WHEN kind IN (0, 1, 5) THEN 'SELECT ' || CAST(turn AS VARCHAR)
+           CASE WHEN kind IN (0, 1, 5) THEN statement
                 WHEN kind = 4 THEN 'SELECT 1' END AS sql,
            CASE WHEN kind IN (0, 1, 5) THEN text END AS explanation,
            CASE WHEN kind IN (0, 1, 5) THEN 'mart_sales,' || role WHEN kind = 4 THEN '' END
@@ -913,6 +918,17 @@ STATEMENTS["g3_parse_answer"] = r"""
                      WHEN 3 THEN 'Failed to parse response: '
                          || left('{"sql": cut ' || text || '}', 300) END AS error
     FROM replies"""
+STATEMENTS["g3_parse_answer"] = "SELECT * FROM parsed"
+STATEMENTS["g3_answer_verdicts"] = f"""
+    SELECT p.conv_id, p.turn, sql,
+           CASE WHEN {_HAS_EMAIL} OR {_HAS_PHONE}
+                THEN 'Question contains personal data. Please rephrase.'
+                WHEN error IS NOT NULL THEN error
+                WHEN contains(sql, 'truncate')
+                THEN 'SQL validation failed: Forbidden keyword: TRUNCATE'
+                WHEN contains(sql, 'mart_customers')
+                THEN 'SQL validation failed: Table not in allow-list: mart_customers' END AS error
+    FROM parsed p JOIN conversations c ON c.conv_id = p.conv_id AND c.turn = p.turn"""
 STATEMENTS["g4_queries_by_table"] = """
     SELECT table_name, COUNT(*) AS query_count
     FROM (SELECT unnest(tables_referenced) AS table_name FROM audit_log) GROUP BY 1"""

@@ -20,7 +20,7 @@ from cartwheel.operators import quality as Q
 from cartwheel.operators import shaping as R
 from cartwheel.operators.ranking import Ntile, global_ntile
 from cartwheel.plans import calendar, customers, guards, metrics, orders, prices, sellers
-from cartwheel.session import keep, scratch_path
+from cartwheel.session import keep, keep_all, scratch_path
 from cartwheel.sources import audit, catalog, drift, files, landing
 from cartwheel.workload.inputs import ORDERS_AS_OF, PRICES_AS_OF, RUN_TS, Inputs
 
@@ -371,13 +371,13 @@ def _(t: Inputs) -> DataFrame:
 
 @query("n1_global_ntile")
 def _(t: Inputs) -> DataFrame:
-    """Seven uneven buckets over all order lines' sums, both directions, with NULLs and ties."""
+    """Seven uneven buckets over all orders, both directions, with NULLs and ties."""
     totals = t.orders_enriched().select(
         "order_id", "actual_delivery_days", F.col("payment_count").alias("payments"))
     return global_ntile(
-        keep(totals, "orders"),
-        Ntile("slowest", "actual_delivery_days", "order_id", 7, descending=True),
-        Ntile("fewest", "payments", "order_id", 7),
+        keep(totals, "orders"), "order_id",
+        Ntile("slowest", "actual_delivery_days", 7, descending=True),
+        Ntile("fewest", "payments", 7),
     )
 
 
@@ -598,28 +598,23 @@ def _(t: Inputs) -> DataFrame:
 
 @query("q10_source_suite")
 def _(t: Inputs) -> DataFrame:
-    tables = {name: keep(df, name) for name, df in t.raw_csv_tables().items()}
-    tables["marketplace_products"] = keep(t.marketplace_drops(), "marketplace")
-    return Q.run_suite(Q.SOURCE_SUITE, tables)
+    tables = {**t.raw_csv_tables(), "marketplace_products": t.marketplace_drops()}
+    return Q.run_suite(Q.SOURCE_SUITE, keep_all(tables))
 
 
 @query("q10_mart_suite")
 def _(t: Inputs) -> DataFrame:
     """All checks of the marts, on marts stored first."""
-    history = keep(t.product_history(), "history")
-    sales = keep(t.sales(), "sales")
-    reviews = t.stg_reviews()
-    tables = {
-        "mart_sales": sales,
-        "mart_customers": keep(t.mart_customers(), "customers"),
-        "mart_cohorts": keep(t.mart_cohorts(), "cohorts"),
-        "mart_sellers": keep(t.mart_sellers(), "sellers"),
-        "mart_price_history": keep(prices.mart_price_history(history, PRICES_AS_OF), "prices"),
+    first = keep_all({"snap_products": t.product_history(), "mart_sales": t.sales()})
+    tables = first | keep_all({
+        "mart_customers": t.mart_customers(),
+        "mart_cohorts": t.mart_cohorts(),
+        "mart_sellers": t.mart_sellers(),
+        "mart_price_history": prices.mart_price_history(first["snap_products"], PRICES_AS_OF),
         "dim_date": t.order_calendar(),
-        "mart_customer_features": keep(
-            customers.mart_customer_features(sales, reviews, ORDERS_AS_OF), "features"),
-        "snap_products": history,
-    }
+        "mart_customer_features": customers.mart_customer_features(
+            first["mart_sales"], t.stg_reviews(), ORDERS_AS_OF),
+    })
     suite = Q.Suite(Q.MART_SUITE.columns, (*Q.MART_SUITE.models, Q.volume_check(date(1997, 6, 1))))
     return Q.run_suite(suite, tables)
 
@@ -822,6 +817,13 @@ def _(t: Inputs) -> DataFrame:
     return parsed.select("conv_id", "turn", "sql", "explanation", _joined("tables_used"), "error")
 
 
+@query("g3_answer_verdicts")
+def _(t: Inputs) -> DataFrame:
+    """Questions and replies through all checks in turn."""
+    return guards.answer_verdicts(t.raw_replies(), "text", "raw").select(
+        "conv_id", "turn", "sql", "error")
+
+
 @query("g4_queries_by_table")
 def _(t: Inputs) -> DataFrame:
     return audit.queries_by_table(audit.audit_records(t.query_audit()))

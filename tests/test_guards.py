@@ -72,3 +72,17 @@ def test_missing_fields_get_defaults(frame):
                  "id")
     assert got[1]["sql"] == "" and got[1]["tables_used"] == [] and got[1]["error"] is None
     assert got[2]["sql"] == "S" and got[2]["explanation"] is None
+
+
+@pytest.mark.parametrize("question, raw, error", [
+    ("mail a@b.com", '{"sql": "DROP x"}', G.PII_REFUSAL),
+    ("how many", "no json", "No JSON in response: no json"),
+    ("how many", '{"sql": "drop x"}', "SQL validation failed: Forbidden keyword: DROP"),
+    ("how many", '{"sql": "select 1 from dataset_marts.x"}',
+     "SQL validation failed: Table not in allow-list: x"),
+    ("how many", '{"sql": "select 1 from dataset_marts.dim_date"}', None),
+])
+def test_verdicts_name_the_first_reason(frame, question, raw, error):
+    df = frame("question string, raw string", (question, raw))
+    got = G.answer_verdicts(df, "question", "raw").first()
+    assert got.error == error

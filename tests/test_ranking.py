@@ -9,7 +9,7 @@ from cartwheel.operators.ranking import Ntile, _end_positions, global_ntile
 
 def expected(df, spec):
     key = F.col(spec.order)
-    order = [key.desc_nulls_last() if spec.descending else key.asc_nulls_first(), F.col(spec.tie)]
+    order = [key.desc_nulls_last() if spec.descending else key.asc_nulls_first(), F.col("id")]
     return df.withColumn("want", F.ntile(spec.buckets).over(Window.orderBy(*order)))
 
 
@@ -19,8 +19,8 @@ def test_equals_ntile_with_ties_and_nulls(spark, rows, descending):
     df = spark.range(rows).select(
         F.col("id").cast("string").alias("id"),
         F.when(F.col("id") % 6 != 0, F.col("id") % 4).alias("k"))
-    spec = Ntile("got", "k", "id", 4, descending)
-    both = expected(global_ntile(df, spec), spec)
+    spec = Ntile("got", "k", 4, descending)
+    both = expected(global_ntile(df, "id", spec), spec)
     assert both.where("got <> want").count() == 0
     assert both.count() == rows
 
@@ -31,8 +31,8 @@ def test_equals_ntile_with_ties_and_nulls(spark, rows, descending):
        buckets=st.integers(1, 9), descending=st.booleans())
 def test_equals_ntile_for_any_values(spark, keys, buckets, descending):
     df = spark.createDataFrame(list(enumerate(keys)), "id int, k double")
-    spec = Ntile("got", "k", "id", buckets, descending)
-    assert expected(global_ntile(df, spec), spec).where("got <> want").count() == 0
+    spec = Ntile("got", "k", buckets, descending)
+    assert expected(global_ntile(df, "id", spec), spec).where("got <> want").count() == 0
 
 
 @given(st.integers(0, 200), st.integers(1, 12))
@@ -45,5 +45,16 @@ def test_bucket_ends_follow_the_rule(total, buckets):
 
 def test_no_single_partition_sort(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k"))
-    plan = global_ntile(df, Ntile("b", "k", "id"))._jdf.queryExecution().executedPlan().toString()
+    plan = global_ntile(df, "id", Ntile("b", "k"))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_several_specs_share_one_sort(spark):
+    df = spark.range(103).select(
+        F.col("id").cast("string").alias("id"), (F.col("id") % 5).alias("a"),
+        (F.col("id") * 0.5).alias("b"), F.when(F.col("id") > 50, F.to_date(F.lit("2024-01-01")))
+        .alias("c"))
+    specs = [Ntile("x", "a", 4), Ntile("y", "b", 7, True), Ntile("z", "c", 3, True)]
+    scored = global_ntile(df, "id", *specs)
+    for spec in specs:
+        assert expected(scored, spec).where(F.col(spec.name) != F.col("want")).count() == 0
