@@ -19,20 +19,19 @@ CLUSTER_BY = ("primary_category", "customer_state")
 Build = Callable[[date | None, date | None], DataFrame]
 
 
-def write_partitioned(df: DataFrame, path: str, key: str = "order_id",
-                      dynamic: bool = False) -> None:
+def write_partitioned(df: DataFrame, path: str, dynamic: bool = False) -> None:
     """Write by month of the order date, clustered inside each month.
 
-    Rows are spread by range over month, clustering columns and key, so a large
-    month is written by many tasks, and each file holds a narrow range of the
-    clustering columns for the reader to skip by. With ``dynamic`` only months
-    present in ``df`` are replaced.
+    Rows are brought together by month; Spark splits a large month over several
+    tasks and joins small ones, by their measured size. Inside a file they are
+    sorted by the clustering columns, so each row group holds a narrow range for
+    the reader to skip by. With ``dynamic`` only months present in ``df`` are
+    replaced.
     """
-    order = [MONTH_COLUMN, *CLUSTER_BY, key]
     (
         df.withColumn(MONTH_COLUMN, month_start(F.col(DATE_COLUMN)))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        .hint("rebalance", F.col(MONTH_COLUMN))
+        .sortWithinPartitions(MONTH_COLUMN, *CLUSTER_BY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(MONTH_COLUMN)

@@ -84,3 +84,29 @@ def test_month_bounds(start, end, bounds):
 def test_reversed_range_is_refused():
     with pytest.raises(ValueError):
         I.month_bounds(day("2024-02-01"), day("2024-01-01"))
+
+
+def test_a_large_month_is_written_by_several_tasks(spark):
+    """And every file is sorted by the clustering columns."""
+    import glob
+
+    import pyarrow.parquet as pq
+    path = scratch_path(spark, "fact")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64KB")
+    try:
+        rows = spark.range(0, 60000, numPartitions=8).selectExpr(
+            "uuid() AS order_id", "date'2024-02-03' AS order_date",
+            "concat('k', id % 7) AS primary_category", "concat('s', id % 5) AS customer_state",
+            "rand() AS total")
+        I.write_partitioned(rows, path)
+    finally:
+        spark.conf.set(size, before)
+    files = glob.glob(f"{path}/order_month=2024-02-01/*.parquet")
+    assert len(files) > 3
+    for file in files:
+        table = pq.read_table(file, columns=["primary_category", "customer_state"])
+        pairs = list(zip(*table.to_pydict().values()))
+        assert pairs == sorted(pairs)
+    assert spark.read.parquet(path).count() == 60000
