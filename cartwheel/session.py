@@ -59,9 +59,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _FALLBACK_FOLDERS[app]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nobody has used before."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder, in this application's part, not used before."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application kept; tables that still read from it become invalid."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators import history as H
 from cartwheel.operators import staging as S
 from cartwheel.plans import calendar, customers, orders, prices, sellers
-from cartwheel.session import tune
+from cartwheel.session import keep, tune
 
 RUN_TS = datetime(2024, 1, 31)
 ORDERS_AS_OF = date(2001, 8, 2)
@@ -336,7 +336,13 @@ class Inputs:
         return customers.mart_customer_features(self.sales(), self.stg_reviews(), ORDERS_AS_OF)
 
     def product_history(self) -> DataFrame:
-        return H.snapshot_rebuild(H.SNAP_PRODUCTS, self.observations(), "run_ts")
+        return H.snapshot_rebuild(H.SNAP_PRODUCTS, self.observations(), "run_ts", self.runs())
+
+    def runs(self) -> DataFrame:
+        """The days on which there was a drop, from the dates of the events alone."""
+        days = self.source("events").select(
+            F.to_date("ts").cast("timestamp").alias("run_ts"))
+        return keep(H.run_calendar(days, "run_ts"), "runs")
 
     def price_history(self) -> DataFrame:
         return prices.mart_price_history(self.product_history(), PRICES_AS_OF)

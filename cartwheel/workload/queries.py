@@ -437,7 +437,7 @@ def _(t: Inputs) -> DataFrame:
     """History of all products from all daily drops, without the carried columns."""
     seen = t.observations()
     return H.scd2_rebuild(seen, "product_id", "run_ts", ["price_ars", "status"],
-                          ["product_id", "price_ars", "status"])
+                          ["product_id", "price_ars", "status"], t.runs())
 
 
 @query("h5_valid_at")

@@ -34,3 +34,19 @@ def test_seller_measures(frame):
     three = got["s3"]
     assert three["avg_delivery_days"] is None and three["on_time_delivery_rate_pct"] is None
     assert three["reviews_count"] == 0 and three["avg_review_score"] is None
+
+
+def test_items_meet_reviews_only_as_sums(frame):
+    """Many reviews of an order with many items give no row per pair."""
+    items = frame(ITEMS, *[("o1", f"p{i}", "s1", 1.0) for i in range(40)])
+    enriched = frame(ENRICHED, *[("o1", f"p{i}", "s1", 1.0, "a") for i in range(40)])
+    orders = frame(ORDERS, ("o1", "delivered", ts("2024-01-01"), ts("2024-01-03"), None))
+    reviews = frame(REVIEWS, *[("o1", 1 + i % 5) for i in range(50)])
+    df = mart_sellers(frame(SELLERS, ("s1", "X", "Y")), items, enriched, orders, reviews)
+    row = df.first()
+    assert row.reviews_count == 2000 and row.avg_review_score == 3.0
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in optimized.splitlines() if "Join" in line]
+    assert len(joins) == 4
+    # each side of a join on orders is an aggregate or has one row per order
+    assert optimized.count("Aggregate [order_id") + optimized.count("Aggregate [seller_id") >= 4
