@@ -179,13 +179,17 @@ def scd2_current(history: DataFrame) -> DataFrame:
     return history.where(F.col("dbt_valid_to").isNull())
 
 
+def history_path(base: str, run_ts: datetime) -> str:
+    return f"{base}/{run_ts:%Y%m%dT%H%M%S%f}"
+
+
 def write_history(history: DataFrame, base: str, run_ts: datetime) -> str:
     """Store a version of the history under its run, never over the one being read.
 
     Closed and open versions are separate folders, so the next run joins only the
-    open ones.
+    open ones. Writing a run again replaces what its first attempt left.
     """
-    path = f"{base}/{run_ts:%Y%m%dT%H%M%S%f}"
+    path = history_path(base, run_ts)
     (history.withColumn(OPEN_FLAG, F.col("dbt_valid_to").isNull().cast("int"))
             .write.mode("overwrite").partitionBy(OPEN_FLAG).parquet(path))
     return path

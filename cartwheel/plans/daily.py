@@ -20,9 +20,12 @@ def apply_snapshot(tables: Tables, spec: H.Snapshot, current: DataFrame, run_ts:
 
     ``previous`` is the path the last run returned, None for the first run.
     """
+    base = tables.path(spec.name, "snapshots")
+    if previous == H.history_path(base, run_ts):
+        raise ValueError(f"the run of {run_ts} is in the history already")
     history = None if previous is None else tables.spark.read.parquet(previous)
     applied = H.snapshot_apply(spec, history, current, run_ts)
-    return H.write_history(applied, tables.path(spec.name, "snapshots"), run_ts)
+    return H.write_history(applied, base, run_ts)
 
 
 def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,

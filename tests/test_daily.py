@@ -38,6 +38,8 @@ def test_two_days_build_all_marts(spark, tables):
     assert history.select("dbt_valid_from").distinct().count() == 2
     assert tables.table("mart_price_history", "marts").count() == history.count()
     assert tables.table("mart_sales", "marts").count() == inputs.sales().count()
+    with pytest.raises(ValueError, match="in the history already"):
+        refresh_marts(tables, datetime(2024, 1, 2), ORDERS_AS_OF, paths)
     days = spark.sql("SELECT count(*) AS n FROM mart_sales JOIN dim_date ON order_date = date_day")
     assert days.columns == ["n"]
 
