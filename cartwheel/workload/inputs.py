@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.operators import history as H
@@ -42,7 +42,7 @@ class Inputs:
         status = F.col("o_orderstatus")
         bought = F.col("o_orderdate").cast("timestamp")
 
-        def after(days) -> F.Column:
+        def after(days: Column) -> Column:
             return F.timestamp_add("DAY", days, bought)
 
         return self.source("orders").select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import schemas
@@ -43,7 +43,7 @@ def _no_stamp(df: DataFrame) -> DataFrame:
     return df.drop("_loaded_at")
 
 
-def _joined(column: str) -> F.Column:
+def _joined(column: str) -> Column:
     return F.array_join(column, ",").alias(column)
 
 

@@ -5,9 +5,10 @@ import pytest
 
 from cartwheel.operators import quality as Q
 from cartwheel.plans.daily import refresh_marts
-from cartwheel.session import scratch_path
+from cartwheel.session import keep, scratch_path
 from cartwheel.sources.catalog import Tables
 from cartwheel.workload.inputs import ORDERS_AS_OF, Inputs
+from conftest import rows_of
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
@@ -33,7 +34,10 @@ def test_two_days_build_all_marts(spark, tables):
     paths, report = refresh_marts(tables, datetime(2024, 1, 1), ORDERS_AS_OF)
     assert report.where("status <> 'pass'").count() == 0 and report.count() == 44
     load_products(inputs, tables, date(2024, 1, 2))
-    paths, report = refresh_marts(tables, datetime(2024, 1, 2), ORDERS_AS_OF, paths)
+    full = keep(tables.table("mart_sales", "marts"), "full")
+    paths, report = refresh_marts(tables, datetime(2024, 1, 2), ORDERS_AS_OF, paths,
+                                  incremental_sales=True)
+    assert rows_of(tables.table("mart_sales", "marts"), "order_id") == rows_of(full, "order_id")
     history = spark.read.parquet(paths["snap_products"])
     assert history.select("dbt_valid_from").distinct().count() == 2
     assert tables.table("mart_price_history", "marts").count() == history.count()
