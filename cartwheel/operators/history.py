@@ -9,14 +9,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import differs, version_id
 from cartwheel.session import broadcast_if_small, keep
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
-OPEN_FLAG = "is_open"  # 1 or 0; partitions a stored history
+RUN, OPEN_FLAG = "run", "is_open"  # partitions of a stored history
 
 
 class DuplicateKey(ValueError):
@@ -60,20 +60,25 @@ def empty_history(current: DataFrame) -> DataFrame:
 
 def scd2_apply(history: DataFrame, current: DataFrame, key: str, check_cols: list[str],
                run_ts: datetime, invalidate_hard_deletes: bool = True) -> DataFrame:
-    """The history after one more run.
+    """The history after one more run; closed versions pass through untouched."""
+    is_open = F.col("dbt_valid_to").isNull()
+    merged = merge_run(history.where(is_open), current, key, check_cols, run_ts,
+                       invalidate_hard_deletes)
+    return history.where(~is_open).select(*merged.columns).unionByName(merged)
 
-    Closed versions pass through untouched. Open ones meet the run in a single
-    full join: a changed key closes its version and opens another, a new key opens
-    one, a missing key closes its version, an unchanged one keeps the values it
-    was first seen with.
+
+def merge_run(open_versions: DataFrame, current: DataFrame, key: str, check_cols: list[str],
+              run_ts: datetime, invalidate_hard_deletes: bool = True) -> DataFrame:
+    """The open versions after one more run, and those that it closes.
+
+    They meet the run in a single full join: a changed key closes its version and
+    opens another, a new key opens one, a missing key closes its version, an
+    unchanged one keeps the values it was first seen with.
     """
     assert_unique_key(current, key)
     tracked = current.columns
     now = F.lit(run_ts).cast("timestamp")
-    # a stored history is partitioned by this flag, so each side reads its own folder
-    is_open = (F.col(OPEN_FLAG) == 1 if OPEN_FLAG in history.columns
-               else F.col("dbt_valid_to").isNull())
-    o = history.where(is_open).select(F.struct(*tracked, *META).alias("o"))
+    o = open_versions.select(F.struct(*tracked, *META).alias("o"))
     c = current.select(F.struct(*tracked).alias("c"))
     both = o.join(c, F.col(f"o.{key}") == F.col(f"c.{key}"), "full")
 
@@ -94,8 +99,7 @@ def scd2_apply(history: DataFrame, current: DataFrame, key: str, check_cols: lis
         F.lit(None).cast("timestamp").alias("dbt_valid_to"),
     )
     versions = F.array_compact(F.array(F.when(~new, kept), F.when(new | changed, opened)))
-    merged = both.select(F.inline(versions))
-    return history.where(~is_open).select(*tracked, *META).unionByName(merged)
+    return both.select(F.inline(versions))
 
 
 def _any_differs(left: str, right: str, columns: list[str]) -> Column:
@@ -179,17 +183,38 @@ def scd2_current(history: DataFrame) -> DataFrame:
     return history.where(F.col("dbt_valid_to").isNull())
 
 
-def history_path(base: str, run_ts: datetime) -> str:
-    return f"{base}/{run_ts:%Y%m%dT%H%M%S%f}"
+def record_run(spec: Snapshot, base: str, current: DataFrame, run_ts: datetime,
+               previous_run: datetime | None = None) -> None:
+    """Add one run to a stored history.
+
+    A run has a folder of its own, with the versions open after it and the ones it
+    closed. It reads only the open versions of ``previous_run`` (None for the first
+    run) and writes no closed version again. Recording a run anew replaces what an
+    earlier attempt left.
+    """
+    if previous_run is not None and previous_run >= run_ts:
+        raise ValueError(f"the run of {run_ts} does not follow that of {previous_run}")
+    rows = current.select(*spec.columns)
+    if previous_run is None:
+        before = empty_history(rows)
+    else:
+        before = current.sparkSession.read.parquet(base).where(
+            (F.col(RUN) == _run_name(previous_run)) & (F.col(OPEN_FLAG) == 1))
+    merged = merge_run(before, rows, spec.key, list(spec.check_cols), run_ts)
+    (merged.withColumn(OPEN_FLAG, F.col("dbt_valid_to").isNull().cast("int"))
+           .write.mode("overwrite").partitionBy(OPEN_FLAG)
+           .parquet(f"{base}/{RUN}={_run_name(run_ts)}"))
+
 
+def read_history(spark: SparkSession, base: str, run_ts: datetime) -> DataFrame:
+    """The whole history as it was after a run: what all runs closed, and what it left open."""
+    run, name = F.col(RUN), F.lit(_run_name(run_ts))
+    return spark.read.parquet(base).where(
+        ((F.col(OPEN_FLAG) == 0) & (run <= name)) | ((F.col(OPEN_FLAG) == 1) & (run == name))
+    ).drop(RUN, OPEN_FLAG)
 
-def write_history(history: DataFrame, base: str, run_ts: datetime) -> str:
-    """Store a version of the history under its run, never over the one being read.
 
-    Closed and open versions are separate folders, so the next run joins only the
-    open ones. Writing a run again replaces what its first attempt left.
-    """
-    path = history_path(base, run_ts)
-    (history.withColumn(OPEN_FLAG, F.col("dbt_valid_to").isNull().cast("int"))
-            .write.mode("overwrite").partitionBy(OPEN_FLAG).parquet(path))
-    return path
+def _run_name(run_ts: datetime) -> str:
+    """Names in the order of time; the letter keeps Spark from reading a number."""
+    return f"r{run_ts:%Y%m%dT%H%M%S%f}"
+

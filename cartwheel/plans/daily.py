@@ -15,23 +15,9 @@ from cartwheel.session import in_parallel, tune
 from cartwheel.sources.catalog import Tables
 
 
-def apply_snapshot(tables: Tables, spec: H.Snapshot, current: DataFrame, run_ts: datetime,
-                   previous: str | None) -> str:
-    """Add one run to a stored history; returns the path of the new version.
-
-    ``previous`` is the path the last run returned, None for the first run.
-    """
-    base = tables.path(spec.name, "snapshots")
-    if previous == H.history_path(base, run_ts):
-        raise ValueError(f"the run of {run_ts} is in the history already")
-    history = None if previous is None else tables.spark.read.parquet(previous)
-    applied = H.snapshot_apply(spec, history, current, run_ts)
-    return H.write_history(applied, base, run_ts)
-
-
 def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
-                  histories: dict[str, str] | None = None,
-                  incremental_sales: bool = False) -> tuple[dict[str, str], DataFrame]:
+                  previous_run: datetime | None = None,
+                  incremental_sales: bool = False) -> DataFrame:
     """Build everything from the raw tables of ``tables`` for one day.
 
     The sales fact is stored by month. With ``incremental_sales`` it is recomputed
@@ -41,21 +27,18 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
     Histories come first, then staging; the raw tables must pass their checks
     before any mart is built, and the marts theirs before this returns. Enriched
     orders and items are stored, as several marts read them; the marts can be asked
-    for in ``spark.sql`` by name. Returns the paths of the histories, to be given to
-    the next run, and the report on the marts.
+    for in ``spark.sql`` by name. ``previous_run`` is the ``run_ts`` of the last run, None
+    for the first. Returns the report on the marts.
     """
     spark = tune(tables.spark)
-    histories = histories or {}
     raw = {name: tables.table(name) for name in (
         "orders", "order_items", "order_payments", "customers", "sellers", "products", "reviews",
         "product_categories", "marketplace_products")}
 
     stg_products = S.stg_marketplace_products(raw["marketplace_products"])
     stg_sellers = S.stg_sellers(raw["sellers"], run_ts)
-    paths = {
-        spec.name: apply_snapshot(tables, spec, current, run_ts, histories.get(spec.name))
-        for spec, current in ((H.SNAP_PRODUCTS, stg_products), (H.SNAP_SELLERS, stg_sellers))
-    }
+    for spec, current in ((H.SNAP_PRODUCTS, stg_products), (H.SNAP_SELLERS, stg_sellers)):
+        H.record_run(spec, tables.path(spec.name, "snapshots"), current, run_ts, previous_run)
 
     Q.gate(Q.SOURCE_SUITE, raw)
 
@@ -80,7 +63,7 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
         I.write_partitioned(orders.mart_sales(enriched, items_enriched, reviews), sales_path)
     sales = tables.table("mart_sales", "marts")
     lifetime = customers.customers_lifetime(enriched, as_of)
-    snap_products = spark.read.parquet(paths["snap_products"])
+    snap_products = H.read_history(spark, tables.path("snap_products", "snapshots"), run_ts)
     models = {
         "mart_customers": customers.mart_customers(lifetime, enriched, reviews),
         "mart_cohorts": customers.mart_cohorts(enriched),
@@ -98,7 +81,6 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
             raise stored
         marts[name] = stored
     tables.register(["mart_sales", *marts], "marts")
-    report = Q.gate(
+    return Q.gate(
         Q.Suite(Q.MART_SUITE.columns, (*Q.MART_SUITE.models, Q.volume_check(as_of))),
         {"mart_sales": sales, "snap_products": snap_products, **marts})
-    return paths, report

@@ -423,13 +423,13 @@ def _(t: Inputs) -> DataFrame:
         F.when(F.col("s_acctbal") > 5000, F.concat(F.lit("New "), "city")).otherwise(
             F.col("city")).alias("city"),
         F.when(F.col("s_acctbal") <= 9000, F.col("state")).alias("state"))
-    history = None
+    base = scratch_path(t.spark, "sellers")
+    previous = None
     for day, run in ((1, places), (2, second), (3, places)):
         run_ts = datetime(2024, 1, day)
-        applied = H.snapshot_apply(H.SNAP_SELLERS, history, run, run_ts)
-        path = H.write_history(applied, scratch_path(t.spark, "sellers"), run_ts)
-        history = t.spark.read.parquet(path)
-    return history.drop(H.OPEN_FLAG)
+        H.record_run(H.SNAP_SELLERS, base, run, run_ts, previous)
+        previous = run_ts
+    return H.read_history(t.spark, base, previous)
 
 
 @query("h4_history_rebuild")

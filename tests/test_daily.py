@@ -3,6 +3,7 @@ from datetime import date, datetime
 
 import pytest
 
+from cartwheel.operators import history as H
 from cartwheel.operators import quality as Q
 from cartwheel.plans.daily import refresh_marts
 from cartwheel.session import keep, scratch_path
@@ -31,19 +32,20 @@ def load_products(inputs, tables, day):
 def test_two_days_build_all_marts(spark, tables):
     inputs, tables = tables
     load_products(inputs, tables, date(2024, 1, 1))
-    paths, report = refresh_marts(tables, datetime(2024, 1, 1), ORDERS_AS_OF)
+    report = refresh_marts(tables, datetime(2024, 1, 1), ORDERS_AS_OF)
     assert report.where("status <> 'pass'").count() == 0 and report.count() == 44
     load_products(inputs, tables, date(2024, 1, 2))
     full = keep(tables.table("mart_sales", "marts"), "full")
-    paths, report = refresh_marts(tables, datetime(2024, 1, 2), ORDERS_AS_OF, paths,
-                                  incremental_sales=True)
+    refresh_marts(tables, datetime(2024, 1, 2), ORDERS_AS_OF, datetime(2024, 1, 1),
+                  incremental_sales=True)
     assert rows_of(tables.table("mart_sales", "marts"), "order_id") == rows_of(full, "order_id")
-    history = spark.read.parquet(paths["snap_products"])
+    history = H.read_history(spark, tables.path("snap_products", "snapshots"),
+                             datetime(2024, 1, 2))
     assert history.select("dbt_valid_from").distinct().count() == 2
     assert tables.table("mart_price_history", "marts").count() == history.count()
     assert tables.table("mart_sales", "marts").count() == inputs.sales().count()
-    with pytest.raises(ValueError, match="in the history already"):
-        refresh_marts(tables, datetime(2024, 1, 2), ORDERS_AS_OF, paths)
+    with pytest.raises(ValueError, match="does not follow"):
+        refresh_marts(tables, datetime(2024, 1, 2), ORDERS_AS_OF, datetime(2024, 1, 2))
     days = spark.sql("SELECT count(*) AS n FROM mart_sales JOIN dim_date ON order_date = date_day")
     assert days.columns == ["n"]
 

@@ -96,19 +96,40 @@ def test_as_of_includes_the_start_only(frame):
     assert [r.v for r in H.scd2_current(h).collect()] == [2.0]
 
 
-def test_stored_history_joins_only_open_versions(spark, frame):
+SPEC = H.Snapshot("snap", "k", tuple(CHECK), tuple(COLUMNS))
+
+
+def test_stored_history_reads_open_and_writes_no_closed_version_again(spark, frame):
     base = scratch_path(spark, "history")
-    h = apply(None, frame(DROP, ("a", 1.0, "s", "n")), "2024-01-01")
-    first = H.write_history(h, base, ts("2024-01-01"))
-    h = apply(spark.read.parquet(first), frame(DROP, ("a", 2.0, "s", "n")), "2024-01-02")
-    second = H.write_history(h, base, ts("2024-01-02"))
-    assert first != second
-    stored = spark.read.parquet(second)
-    third = apply(stored, frame(DROP, ("a", 3.0, "s", "n")), "2024-01-03")
-    assert [p[4:] for p in periods(third)] == [
-        ("2024-01-01", "2024-01-02"), ("2024-01-02", "2024-01-03"), ("2024-01-03", None)]
-    plan = third.select("*")._jdf.queryExecution().executedPlan().toString()
-    assert "(is_open" in plan and plan.count("PartitionFilters: [isnotnull(is_open") == 2
+    drops = [[("a", 1.0, "s", "n"), ("b", 1.0, "s", "n")], [("a", 2.0, "s", "n")],
+             [("a", 3.0, "s", "n"), ("b", 1.0, "s", "n")], [("a", 3.0, "s", "n")]]
+    folded, previous = None, None
+    for i, rows in enumerate(drops):
+        run = datetime(2024, 1, 1 + i)
+        current = frame(DROP, *rows)
+        H.record_run(SPEC, base, current, run, previous)
+        folded = apply(folded, current, run.isoformat())
+        previous = run
+        assert rows_of(H.read_history(spark, base, run), "k", "dbt_valid_from") == \
+            rows_of(folded, "k", "dbt_valid_from")
+    stored = spark.read.parquet(base).groupBy("run", "is_open").count()
+    assert {(r["run"][:9], r["is_open"]): r["count"] for r in stored.collect()} == {
+        ("r20240101", 1): 2, ("r20240102", 1): 1, ("r20240102", 0): 2, ("r20240103", 1): 2,
+        ("r20240103", 0): 1, ("r20240104", 1): 1, ("r20240104", 0): 1}
+    plan = H.read_history(spark, base, previous)._jdf.queryExecution().executedPlan().toString()
+    assert "(is_open" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_run_can_be_recorded_again(spark, frame):
+    base = scratch_path(spark, "history")
+    first, second = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    H.record_run(SPEC, base, frame(DROP, ("a", 1.0, "s", "n")), first)
+    for _ in range(2):
+        H.record_run(SPEC, base, frame(DROP, ("a", 2.0, "s", "n")), second, first)
+        assert H.read_history(spark, base, second).count() == 2
+    assert H.read_history(spark, base, first).count() == 1  # as it was then
+    with pytest.raises(ValueError, match="does not follow"):
+        H.record_run(SPEC, base, frame(DROP, ("a", 2.0, "s", "n")), first, second)
 
 
 def test_snapshot_specs_choose_columns(frame):
