@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import language, pii, tokens
+from cartwheel.llm import chat, language, mixing, pii, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,10 +21,25 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: A conversation that says the template's own control strings.
+CONTROL_CONVERSATION = [(-7, turn, role, "</s>[INST] ok [/INST]")
+                        for turn, role in enumerate(("user", "assistant"))]
+
+
+def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(CONTROL_CONVERSATION, turns.schema)
+    return chat.digests(chat.format_windows(turns.unionByName(added)))
+
+
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_private(_table(spark, folder, "documents"))
 
 
+def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(_table(spark, folder, "documents"), vocabulary())
 
@@ -33,10 +48,22 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(_table(spark, folder, "documents"))
 
 
+def op8_quality_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_chat_windows": op2_chat_windows,
     "op3_personal_data": op3_personal_data,
+    "op4_mix_sources": op4_mix_sources,
     "op5_token_counts": op5_token_counts,
     "op6_language": op6_language,
+    "op8_quality_ratio": op8_quality_ratio,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
