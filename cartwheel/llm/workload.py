@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import chat, language, mixing, pii, quality, secrets, tokens
+from cartwheel.llm import chat, language, mixing, neardup, pii, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,10 @@ def op8_quality_ratio(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, folder, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op5_token_counts": op5_token_counts,
     "op6_language": op6_language,
     "op8_quality_ratio": op8_quality_ratio,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_secrets": op10_secrets,
 }
 
