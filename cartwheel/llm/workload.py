@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import chat, language, mixing, neardup, pii, quality, secrets, tokens
+from cartwheel.llm import chat, decontam, language, mixing, neardup, pii, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 #: A conversation that says the template's own control strings.
 CONTROL_CONVERSATION = [(-7, turn, role, "</s>[INST] ok [/INST]")
                         for turn, role in enumerate(("user", "assistant"))]
@@ -61,6 +65,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_chat_windows": op2_chat_windows,
     "op3_personal_data": op3_personal_data,
     "op4_mix_sources": op4_mix_sources,
