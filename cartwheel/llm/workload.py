@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import chat, decontam, language, mixing, neardup, pii, quality, secrets, tokens
+from cartwheel.llm import chat, decontam, language, mixing, neardup, pii, quality, secrets, suffixes, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,10 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(_table(spark, folder, "documents"))
 
 
+def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, folder, "documents"))
+
+
 def op8_quality_ratio(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_token_counts": op5_token_counts,
     "op6_language": op6_language,
+    "op7_repeated_strings": op7_repeated_strings,
     "op8_quality_ratio": op8_quality_ratio,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_secrets": op10_secrets,
