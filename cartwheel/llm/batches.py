@@ -9,7 +9,9 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes of a batch handed to a Python task; a longer text is a batch alone.
 BATCH_ROWS = 1000
@@ -73,3 +75,28 @@ def mix(values: np.ndarray) -> np.ndarray:
     values = values ^ (values >> np.uint64(32))
     values = values * np.uint64(0xD6E8FEB86659FD93)
     return values ^ (values >> np.uint64(32))
+
+
+def row_keys() -> tuple[Column, Column]:
+    """k1 and k2: a key of 128 bits of a row's id and text that only repeated rows share."""
+    return (F.xxhash64("doc_id", "text").alias("k1"),
+            F.xxhash64(F.lit("other"), "text", "doc_id").alias("k2"))
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """k1, k2 and the compressed text of every row with a text, for joins that move texts."""
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1),
+                 pa.array([packer.compress(t) for t in as_bytes(batch.column(2))], pa.binary())],
+                names=["k1", "k2", "packed"])
+
+    texts = docs.select(*row_keys(), "text").where(F.octet_length("text") > 0)
+    return bound_batches(texts).mapInArrow(compress, "k1 long, k2 long, packed binary")
+
+
+def unpacked(values: list[bytes]) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(value) for value in values]

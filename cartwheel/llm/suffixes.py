@@ -26,11 +26,10 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.batches import as_bytes, bound_batches, mix
+from cartwheel.llm.batches import as_bytes, bound_batches, mix, packed_texts, row_keys, unpacked
 from cartwheel.session import keep
 
 #: Bytes of a string that may not be repeated, and of the names that positions are sampled by.
@@ -123,37 +122,19 @@ def _sampled(docs: DataFrame, length: int) -> DataFrame:
             ], names=["doc_id", "k1", "k2", "n_bytes", "sha256", "names", "variants"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sampled = bound_batches(docs.select("doc_id", *_keys(), "text")).mapInArrow(
+    sampled = bound_batches(docs.select("doc_id", *row_keys(), "text")).mapInArrow(
         sample, f"doc_id {kind}, k1 long, k2 long, n_bytes long, sha256 string, "
                 "names array<long>, variants array<long>")
     return sampled.withColumn("row", F.monotonically_increasing_id())
 
 
-def _keys() -> tuple[Column, Column]:
-    """A key of 128 bits that only repeated rows share; never NULL."""
-    return (F.xxhash64("doc_id", "text").alias("k1"),
-            F.xxhash64(F.lit("other"), "text", "doc_id").alias("k2"))
-
-
 def _located(docs: DataFrame, flags: DataFrame) -> DataFrame:
-    """The compressed texts of the documents with ``flags`` (k1, k2, row, runs)."""
-    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array([packer.compress(t) for t in as_bytes(batch.column(2))], pa.binary())],
-                names=["k1", "k2", "packed"])
-
-    texts = bound_batches(docs.select(*_keys(), "text").where(F.octet_length("text") > 0)).mapInArrow(
-        compress, "k1 long, k2 long, packed binary")
-    # Repeated rows have equal texts; one of them serves all.
-    return flags.dropDuplicates(["k1", "k2"]).join(texts, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    """The compressed texts of the documents with ``flags`` (k1, k2, row, runs).
 
-
-def _unpacked(column: pa.Array) -> list[bytes]:
-    unpacker = zstandard.ZstdDecompressor()
-    return [unpacker.decompress(value) for value in column.to_pylist()]
+    Repeated rows have equal texts; one of them serves all.
+    """
+    return flags.dropDuplicates(["k1", "k2"]).join(packed_texts(docs), ["k1", "k2"]).dropDuplicates(
+        ["k1", "k2"])
 
 
 def _first_items(located: DataFrame, length: int) -> DataFrame:
@@ -161,7 +142,7 @@ def _first_items(located: DataFrame, length: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, flags in zip(_unpacked(batch.column(0)), batch.column(1).to_pylist()):
+            for text, flags in zip(unpacked(batch.column(0).to_pylist()), batch.column(1).to_pylist()):
                 name, variant, first, place, last = runs_of(text, length)
                 for flag in flags:
                     if flag["open"]:
@@ -334,7 +315,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, flags, parts in zip(_unpacked(batch.column(2)), batch.column(3).to_pylist(),
+            for text, flags, parts in zip(unpacked(batch.column(2).to_pylist()), batch.column(3).to_pylist(),
                                           batch.column(4).to_pylist()):
                 _, _, first, _, last = runs_of(text, length)
                 edges = np.zeros(len(text) + 1, dtype=np.int64)
