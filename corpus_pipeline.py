@@ -1,20 +1,48 @@
-"""A corpus pipeline: each stage's result is written and read again by the next."""
+"""A corpus pipeline: each stage's result is written and read again by the next.
+
+The stages before the last return the columns of documents, and drop or change a document
+only where their operator found a reason; clean documents pass as they are.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import language
+from cartwheel.llm import decontam, language, mixing, neardup, secrets
 from cartwheel.session import keep
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a determined language."""
+    """Documents whose language is determined (operator 6)."""
     return language.accept(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (operator 9)."""
+    return neardup.without_near_duplicates(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item (operator 1)."""
+    return decontam.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets replaced by a mark (operator 10)."""
+    return secrets.redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document (operator 4)."""
+    return mixing.mix_sources(docs)
+
+
 STAGES = [
     ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("source_mix", source_mix),
 ]
 
 ORACLE_SQL = None
