@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import differs, version_id
-from cartwheel.session import broadcast_if_small, keep
+from cartwheel.session import keep
+from cartwheel.sources.replace import Folders, replace_table
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 RUN, OPEN_FLAG = "run", "is_open"  # partitions of a stored history
@@ -126,7 +127,8 @@ def scd2_rebuild(observations: DataFrame, key: str, run_col: str, check_cols: li
 
     ``observations`` has one row per key and run. A version starts where a key is
     new, a check column changed, or the key missed a run. A key has at most one row
-    per run, so the windows hold no more rows than there are runs.
+    per run, so the windows hold no more rows than there are runs; a repeated or NULL key
+    in a run fails the job, as it does run by run.
     """
     if runs is None:
         runs = keep(run_calendar(observations, run_col), "runs")
@@ -138,17 +140,19 @@ def scd2_rebuild(observations: DataFrame, key: str, run_col: str, check_cols: li
     for name in check_cols:
         starts = starts | differs(F.col(name), F.lag(name).over(by_run))
 
-    seen = observations.join(broadcast_if_small(runs), run_col).select(
+    refused = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"NULL {key} in a run"))).when(
+        previous_run == F.col(run_col), F.raise_error(
+            F.concat(F.lit(f"duplicate {key} in one run: "), F.col(key).cast("string"))))
+    # The runs are a stored table of known size: Spark broadcasts them if they are few.
+    seen = observations.join(runs, run_col).select(
         *columns, run_col, "_prev_run", "_next_run",
-        F.when(previous_run == F.col(run_col), F.raise_error(
-            F.concat(F.lit(f"duplicate {key} in one run: "), F.col(key).cast("string")))
-            .cast("boolean")).alias("_duplicate"),
+        refused.cast("boolean").alias("_refused"),
         starts.alias("_starts"),
         # the run after the last sighting of the version before this row
         F.lag("_next_run").over(by_run).alias("_before_ends"),
         F.last("_next_run").over(whole_key).alias("_key_ends"),
     )
-    versions = seen.where(F.col("_starts") & F.col("_duplicate").isNull())
+    versions = seen.where(F.col("_starts") & F.col("_refused").isNull())
     return versions.select(
         *columns,
         version_id(F.col(key), F.col(run_col)).alias("dbt_scd_id"),
@@ -191,19 +195,34 @@ def record_run(spec: Snapshot, base: str, current: DataFrame, run_ts: datetime,
     closed. It reads only the open versions of ``previous_run`` (None for the first
     run) and writes no closed version again. Recording a run anew replaces what an
     earlier attempt left.
+
+    ``previous_run`` must be the last finished run before this one: from any other the
+    versions since then would be lost without a word, so it is refused.
     """
     if previous_run is not None and previous_run >= run_ts:
         raise ValueError(f"the run of {run_ts} does not follow that of {previous_run}")
+    spark = current.sparkSession
     rows = current.select(*spec.columns)
-    if previous_run is None:
+    last = max((name for name in finished_runs(spark, base) if name < _run_name(run_ts)), default=None)
+    given = previous_run and _run_name(previous_run)
+    if given != last:
+        raise ValueError(f"the last finished run before {run_ts} is {last}, not {given}")
+    if last is None:
         before = empty_history(rows)
     else:
-        before = current.sparkSession.read.parquet(base).where(
-            (F.col(RUN) == _run_name(previous_run)) & (F.col(OPEN_FLAG) == 1))
+        folder = f"{base}/{RUN}={last}"
+        before = spark.read.option("basePath", base).parquet(folder).where(F.col(OPEN_FLAG) == 1)
     merged = merge_run(before, rows, spec.key, list(spec.check_cols), run_ts)
-    (merged.withColumn(OPEN_FLAG, F.col("dbt_valid_to").isNull().cast("int"))
-           .write.mode("overwrite").partitionBy(OPEN_FLAG)
-           .parquet(f"{base}/{RUN}={_run_name(run_ts)}"))
+    flagged = merged.withColumn(OPEN_FLAG, F.col("dbt_valid_to").isNull().cast("int"))
+    replace_table(spark, f"{base}/{RUN}={_run_name(run_ts)}",
+                  flagged.write.partitionBy(OPEN_FLAG).parquet)
+
+
+def finished_runs(spark: SparkSession, base: str) -> list[str]:
+    """The names of the runs that a stored history holds whole."""
+    files = Folders(spark, base)
+    return [name.removeprefix(f"{RUN}=") for name in files.names(base)
+            if name.startswith(f"{RUN}=") and files.exists(f"{base}/{name}/_SUCCESS")]
 
 
 def read_history(spark: SparkSession, base: str, run_ts: datetime) -> DataFrame:

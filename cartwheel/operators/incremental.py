@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import month_start
+from cartwheel.sources.replace import replace_months, replace_table
 
 # The date that partitions the mart and the columns that cluster it.
 DATE_COLUMN = "order_date"
@@ -19,24 +20,27 @@ CLUSTER_BY = ("primary_category", "customer_state")
 Build = Callable[[date | None, date | None], DataFrame]
 
 
-def write_partitioned(df: DataFrame, path: str, dynamic: bool = False) -> None:
+def write_partitioned(df: DataFrame, path: str,
+                      months: tuple[date, date | None] | None = None) -> None:
     """Write by month of the order date, clustered inside each month.
 
     Rows are brought together by month; Spark splits a large month over several
     tasks and joins small ones, by their measured size. Inside a file they are
     sorted by the clustering columns, so each row group holds a narrow range for
-    the reader to skip by. With ``dynamic`` only months present in ``df`` are
-    replaced.
+    the reader to skip by. With ``months`` (first and last month, None for no last) those
+    months are replaced, and one that ``df`` has no row of is emptied; other months stay. A
+    write that fails leaves the table as it was.
     """
-    (
+    rows = (
         df.withColumn(MONTH_COLUMN, month_start(F.col(DATE_COLUMN)))
         .hint("rebalance", F.col(MONTH_COLUMN))
         .sortWithinPartitions(MONTH_COLUMN, *CLUSTER_BY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy(MONTH_COLUMN)
-        .parquet(path)
+        .write.partitionBy(MONTH_COLUMN)
     )
+    if months is None:
+        replace_table(df.sparkSession, path, rows.parquet)
+    else:
+        replace_months(df.sparkSession, path, MONTH_COLUMN, *months, rows.parquet)
 
 
 def read_range(spark: SparkSession, path: str, start: date, end: date | None = None) -> DataFrame:
@@ -64,19 +68,29 @@ def last_date(spark: SparkSession, path: str) -> date | None:
     return table.where(F.col(MONTH_COLUMN) == F.lit(last_month)).agg(F.max(DATE_COLUMN)).first()[0]
 
 
-def incremental_refresh(spark: SparkSession, build: Build, path: str) -> None:
-    """Recompute from the last stored order date on.
+def months_before(day: date, months: int) -> date:
+    """The first day of the month that lies ``months`` before that of ``day``."""
+    year, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    return date(year, month + 1, 1)
+
+
+def incremental_refresh(spark: SparkSession, build: Build, path: str,
+                        look_back_months: int = 0) -> None:
+    """Recompute from the last stored order date on, or so many months earlier.
 
     ``build(start, end)`` gives the mart for a range of order dates, None being an
     open side; a target without rows is built whole. The range is
     widened to the whole month, as a month is replaced as a whole: no row is
-    doubled, none of the month is lost.
+    doubled, none of the month is lost. What changes later in an older month, such as an
+    order that is delivered after the month's last refresh or a late payment or review,
+    stays out until a backfill, unless ``look_back_months`` reaches that month.
     """
     latest = last_date(spark, path)
     if latest is None:
         write_partitioned(build(None, None), path)
         return
-    write_partitioned(build(latest.replace(day=1), None), path, dynamic=True)
+    first = months_before(latest, look_back_months)
+    write_partitioned(build(first, None), path, months=(first, None))
 
 
 def month_bounds(start: date, end: date) -> tuple[date, date]:
@@ -89,6 +103,9 @@ def month_bounds(start: date, end: date) -> tuple[date, date]:
 
 
 def backfill(build: Build, path: str, start: date, end: date) -> None:
-    """Recompute the months that a date range touches; other months stay as they are."""
+    """Recompute the months that a date range touches; other months stay as they are.
+
+    A month that has no row any more is emptied.
+    """
     first, last = month_bounds(start, end)
-    write_partitioned(build(first, last), path, dynamic=True)
+    write_partitioned(build(first, last), path, months=(first, last))

@@ -17,12 +17,13 @@ from cartwheel.sources.catalog import Tables
 
 def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
                   previous_run: datetime | None = None,
-                  incremental_sales: bool = False) -> DataFrame:
+                  incremental_sales: bool = False, look_back_months: int = 0) -> DataFrame:
     """Build everything from the raw tables of ``tables`` for one day.
 
     The sales fact is stored by month. With ``incremental_sales`` it is recomputed
-    from its last month on; payments and reviews that arrive later for older orders
-    then wait for a backfill or a full build.
+    from its last month on, or from ``look_back_months`` earlier: orders of older months
+    that are delivered later, and their late payments and reviews, then wait for a
+    backfill or a full build.
 
     Histories come first, then staging; the raw tables must pass their checks
     before any mart is built, and the marts theirs before this returns. Enriched
@@ -58,7 +59,7 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
     if incremental_sales:
         build = orders.sales_builder(stg_orders, stg_customers, payments, items, products,
                                      categories, reviews)
-        I.incremental_refresh(spark, build, sales_path)
+        I.incremental_refresh(spark, build, sales_path, look_back_months)
     else:
         I.write_partitioned(orders.mart_sales(enriched, items_enriched, reviews), sales_path)
     sales = tables.table("mart_sales", "marts")

@@ -9,7 +9,6 @@ from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _FALLBACK_FOLDERS: dict[str, str] = {}
 
@@ -109,13 +108,3 @@ def keep_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         if isinstance(result, BaseException):
             raise result
     return kept
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast a narrow lookup only after counting that it is small.
-
-    A larger one is returned without a hint, so Spark joins it with a shuffle.
-    ``df`` is evaluated for the count; pass a stored table.
-    """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df

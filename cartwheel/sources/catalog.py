@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.sources.replace import replace_table
+
 
 class Tables:
     """Names of tables and the folder that holds them.
@@ -34,7 +36,7 @@ class Tables:
     def materialize(self, name: str, df: DataFrame, layer: str) -> DataFrame:
         """Store a mart, or register a staging or intermediate model as a view."""
         if layer in self.STORED_LAYERS:
-            df.write.mode("overwrite").parquet(self.path(name, layer))
+            replace_table(self.spark, self.path(name, layer), df.write.parquet)
         else:
             df.createOrReplaceTempView(name)
         return self.table(name, layer)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from cartwheel.schemas import CSV_TABLES, FREE_TEXT_TABLES
 from cartwheel.session import in_parallel
+from cartwheel.sources.replace import Folders, replace_table
 from cartwheel.sources.files import drop_path, read_drop, write_csv
 
 STATUS_SCHEMA = "`table` string, status string, `rows` bigint, reason string"
@@ -25,14 +26,11 @@ class LoadFailed(RuntimeError):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return Folders(spark, path).exists(path)
 
 
 def bytes_at(spark: SparkSession, path: str) -> int:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getContentSummary(target).getLength()
+    return Folders(spark, path).bytes_at(path)
 
 
 def validate_source(spark: SparkSession, path: str) -> None:
@@ -58,9 +56,12 @@ def land(df: DataFrame, base: str, folder: str, load_date: date | str,
 
 
 def write_table(df: DataFrame, path: str, disposition: str = "truncate") -> None:
-    """``truncate`` replaces, ``append`` adds, ``empty`` writes only to an empty table."""
+    """``truncate`` replaces, ``append`` adds, ``empty`` writes only to an empty table.
+
+    A write that fails leaves the table as it was.
+    """
     if disposition == "truncate":
-        df.write.mode("overwrite").parquet(path)
+        replace_table(df.sparkSession, path, df.write.parquet)
     elif disposition == "append":
         df.write.mode("append").parquet(path)
     elif disposition == "empty":
@@ -80,10 +81,10 @@ def write_counted(df: DataFrame, path: str, disposition: str = "truncate") -> in
 
 
 def write_if_nonempty(df: DataFrame, path: str) -> bool:
-    """Replace the table, but keep the old one when the batch has no rows."""
+    """Replace the table, but keep the old one when the batch has no rows or fails."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").parquet(path)
+    replace_table(df.sparkSession, path, df.write.parquet)
     return True
 
 
@@ -92,13 +93,16 @@ def load_all(spark: SparkSession, base: str, target: str, load_date: date | str,
              strict: bool = True) -> DataFrame:
     """Load the CSV drops of one date into parquet tables, one status row per table.
 
-    A table that fails does not stop the others. With ``strict`` the load raises
+    A drop without rows, as one of a header alone, is an error. A table that fails keeps
+    its old rows and does not stop the others. With ``strict`` the load raises
     :class:`LoadFailed` at the end if any did.
     """
     def load_one(name: str, schema: T.StructType) -> int:
         validate_source(spark, drop_path(base, name, load_date))
         drop = read_drop(spark, base, name, load_date, schema,
                          free_text=name in FREE_TEXT_TABLES)
+        if drop.isEmpty():
+            raise ValueError(f"source has no rows: {drop_path(base, name, load_date)}")
         return write_counted(drop, f"{target}/{name}")
 
     return _run_each(spark, tables or CSV_TABLES, load_one, strict)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel import schemas
-from cartwheel.session import broadcast_if_small, in_parallel, scratch_path, shared_folder
+from cartwheel.session import in_parallel, scratch_path, shared_folder
 from cartwheel.sources import audit, catalog, drift, files, landing
 from conftest import by_key, rows_of, ts
 
@@ -193,10 +193,3 @@ def test_in_parallel_keeps_results_and_errors_apart(spark):
         raise ValueError("no")
     got = in_parallel(spark, {"a": lambda: spark.range(3).count(), "b": fail})
     assert list(got) == ["a", "b"] and got["a"] == 3 and isinstance(got["b"], ValueError)
-
-
-def test_broadcast_only_what_is_small(spark):
-    small, large = spark.range(3), spark.range(5)
-    plan = lambda df: spark.range(9).join(broadcast_if_small(df, 3), "id")._jdf.queryExecution() \
-        .logical().toString()
-    assert "broadcast" in plan(small) and "broadcast" not in plan(large)
