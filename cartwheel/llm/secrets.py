@@ -158,8 +158,11 @@ def find_secrets(docs: DataFrame, rules: Entropy = Entropy()) -> DataFrame:
     none; repeated rows stay; an empty table gives an empty one; other columns are not read.
     """
     found = secret_spans(docs.select("doc_id", "text"), rules)
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, (name, *_) in enumerate(BASE)]
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number(k).alias(f"n_{name}") for k, (name, *_) in enumerate(BASE)]
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"),
                         listed("spans").alias("spans"))
 
@@ -170,7 +173,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rules: Entropy = Entropy())
     Overlapping spans are replaced once. All columns and rows stay; a text without secrets
     and a NULL text stay as they are.
     """
-    found = secret_spans(docs.select("*", F.struct("*").alias("_row")).select("_row", "text"), rules)
+    found = secret_spans(docs.select(F.struct("*").alias("_row"), "text"), rules)
 
     def step(state: Column, span: Column) -> Column:
         between = F.substr(F.col("text"), state["at"] + 1, span["start"] - state["at"])
