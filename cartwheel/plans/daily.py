@@ -11,7 +11,7 @@ from cartwheel.operators import incremental as I
 from cartwheel.operators import quality as Q
 from cartwheel.operators import staging as S
 from cartwheel.plans import calendar, customers, orders, prices, sellers
-from cartwheel.session import in_parallel, tune
+from cartwheel.session import in_parallel, scratch_scope, tune
 from cartwheel.sources.catalog import Tables
 
 
@@ -29,9 +29,15 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
     before any mart is built, and the marts theirs before this returns. Enriched
     orders and items are stored, as several marts read them; the marts can be asked
     for in ``spark.sql`` by name. ``previous_run`` is the ``run_ts`` of the last run, None
-    for the first. Returns the report on the marts.
+    for the first. Intermediate copies are deleted at the end. Returns the report on the marts.
     """
-    spark = tune(tables.spark)
+    with scratch_scope(tune(tables.spark)):
+        return _refresh(tables, run_ts, as_of, previous_run, incremental_sales, look_back_months)
+
+
+def _refresh(tables: Tables, run_ts: datetime, as_of: date, previous_run: datetime | None,
+             incremental_sales: bool, look_back_months: int) -> DataFrame:
+    spark = tables.spark
     raw = {name: tables.table(name) for name in (
         "orders", "order_items", "order_payments", "customers", "sellers", "products", "reviews",
         "product_categories", "marketplace_products")}
@@ -68,8 +74,8 @@ def refresh_marts(tables: Tables, run_ts: datetime, as_of: date,
     models = {
         "mart_customers": customers.mart_customers(lifetime, enriched, reviews),
         "mart_cohorts": customers.mart_cohorts(enriched),
-        "mart_sellers": sellers.mart_sellers(stg_sellers, items, items_enriched, stg_orders,
-                                             reviews),
+        "mart_sellers": sellers.mart_sellers(stg_sellers, items, None, stg_orders, reviews,
+                                             orders.catalogue(products, categories)),
         "mart_customer_features": customers.mart_customer_features(sales, reviews, as_of),
         "mart_price_history": prices.mart_price_history(snap_products, as_of),
         "dim_date": calendar.dim_date(spark),

@@ -11,6 +11,11 @@ from cartwheel.functions import text as X
 ERROR_WIDTH = 300
 PII_REFUSAL = "Question contains personal data. Please rephrase."
 SQL_REFUSAL = "SQL validation failed: "
+NO_STATEMENT = "No statement"
+KEYWORD_REFUSAL = "Forbidden keyword: "
+TABLE_REFUSAL = "Table not in allow-list: "
+NO_JSON = "No JSON in response: "
+UNREADABLE = "Failed to parse response: "
 
 
 def pii_screen(df: DataFrame, text_col: str) -> DataFrame:
@@ -24,13 +29,13 @@ def pii_screen(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def sql_guard(df: DataFrame, sql_col: str, allowed: list[str] | None = None) -> DataFrame:
-    """Whether a statement may run and why not: keywords first, then tables."""
+    """Whether a statement may run and why not: keywords first, then tables. NULL may not."""
     word = X.first_forbidden_keyword(F.col(sql_col))
     table = X.first_table_outside(X.mart_tables(F.col(sql_col)), allowed or X.ALLOWED_TABLES)
     return (
-        df.withColumn("reason", F.when(word.isNotNull(), F.concat(
-            F.lit("Forbidden keyword: "), word))
-            .when(table.isNotNull(), F.concat(F.lit("Table not in allow-list: "), table))
+        df.withColumn("reason", F.when(F.col(sql_col).isNull(), NO_STATEMENT)
+            .when(word.isNotNull(), F.concat(F.lit(KEYWORD_REFUSAL), word))
+            .when(table.isNotNull(), F.concat(F.lit(TABLE_REFUSAL), table))
             .otherwise(""))
         .withColumn("is_valid", F.col("reason") == "")
     )
@@ -56,8 +61,7 @@ def parse_answer(df: DataFrame, raw_col: str) -> DataFrame:
             F.col("_reply").isNotNull(),
             F.coalesce("_reply.tables_used", F.array().cast("array<string>"))))
         .withColumn("error", F.when(F.col("_reply").isNull(), F.concat(
-            F.when(braces.isNull(), "No JSON in response: ")
-             .otherwise("Failed to parse response: "), quoted)))
+            F.when(braces.isNull(), NO_JSON).otherwise(UNREADABLE), quoted)))
         .drop("_body", "_reply")
     )
 

@@ -93,19 +93,23 @@ def orders_enriched(orders: DataFrame, customers: DataFrame, payments: DataFrame
     )
 
 
-def order_items_enriched(items: DataFrame, products: DataFrame,
-                         categories: DataFrame) -> DataFrame:
-    """Items with product attributes and the category in English where there is one.
+def catalogue(products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Products with the category in English where there is one.
 
-    Categories are joined to products first: a category is shared by many items,
-    and products are the smaller table.
+    A category is shared by many items, and products are the smaller table: categories meet
+    products, not items.
     """
-    catalog = products.join(categories.select("category_name_pt", "category_name_en"),
-                            "category_name_pt", "left").select(
+    return products.join(categories.select("category_name_pt", "category_name_en"),
+                         "category_name_pt", "left").select(
         "product_id", "category_name_pt",
         F.coalesce("category_name_en", "category_name_pt").alias("category_name_en"),
         "weight_g", "photos_qty")
-    return items.join(catalog, "product_id", "left").select(
+
+
+def order_items_enriched(items: DataFrame, products: DataFrame,
+                         categories: DataFrame) -> DataFrame:
+    """Items with product attributes and the category in English where there is one."""
+    return items.join(catalogue(products, categories), "product_id", "left").select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_at",
         "price_brl", "freight_brl", "total_brl",
         "category_name_pt", "category_name_en", "weight_g", "photos_qty")

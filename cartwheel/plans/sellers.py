@@ -5,18 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import money_avg, money_sum, ratio, rounded
+from cartwheel.functions.columns import money_sum, ratio, rounded
 from cartwheel.plans.orders import delivered_orders, delivery_measures, review_totals
 
 
-def seller_sales(items_enriched: DataFrame) -> DataFrame:
-    """Products, categories and revenue per seller, over items of any order status."""
+def seller_sales(items: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
+    """Products, categories and revenue per seller, over items of any order status.
+
+    Items are summed up by seller and product before anything else, so a hot product is
+    reduced where it is read and the distinct counts are plain ones. With ``catalogue``
+    (product_id, category_name_en) the category is looked up after that, else items have it.
+    """
     price = F.col("price_brl")
-    return items_enriched.groupBy("seller_id").agg(
-        F.count_distinct("product_id").alias("unique_products"),
-        F.count_distinct("category_name_en").alias("categories_count"),
-        rounded(money_sum(price), 2).alias("total_revenue_brl"),
-        rounded(money_avg(price), 2).alias("avg_item_price_brl"),
+    keys = ["seller_id", "product_id"] + ([] if catalogue is not None else ["category_name_en"])
+    lines = items.groupBy(*keys).agg(money_sum(price).alias("sold"), F.count(price).alias("priced"))
+    if catalogue is not None:
+        lines = lines.join(catalogue.select("product_id", "category_name_en"), "product_id", "left")
+    sold, priced = F.col("sold"), F.col("priced")
+    by_category = lines.groupBy("seller_id", "category_name_en").agg(
+        F.count("product_id").alias("products"), money_sum(sold).alias("sold"),
+        F.sum(priced).alias("priced"))
+    return by_category.groupBy("seller_id").agg(
+        F.sum("products").alias("unique_products"),
+        F.count("category_name_en").alias("categories_count"),
+        rounded(money_sum(sold), 2).alias("total_revenue_brl"),
+        rounded(ratio(money_sum(sold), F.sum(priced)), 2).alias("avg_item_price_brl"),
     )
 
 
@@ -49,16 +62,19 @@ def seller_service(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> D
     )
 
 
-def mart_sellers(sellers: DataFrame, items: DataFrame, items_enriched: DataFrame,
-                 orders: DataFrame, reviews: DataFrame) -> DataFrame:
+def mart_sellers(sellers: DataFrame, items: DataFrame, items_enriched: DataFrame | None,
+                 orders: DataFrame, reviews: DataFrame,
+                 catalogue: DataFrame | None = None) -> DataFrame:
     """One row per seller with at least one item.
 
-    Only the categories need enriched items; the rest reads staged tables.
+    Only the categories need more than staged tables: a ``catalogue`` of products, or items
+    that are enriched already.
     """
+    sales = seller_sales(items_enriched) if catalogue is None else seller_sales(items, catalogue)
     return (
         sellers.select("seller_id", F.col("city").alias("seller_city"),
                        F.col("state").alias("seller_state"))
-        .join(seller_sales(items_enriched), "seller_id")
+        .join(sales, "seller_id")
         .join(seller_service(items, orders, reviews), "seller_id", "left")
         .select(
             "seller_id", "seller_city", "seller_state", "total_orders", "unique_products",

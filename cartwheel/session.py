@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +59,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _FALLBACK_FOLDERS[app]
 
 
+_SCOPES: dict[str, list[str]] = {}
+
+
 def _scratch_root(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    app = spark.sparkContext.applicationId
+    return "/".join([shared_folder(spark), app, *_SCOPES.get(app, [])[-1:]])
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -67,8 +72,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is kept inside the block, in any of its threads, is deleted at its end.
+
+    For a job that stores its results elsewhere; tables that still read a kept copy
+    become invalid.
+    """
+    scopes = _SCOPES.setdefault(spark.sparkContext.applicationId, [])
+    scopes.append(f"scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        clear_scratch(spark)
+        scopes.pop()
+
+
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this application kept; tables that still read from it become invalid."""
+    """Delete what this application, or the current scope, kept; tables that still read
+    from it become invalid."""
     root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from cartwheel.schemas import required_columns
 
 
+#: Rows of a CSV file, which one task reads.
+ROWS_PER_FILE = 1_000_000
+
+
 def enforce_required(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Fail the job on a NULL in a REQUIRED column, in the pass that reads it.
 
@@ -30,8 +34,8 @@ def read_csv_table(spark: SparkSession, path: str | list[str], schema: T.StructT
                    free_text: bool = False) -> DataFrame:
     """A CSV file or folder with one header row; an empty field is NULL.
 
-    ``free_text`` allows line breaks inside quotes. Such files cannot be split,
-    so leave it off for tables that hold none.
+    ``free_text`` allows line breaks inside quotes. Each such file is read by one task;
+    :func:`write_csv` bounds the rows of a file, so only large files from outside are slow.
     """
     raw = (
         spark.read.schema(schema)
@@ -58,6 +62,7 @@ def read_jsonl_table(spark: SparkSession, path: str | list[str],
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     (df.write.mode(mode).option("header", True).option("escape", '"')
+       .option("maxRecordsPerFile", ROWS_PER_FILE)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
@@ -84,12 +89,15 @@ def read_drops(spark: SparkSession, base: str, folder: str, load_dates: Iterable
                schema: T.StructType, fmt: str = "csv", free_text: bool = False) -> DataFrame:
     """Several dated drops as one table, with the date of the folder as ``load_date``.
 
-    Only the folders asked for are listed and read.
+    Only the folders asked for are listed and read. A date given as a text names its folder
+    as it is written; it must be an ISO date, with or without hyphens.
     """
-    paths = [drop_path(base, folder, d) for d in load_dates]
-    day = F.regexp_extract(F.input_file_name(), r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
+    days = {str(d): d if isinstance(d, date) else date.fromisoformat(d) for d in load_dates}
+    paths = [drop_path(base, folder, d) for d in days]
+    named = F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]*$", 1)
+    known = F.create_map(*(F.lit(x) for pair in days.items() for x in pair))
     rows = _read(spark, paths, schema, fmt, free_text)
-    return rows.withColumn("load_date", F.to_date(day))
+    return rows.withColumn("load_date", F.element_at(known, named))
 
 
 def dates_between(start: date, end: date) -> list[date]:

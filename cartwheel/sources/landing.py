@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.schemas import CSV_TABLES, FREE_TEXT_TABLES
+from cartwheel.schemas import CSV_TABLES
 from cartwheel.session import in_parallel
 from cartwheel.sources.replace import Folders, replace_table
 from cartwheel.sources.files import drop_path, read_drop, write_csv
@@ -99,8 +99,8 @@ def load_all(spark: SparkSession, base: str, target: str, load_date: date | str,
     """
     def load_one(name: str, schema: T.StructType) -> int:
         validate_source(spark, drop_path(base, name, load_date))
-        drop = read_drop(spark, base, name, load_date, schema,
-                         free_text=name in FREE_TEXT_TABLES)
+        # Any table may hold a line break inside quotes.
+        drop = read_drop(spark, base, name, load_date, schema, free_text=True)
         if drop.isEmpty():
             raise ValueError(f"source has no rows: {drop_path(base, name, load_date)}")
         return write_counted(drop, f"{target}/{name}")

@@ -131,9 +131,10 @@ class Inputs:
 
     def raw_product_categories(self) -> DataFrame:
         """Without a translation for one type, so that its items keep the first name."""
-        kinds = self.source("part").select("p_type").distinct().where(F.col("p_type") != "PROMO")
+        kinds = self.source("part").select("p_type").distinct()
         return kinds.select(F.col("p_type").alias("product_category_name"),
-                            F.lower("p_type").alias("product_category_name_english"))
+                            F.when(F.col("p_type") != "PROMO", F.lower("p_type"))
+                             .alias("product_category_name_english"))
 
     def raw_reviews(self) -> DataFrame:
         seen = F.col("ts").cast("timestamp")
@@ -328,9 +329,9 @@ class Inputs:
         return customers.mart_cohorts(self.orders_enriched())
 
     def mart_sellers(self) -> DataFrame:
-        return sellers.mart_sellers(self.stg_sellers(), self.stg_order_items(),
-                                    self.items_enriched(), self.stg_orders(),
-                                    self.stg_reviews())
+        return sellers.mart_sellers(
+            self.stg_sellers(), self.stg_order_items(), None, self.stg_orders(), self.stg_reviews(),
+            orders.catalogue(self.stg_products(), self.stg_product_categories()))
 
     def features(self) -> DataFrame:
         return customers.mart_customer_features(self.sales(), self.stg_reviews(), ORDERS_AS_OF)

@@ -12,13 +12,58 @@ from __future__ import annotations
 
 import re
 
-from cartwheel.functions.text import ALLOWED_TABLES, FORBIDDEN_KEYWORDS
-from cartwheel.operators.quality import MART_SUITE, SOURCE_SUITE
-from cartwheel.workload.inputs import LOG_TABLES
+# The lists that the statements check against, written out here and not taken from the code.
+ALLOWED_TABLES = ["mart_sales", "mart_cohorts", "mart_sellers", "mart_price_history", "dim_date"]
+FORBIDDEN_KEYWORDS = ["DROP", "DELETE", "INSERT", "UPDATE", "TRUNCATE", "ALTER", "CREATE", "REPLACE"]
+LOG_TABLES = ["mart_sales", "mart_cohorts", "MART_SELLERS", "mart_price_history", "dim_date",
+              "mart_customers", "raw_orders"]
+# Column checks: table, column, whether it is unique, its accepted values.
+SOURCE_RULES = [
+    ("orders", "order_id", True, None), ("orders", "customer_id", False, None),
+    ("orders", "order_status", False,
+     ("delivered", "shipped", "canceled", "invoiced", "processing", "approved", "unavailable",
+      "created")),
+    ("orders", "order_purchase_timestamp", False, None), ("order_items", "order_id", False, None),
+    ("order_items", "order_item_id", False, None), ("order_items", "price", False, None),
+    ("customers", "customer_id", True, None), ("sellers", "seller_id", True, None),
+    ("products", "product_id", True, None), ("order_payments", "order_id", False, None),
+    ("reviews", "order_id", False, None),
+    ("product_categories", "product_category_name", True, None),
+    ("marketplace_products", "product_id", False, None),
+]
+MART_RULES = [
+    ("mart_sales", "order_id", True, None), ("mart_sales", "customer_id", False, None),
+    ("mart_sales", "order_date", False, None), ("mart_sales", "total_payment_brl", False, None),
+    ("mart_customers", "customer_unique_id", True, None),
+    ("mart_customers", "total_orders", False, None), ("mart_customers", "ltv_brl", False, None),
+    ("mart_customers", "rfm_segment", False,
+     ("champion", "loyal", "at_risk", "hibernating", "new", "lost")),
+    ("mart_customers", "r_score", False, None),
+    ("mart_customers", "days_since_last_order", False, None),
+    ("mart_cohorts", "cohort_month", False, None),
+    ("mart_cohorts", "months_since_first_order", False, None),
+    ("mart_cohorts", "cohort_size", False, None),
+    ("mart_cohorts", "retained_customers", False, None),
+    ("mart_cohorts", "retention_rate_pct", False, None),
+    ("mart_sellers", "seller_id", True, None), ("mart_sellers", "total_orders", False, None),
+    ("mart_sellers", "total_revenue_brl", False, None),
+    ("mart_price_history", "product_id", False, None),
+    ("mart_price_history", "valid_from", False, None),
+    ("mart_price_history", "is_current", False, None),
+    ("mart_price_history", "price_change_direction", False,
+     ("first_record", "increase", "decrease", "unchanged")),
+    ("dim_date", "date_day", True, None), ("dim_date", "year", False, None),
+    ("dim_date", "is_weekend", False, None), ("dim_date", "is_holiday_br", False, None),
+    ("dim_date", "is_holiday_ar", False, None), ("dim_date", "is_business_day_br", False, None),
+    ("mart_customer_features", "customer_unique_id", True, None),
+    ("mart_customer_features", "is_churned", False, None),
+    ("mart_customer_features", "is_at_risk", False, None),
+]
 
 
 def money(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    # Four places keep parts of a cent, and sums below 9e11 convert to DOUBLE without an error.
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,4))) AS DOUBLE)"
 
 
 def rounded(x: str, digits: int) -> str:
@@ -97,8 +142,9 @@ TABLES["raw_products"] = """
     FROM part"""
 
 TABLES["raw_product_categories"] = """
-    SELECT DISTINCT p_type AS product_category_name, lower(p_type) AS product_category_name_english
-    FROM part WHERE p_type <> 'PROMO'"""
+    SELECT DISTINCT p_type AS product_category_name,
+           CASE WHEN p_type <> 'PROMO' THEN lower(p_type) END AS product_category_name_english
+    FROM part"""
 
 TABLES["raw_reviews"] = """
     SELECT CAST(event_id AS VARCHAR) AS review_id, CAST(event_id // 2 AS VARCHAR) AS order_id,
@@ -493,6 +539,17 @@ STATEMENTS["s6_source_gate"] = " UNION ALL ".join(
 STATEMENTS["s7_load_all"] = " UNION ALL ".join(
     f"SELECT '{n}' AS \"table\", 'success' AS status, COUNT(*) AS \"rows\", FALSE AS has_reason "
     f"FROM raw_{n}" for n in _RAW_NAMES) + " UNION ALL SELECT 'returns', 'error', NULL, TRUE"
+STATEMENTS["s6_empty_source"] = """
+    SELECT 'sellers' AS "table", 'success' AS status, COUNT(*) AS "rows" FROM raw_sellers
+    UNION ALL SELECT 'customers', 'error', NULL
+    UNION ALL SELECT 'orders', 'error', NULL"""
+STATEMENTS["s7_failed_load"] = """
+    SELECT seller_id, seller_city, seller_state, 'error' AS second_load FROM raw_sellers"""
+STATEMENTS["s7_quoted_breaks"] = """
+    SELECT seller_id, seller_city || chr(10) || 'south' AS seller_city, seller_state FROM raw_sellers"""
+STATEMENTS["s4_dated_texts"] = """
+    SELECT seller_id, CAST(DATE '2024-01-30' + CAST(i AS INTEGER) AS DATE) AS load_date
+    FROM raw_sellers, range(2) d(i)"""
 STATEMENTS["s8_write_disposition"] = """
     SELECT seller_id, seller_city, seller_state, CAST(2 AS BIGINT) AS copies,
            TRUE AS refused_when_full
@@ -531,6 +588,11 @@ STATEMENTS["r2_top_highlights"] = "SELECT * FROM top_highlights"
 STATEMENTS["r3_min_listing_price"] = """
     SELECT CAST(p_partkey AS VARCHAR) AS product_id, min_price_ars
     FROM part LEFT JOIN lowest ON lowest.product_id = CAST(p_partkey AS VARCHAR)"""
+STATEMENTS["r3_nested_listings"] = """
+    SELECT CAST(l_partkey AS VARCHAR) AS product_id, COUNT(*) AS listings,
+           MIN(CASE WHEN l_returnflag = 'A' AND l_extendedprice <> 0 THEN l_extendedprice END)
+               AS min_price_ars
+    FROM lineitem GROUP BY 1"""
 STATEMENTS["r4_marketplace_products"] = """
     SELECT d.product_id, h.category_id, c.name AS category_name, d.name, d.status, d.domain_id,
            min_price_ars, 'ARS' AS currency, TIMESTAMP '2024-01-31 00:00:00' AS ingested_at
@@ -725,16 +787,16 @@ def _suite(rules, names: dict[str, str]) -> str:
         parts.append(f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", "
                      f"(SELECT COUNT(*) FROM ({violations})) AS failures")
 
-    for rule in rules.columns:
-        source, column = names[rule.table], rule.column
-        add(f"not_null_{column}", rule.table, f"SELECT 1 FROM {source} WHERE {column} IS NULL")
-        if rule.unique:
-            add(f"unique_{column}", rule.table,
+    for table, column, unique, accepted in rules:
+        source = names[table]
+        add(f"not_null_{column}", table, f"SELECT 1 FROM {source} WHERE {column} IS NULL")
+        if unique:
+            add(f"unique_{column}", table,
                 f"SELECT {column} FROM {source} WHERE {column} IS NOT NULL "
                 f"GROUP BY 1 HAVING COUNT(*) > 1")
-        if rule.accepted:
-            add(f"accepted_values_{column}", rule.table,
-                f"SELECT DISTINCT {column} FROM {source} WHERE {column} NOT IN {rule.accepted!r}")
+        if accepted:
+            add(f"accepted_values_{column}", table,
+                f"SELECT DISTINCT {column} FROM {source} WHERE {column} NOT IN {accepted!r}")
     return " UNION ALL ".join(parts)
 
 
@@ -746,9 +808,9 @@ _SOURCE_NAMES = {n: f"raw_{n}" for n in _RAW_NAMES} | {"marketplace_products": "
 _MART_NAMES = {"mart_sales": "sales", "mart_customers": "people", "mart_cohorts": "cohorts",
                "mart_sellers": "shops", "mart_price_history": "ph", "dim_date": "cal",
                "mart_customer_features": "features"}
-STATEMENTS["q10_source_suite"] = _with_status(_suite(SOURCE_SUITE, _SOURCE_NAMES))
+STATEMENTS["q10_source_suite"] = _with_status(_suite(SOURCE_RULES, _SOURCE_NAMES))
 STATEMENTS["q10_mart_suite"] = _with_status(f"""
-    {_suite(MART_SUITE, _MART_NAMES)}
+    {_suite(MART_RULES, _MART_NAMES)}
     UNION ALL SELECT 'delivery_after_purchase', 'mart_sales',
         (SELECT COUNT(*) FROM sales WHERE delivered_to_customer_at < purchased_at)
     UNION ALL SELECT 'revenue_non_negative', 'mart_sales',
@@ -875,6 +937,12 @@ STATEMENTS["i4_backfill"] = f"""
            review_score
     FROM sales"""
 
+STATEMENTS["i3_emptied_last_month"] = f"""
+    SELECT {_STORED}, total_payment_brl, review_score FROM sales WHERE order_date < DATE '2001-06-01'"""
+STATEMENTS["i4_emptied_month"] = f"""
+    SELECT {_STORED}, total_payment_brl, review_score FROM sales
+    WHERE order_date NOT BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'"""
+
 # Word characters of every script; RE2's own word boundary knows only ASCII.
 _W = r"[\pL\pN_]"
 _NOT_W = r"[^\pL\pN_]"
@@ -906,6 +974,10 @@ STATEMENTS["g2_sql_guard"] = f"""
                AS reason,
            word IS NULL AND stray IS NULL AS is_valid
     FROM found"""
+STATEMENTS["g2_missing_statement"] = """
+    SELECT event_id, CASE WHEN event_type = 'view' THEN 'No statement' ELSE '' END AS reason,
+           event_type <> 'view' AS is_valid
+    FROM events"""
 TABLES["parsed"] = r"""
     SELECT conv_id, turn,
            CASE WHEN kind IN (0, 1, 5) THEN statement

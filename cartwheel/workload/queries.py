@@ -160,6 +160,55 @@ def _(t: Inputs) -> DataFrame:
     return status.select("table", "status", "rows", F.col("reason").isNotNull().alias("has_reason"))
 
 
+@query("s6_empty_source")
+def _(t: Inputs) -> DataFrame:
+    """A drop without bytes and one of a header alone fail; the full one beside them loads."""
+    base = scratch_path(t.spark, "drops")
+    landing.land(t.raw_sellers(), base, "sellers", DROP_DATE)
+    landing.land(t.raw_customers().where(F.lit(False)), base, "customers", DROP_DATE)
+    t.raw_orders().select("order_id").where(F.lit(False)).write.text(
+        files.drop_path(base, "orders", DROP_DATE))
+    wanted = {name: schemas.CSV_TABLES[name] for name in ("sellers", "customers", "orders")}
+    return landing.load_all(t.spark, base, scratch_path(t.spark, "raw"), DROP_DATE, wanted,
+                            strict=False).select("table", "status", "rows")
+
+
+@query("s7_failed_load")
+def _(t: Inputs) -> DataFrame:
+    """A good drop, then one with a NULL key: the table keeps the rows of the good one."""
+    base, raw = scratch_path(t.spark, "drops"), scratch_path(t.spark, "raw")
+    wanted = {"sellers": schemas.CSV_TABLES["sellers"]}
+    landing.land(t.raw_sellers(), base, "sellers", DROP_DATE)
+    landing.load_all(t.spark, base, raw, DROP_DATE, wanted)
+    later = DROP_DATE + timedelta(days=1)
+    broken = t.raw_sellers().withColumn(
+        "seller_id", F.when(F.col("seller_id") != "1", F.col("seller_id")))
+    landing.land(broken, base, "sellers", later)
+    status = landing.load_all(t.spark, base, raw, later, wanted, strict=False).first()["status"]
+    return t.spark.read.parquet(f"{raw}/sellers").select(
+        "seller_id", "seller_city", "seller_state", F.lit(status).alias("second_load"))
+
+
+@query("s7_quoted_breaks")
+def _(t: Inputs) -> DataFrame:
+    """Line breaks inside quotes, in a table that is not one of free text."""
+    base, raw = scratch_path(t.spark, "drops"), scratch_path(t.spark, "raw")
+    broken = t.raw_sellers().withColumn("seller_city", F.concat("seller_city", F.lit("\nsouth")))
+    landing.land(broken, base, "sellers", DROP_DATE)
+    landing.load_all(t.spark, base, raw, DROP_DATE, {"sellers": schemas.CSV_TABLES["sellers"]})
+    return t.spark.read.parquet(f"{raw}/sellers").select("seller_id", "seller_city", "seller_state")
+
+
+@query("s4_dated_texts")
+def _(t: Inputs) -> DataFrame:
+    """Drops whose dates are texts, with hyphens and without."""
+    base, days = scratch_path(t.spark, "drops"), ["2024-01-30", "20240131"]
+    for day in days:
+        landing.land(t.raw_sellers(), base, "sellers", day)
+    return files.read_drops(t.spark, base, "sellers", days, schemas.SELLERS).select(
+        "seller_id", "load_date")
+
+
 @query("s8_write_disposition")
 def _(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "table")
@@ -257,6 +306,15 @@ def _(t: Inputs) -> DataFrame:
     return products.join(R.min_price_by_product(t.reply_listings()), "product_id", "left")
 
 
+@query("r3_nested_listings")
+def _(t: Inputs) -> DataFrame:
+    """The lowest price of replies that hold their listings as an array."""
+    replies = t.reply_listings().groupBy("product_id").agg(
+        F.collect_list(F.struct("price")).alias("results"))
+    return replies.select("product_id", F.size("results").cast("long").alias("listings"),
+                          R.min_listing_price(F.col("results")).alias("min_price_ars"))
+
+
 @query("r4_marketplace_products")
 def _(t: Inputs) -> DataFrame:
     return R.build_products(t.reply_categories(), t.reply_highlights(), t.reply_details(),
@@ -792,6 +850,34 @@ def _(t: Inputs) -> DataFrame:
     return _stored_sales(t, path)
 
 
+def _undelivered_between(t: Inputs, start: date, end: date) -> I.Build:
+    """A builder for which no order of a range of dates was delivered."""
+    day = F.to_date("purchased_at")
+    status = F.when(day.between(F.lit(start), F.lit(end)), "canceled").otherwise(F.col("order_status"))
+    return orders.sales_builder(
+        t.stg_orders().withColumn("order_status", status), t.stg_customers(), t.stg_order_payments(),
+        t.stg_order_items(), t.stg_products(), t.stg_product_categories(), t.stg_reviews())
+
+
+@query("i3_emptied_last_month")
+def _(t: Inputs) -> DataFrame:
+    """A refresh after all orders of the last stored month and later were canceled."""
+    path = scratch_path(t.spark, "sales")
+    I.write_partitioned(_sales_builder(t)(date(1995, 1, 1), date(2001, 6, 14)), path)
+    I.incremental_refresh(t.spark, _undelivered_between(t, date(2001, 6, 1), date(2099, 1, 1)), path)
+    return _stored_sales(t, path)
+
+
+@query("i4_emptied_month")
+def _(t: Inputs) -> DataFrame:
+    """A backfill of two months, of which one has no delivered order any more."""
+    path = scratch_path(t.spark, "sales")
+    I.write_partitioned(t.sales(), path)
+    I.backfill(_undelivered_between(t, date(1997, 3, 1), date(1997, 3, 31)), path,
+               date(1997, 2, 10), date(1997, 3, 5))
+    return _stored_sales(t, path)
+
+
 # --- guards --------------------------------------------------------------
 
 @query("g1_pii_documents")
@@ -811,6 +897,14 @@ def _(t: Inputs) -> DataFrame:
     return guards.sql_guard(t.generated_sql(), "sql")
 
 
+@query("g2_missing_statement")
+def _(t: Inputs) -> DataFrame:
+    """A statement that is missing may not run."""
+    sql = F.when(F.col("event_type") != "view", F.lit("SELECT 1"))
+    return guards.sql_guard(t.source("events").select("event_id", sql.alias("sql")), "sql").select(
+        "event_id", "reason", "is_valid")
+
+
 @query("g3_parse_answer")
 def _(t: Inputs) -> DataFrame:
     parsed = guards.parse_answer(t.raw_replies(), "raw")

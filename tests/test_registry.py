@@ -29,10 +29,10 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.QUERIES) == set(driver.oracle_statements())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     df = driver.queries()[name](spark, FOLDER)
     duck.execute(driver.oracle_sql()[name])
