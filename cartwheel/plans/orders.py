@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import days_between, money_sum, ratio, rounded
+from cartwheel.session import keep
 
 DELIVERED = "delivered"
 
@@ -141,7 +142,10 @@ def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
     """The sales fact of a range of order dates, from staged tables.
 
     Orders are cut to the range first and every other table to those orders, so
-    products are looked up, and payments and reviews summed, for the range alone.
+    products are looked up, and payments and reviews summed, for the range alone. The cut
+    orders are stored, so they are read once and Spark knows their size: for a short range it
+    broadcasts their ids, and items, payments and reviews are filtered where they are read
+    instead of being shuffled whole.
     """
     def build(start: date | None = None, end: date | None = None) -> DataFrame:
         if start is None and end is None:
@@ -154,6 +158,7 @@ def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
             cut = cut.where(day >= F.lit(start))
         if end is not None:
             cut = cut.where(day <= F.lit(end))
+        cut = keep(cut, "range-orders")
         ids = cut.select("order_id")
 
         def of_range(table: DataFrame) -> DataFrame:
