@@ -31,6 +31,8 @@ WEIGHTS = (5, 2, 1)
 MAX_SOURCES = 100_000
 #: Documents of a source that are laid out by one task.
 LAID_ROWS = 4096
+#: Slots that one task makes.
+SLOTS_PER_TASK = 1 << 17
 #: Rounds of a permutation, and what its multipliers stay below: products with a block
 #: number must fit into 63 bits.
 ROUNDS = 3
@@ -158,9 +160,11 @@ def _slots(spark, plan: list[dict], mix: Mix) -> DataFrame:
     counts = spark.range(shards).mapInArrow(draw, "shard long, number long, drawn long")
     before = Window.partitionBy("number").orderBy("shard").rowsBetween(
         Window.unboundedPreceding, -1)
+    # The counts are few rows that become many slots: deal them out first.
+    tasks = max(1, int(expected.sum()) // SLOTS_PER_TASK)
     return (
         counts.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
-        .where(F.col("drawn") > 0)
+        .where(F.col("drawn") > 0).repartition(tasks, "number", "shard")
         .select("number", "shard", F.explode(F.sequence(
             F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot")))
 
