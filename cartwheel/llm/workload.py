@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.llm import chat, decontam, language, mixing, neardup, pii, quality, secrets, suffixes, tokens
+from cartwheel.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,5 +81,3 @@ QUERIES: dict[str, Query] = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_secrets": op10_secrets,
 }
-
-ORACLES: dict[str, str] = {}

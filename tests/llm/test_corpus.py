@@ -148,10 +148,13 @@ def test_repeats(spark, monkeypatch, compared):
 
 def test_repeats_across_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "_PIECE", 300)
-    texts = variants(4, 2, 6, size=300)
+    texts = variants(4, 2, 6, size=300) + ["short", "x" * 200]
     rows = list(enumerate(texts))
-    names = suffixes.runs_of(texts[0].encode())
-    assert len(names[0]) > 2  # cut within the driver's process too
+    text, _, _, first, place, last = suffixes.runs_of([t.encode() for t in texts])
+    for i, t in enumerate(texts):  # every window is in one run, in order
+        runs = [(a, b) for k, a, b in zip(text, first, last) if k == i]
+        assert [p for a, b in runs for p in range(a, b + 1)] == list(range(len(t.encode()) - 199))
+    assert ((first <= place) & (place <= last + 136)).all()
     found = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
     assert Counter(map(tuple, found.collect())) == brute_repeats(rows, 200)
 
