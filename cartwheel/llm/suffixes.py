@@ -26,6 +26,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +37,16 @@ from cartwheel.session import keep
 LENGTH = 200
 NAMED = 64
 #: Different runs of one name that are compared with each other.
-COMPARED = 64
+COMPARED = 1024
+
+#: More than any place of a window in its run.
+_WIDE = 1024
 
 #: Positions worked on at once: their places take the low bits of the sort key.
-_PIECE = 1 << 16
+_PIECE = 1 << 15
 _PLACE_BITS = np.uint64(17)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 #: A run in the rounds. Its window i has its sampled position ``anchor - i`` bytes on, for i up
 #: to ``width``; windows of the name have it ``low`` to ``high`` bytes on. ``first`` is the
@@ -50,13 +55,20 @@ ITEM = ("root_name long, root_variant long, name long, variant long, first int,
         "low int, high int, width int, n long, content binary")
 
 
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+
+
 def names_of(data: np.ndarray, size: int = NAMED) -> np.ndarray:
     """The name of the ``size`` bytes (a power of two) from each position on."""
-    names = mix(data.astype(np.uint64) + np.uint64(1))
+    names = _BYTES[data]
     k = 1
     while k < size:
-        names = (names[:-k] * _STEP + names[k:]) * np.uint64(0x9E3779B97F4A7C15)
-        names ^= names >> np.uint64(29)
+        longer = names[:-k] * _STEP
+        longer += names[k:]
+        if k in (2, 8, 32):  # not linear in the bytes
+            longer ^= longer >> np.uint64(31)
+            longer *= _FACTOR
+        names = longer
         k *= 2
     return names
 
@@ -77,48 +89,72 @@ def string_name(content: bytes, place: int) -> int:
     return int.from_bytes(digest.digest(), "little", signed=True)
 
 
-def runs_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """The runs of a text's windows: name, variant, first window, sampled place, last window.
+def runs_of(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """The runs of all texts' windows: text, name, variant, first window, sampled place, last.
 
     The variant names the whole run: all bytes of its windows and the sampled place in them.
+    Texts are worked on side by side, long ones in pieces that overlap.
     """
-    windows = len(text) - length + 1
-    if windows < 1:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none, none
-    data = np.frombuffer(text, dtype=np.uint8)
-    found = []
-    for start in range(0, windows, _PIECE):
-        count = min(_PIECE, windows - start)
-        names = names_of(data[start:start + count + length - 1])
-        places = np.arange(len(names), dtype=np.uint64)
-        keys = (names >> _PLACE_BITS << _PLACE_BITS) | places
-        place = (_lowest(keys, length - NAMED + 1) & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1)))
-        opens = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        closes = np.r_[opens[1:] - 1, count - 1]
-        at = place[opens].astype(np.int64)
-        sizes = closes - opens + length
-        variant = mix((sizes.astype(np.uint64) << np.uint64(20)) ^ (at - opens).astype(np.uint64))
-        for k in range(-(-(2 * length - NAMED) // NAMED)):
-            part = names[np.minimum(opens + NAMED * k, closes + length - NAMED)]
-            variant = mix(variant * _STEP ^ part)
-        found.append((names[at].view(np.int64), variant.view(np.int64),
-                      opens + start, at + start, closes + start))
+    found, held, size = [], [], 0
+    for i, text in enumerate(texts):
+        for start in range(0, len(text) - length + 1, _PIECE):
+            part = text[start:start + _PIECE + length - 1]
+            if size + len(part) > 2 * _PIECE and held:
+                found.append(_runs_side_by_side(held, length))
+                held, size = [], 0
+            held.append((i, start, part))
+            size += len(part)
+    if held:
+        found.append(_runs_side_by_side(held, length))
+    if not found:
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     return tuple(np.concatenate(column) for column in zip(*found))
 
 
+def _runs_side_by_side(parts: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, ...]:
+    sizes = np.array([len(part) for *_, part in parts])
+    starts = np.cumsum(sizes) - sizes
+    names = names_of(np.frombuffer(b"".join(part for *_, part in parts), dtype=np.uint8))
+    keys = (names >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(names), dtype=np.uint64)
+    place = _lowest(keys, length - NAMED + 1) & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))
+    # Windows that reach into the next part are none.
+    edges = np.zeros(len(place) + 1, dtype=np.int8)
+    edges[starts] += 1
+    edges[starts + sizes - length + 1] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8) > 0
+    change = np.r_[True, place[1:] != place[:-1]] | np.r_[True, ~inside[:-1]]
+    opens = np.flatnonzero(inside & change)
+    closes = np.flatnonzero(inside & np.r_[change[1:] | ~inside[1:], True])
+    at = place[opens].astype(np.int64)
+    variant = mix(((closes - opens).astype(np.uint64) << np.uint64(20)) ^ (at - opens).astype(np.uint64))
+    for k in range(-(-(2 * length - NAMED) // NAMED)):
+        part = names[np.minimum(opens + NAMED * k, closes + length - NAMED)]
+        variant = mix(variant * _STEP ^ part)
+    owner = np.searchsorted(starts, opens, "right") - 1
+    shift = np.array([start for _, start, _ in parts])[owner] - starts[owner]
+    text = np.array([i for i, *_ in parts])[owner]
+    return (text, names[at].view(np.int64), variant.view(np.int64), opens + shift, at + shift,
+            closes + shift)
+
+
+def _bounds(text: np.ndarray, count: int) -> np.ndarray:
+    """Where each text's runs begin, and their end."""
+    return np.searchsorted(text, np.arange(count + 1))
+
+
 def _sampled(docs: DataFrame, length: int) -> DataFrame:
     """A row per document: its id and 128-bit key, its size and digest, its runs' names."""
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch.column(3))
-            runs = [runs_of(t, length)[:2] for t in texts]
-            longs = pa.list_(pa.int64())
+            text, name, variant, *_ = runs_of(texts, length)
+            offsets = pa.array(_bounds(text, len(texts)), pa.int32())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), batch.column(2),
                 pa.array([len(t) for t in texts], pa.int64()),
                 pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-                pa.array([r[0] for r in runs], longs), pa.array([r[1] for r in runs], longs),
+                pa.ListArray.from_arrays(offsets, pa.array(name)),
+                pa.ListArray.from_arrays(offsets, pa.array(variant)),
             ], names=["doc_id", "k1", "k2", "n_bytes", "sha256", "names", "variants"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -129,7 +165,7 @@ def _sampled(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _located(docs: DataFrame, flags: DataFrame) -> DataFrame:
-    """The compressed texts of the documents with ``flags`` (k1, k2, row, runs).
+    """The compressed texts of the documents with ``flags`` (k1, k2, row and the places of runs).
 
     Repeated rows have equal texts; one of them serves all.
     """
@@ -141,21 +177,21 @@ def _first_items(located: DataFrame, length: int) -> DataFrame:
     """The runs of open names with their bytes; equal runs are one row with a count."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, flags in zip(unpacked(batch.column(0).to_pylist()), batch.column(1).to_pylist()):
-                name, variant, first, place, last = runs_of(text, length)
-                for flag in flags:
-                    if flag["open"]:
-                        i = flag["place"]
-                        rows.append((int(name[i]), int(variant[i]), int(place[i] - first[i]),
-                                     int(last[i] - first[i]), text[first[i]:last[i] + length]))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            texts = unpacked(batch.column(0).to_pylist())
+            text, name, variant, first, place, last = runs_of(texts, length)
+            begins = _bounds(text, len(texts))
+            places = batch.column(1)
+            at = (begins[pc.list_parent_indices(places).to_numpy()]
+                  + pc.list_flatten(places).to_numpy())
+            content = [texts[i][a:b] for i, a, b in zip(
+                text[at].tolist(), first[at].tolist(), (last[at] + length).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)],
+                [pa.array(name[at]), pa.array(variant[at]),
+                 pa.array((place[at] - first[at]).astype(np.int32)),
+                 pa.array((last[at] - first[at]).astype(np.int32)), pa.array(content, pa.binary())],
                 names=["name", "variant", "anchor", "width", "content"])
 
-    runs = bound_batches(located.select("packed", "runs")).mapInArrow(
+    runs = bound_batches(located.select("packed", "open")).mapInArrow(
         cut, "name long, variant long, anchor int, width int, content binary")
     return runs.groupBy("name", "variant").agg(
         F.count(F.lit(1)).alias("n"), F.max("anchor").alias("anchor"),
@@ -165,13 +201,22 @@ def _first_items(located: DataFrame, length: int) -> DataFrame:
         F.lit(length - NAMED).alias("high"), "width", "n", "content")
 
 
-def _shared(a: bytes, b: bytes) -> int:
-    """How many leading bytes are equal."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    x = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
-    return int(x.argmax())
+def _side_by_side(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as rows, filled up with zeros, and their sizes."""
+    sizes = np.array([len(p) for p in parts])
+    widest = int(sizes.max(initial=0))
+    rows = np.frombuffer(b"".join(p.ljust(widest, b"\0") for p in parts), dtype=np.uint8)
+    return rows.reshape(len(parts), widest), sizes
+
+
+def _agree(rows: np.ndarray, sizes: np.ndarray, i: int) -> np.ndarray:
+    """How many leading bytes of each row are equal to those of row i."""
+    own = int(sizes[i])
+    if not own:
+        return np.zeros(len(rows), dtype=np.int64)
+    differs = rows[:, :own] != rows[i, :own]
+    first = np.where(differs.any(axis=1), differs.argmax(axis=1), own)
+    return np.minimum(first, sizes)
 
 
 def settle(items: list[tuple], length: int) -> Iterator[tuple]:
@@ -181,22 +226,25 @@ def settle(items: list[tuple], length: int) -> Iterator[tuple]:
     sides bounds the windows they share.
     """
     cores = [item[5] - item[6] for item in items]
-    for i, (root_name, root_variant, _, _, first, _, low, high, width, n, content) in enumerate(items):
+    right, right_sizes = _side_by_side([item[10][c:] for item, c in zip(items, cores)])
+    left, left_sizes = _side_by_side([item[10][:c][::-1] for item, c in zip(items, cores)])
+    for i, (root_name, root_variant, _, _, first, _, low, high, width, n, _) in enumerate(items):
+        covered = np.zeros(width + 2, dtype=np.int64)
         if n > 1:
-            yield root_name, root_variant, first, first + width
-            continue
-        core, shared = cores[i], length - (high - low)
-        left, right = content[:core][::-1], content[core:]
-        for j, other in enumerate(items):
-            if i != j:
-                theirs = other[10]
-                ahead = _shared(right, theirs[cores[j]:])
-                if ahead < shared:
-                    continue  # names of different strings met
-                back = _shared(left, theirs[:cores[j]][::-1])
-                start, end = max(core - back, 0), min(core + ahead - length, width)
-                if start <= end:
-                    yield root_name, root_variant, first + start, first + end
+            covered[0] += 1
+        else:
+            ahead = _agree(right, right_sizes, i)
+            starts = np.maximum(cores[i] - _agree(left, left_sizes, i), 0)
+            ends = np.minimum(cores[i] + ahead - length, width)
+            # Names of different strings may meet: those do not agree on the shared bytes.
+            good = (ahead >= length - (high - low)) & (starts <= ends)
+            good[i] = False
+            np.add.at(covered, starts[good], 1)
+            np.add.at(covered, ends[good] + 1, -1)
+        inside = np.r_[False, np.cumsum(covered[:-1]) > 0, False]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            yield root_name, root_variant, first + start, first + end - 1
 
 
 def _settled(items: DataFrame, length: int) -> DataFrame:
@@ -300,35 +348,39 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.col("name").alias("repeated"), (F.col("least") != F.col("most")).alias("open")), "suffix-names")
     hits = keep(runs.join(repeated, F.col("name") == F.col("repeated")).select(
         "row", "place", "open", "name", "variant"), "suffix-hits")
-    flags = hits.groupBy("row").agg(F.collect_list(F.struct("place", "open")).alias("runs")).join(
+    flags = hits.groupBy("row").agg(
+        F.collect_list(F.when(F.col("open"), F.col("place"))).alias("open"),
+        F.collect_list(F.when(~F.col("open"), F.col("place"))).alias("equal")).join(
         sampled.select("row", "k1", "k2"), "row")
     located = keep(_located(docs, flags), "suffix-texts")
 
-    windows = _repeated_windows(_first_items(located, length), length)
-    merged = windows.groupBy("root_name", "root_variant").agg(
-        F.array_sort(F.collect_set(F.struct("low", "high"))).alias("windows"))
+    items = keep(_first_items(located.where(F.size("open") > 0), length), "suffix-items")
+    windows = _repeated_windows(items, length)
+    # A span of windows in a run, as one number.
+    part = F.col("place").cast("long") * _WIDE * _WIDE + F.col("low") * _WIDE + F.col("high")
     spans = (
-        hits.where("open").join(merged, (F.col("name") == F.col("root_name"))
+        hits.where("open").join(windows, (F.col("name") == F.col("root_name"))
                                 & (F.col("variant") == F.col("root_variant")))
-        .groupBy("row").agg(F.collect_list(F.struct("place", "windows")).alias("part")))
+        .groupBy("row").agg(F.collect_list(part).alias("parts")))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            texts = unpacked(batch.column(2).to_pylist())
+            text, _, _, first, _, last = runs_of(texts, length)
+            begins = _bounds(text, len(texts))
             rows = []
-            for text, flags, parts in zip(unpacked(batch.column(2).to_pylist()), batch.column(3).to_pylist(),
-                                          batch.column(4).to_pylist()):
-                _, _, first, _, last = runs_of(text, length)
-                edges = np.zeros(len(text) + 1, dtype=np.int64)
-                whole = [flag["place"] for flag in flags if not flag["open"]]
-                np.add.at(edges, first[whole], 1)
-                np.add.at(edges, last[whole] + length, -1)
-                for part in parts or ():
-                    start = int(first[part["place"]])
-                    for window in part["windows"]:
-                        edges[start + window["low"]] += 1
-                        edges[start + window["high"] + length] -= 1
+            for i, content in enumerate(texts):
+                equal = batch.column(3)[i].values.to_numpy() + begins[i]
+                edges = np.zeros(len(content) + 1, dtype=np.int64)
+                np.add.at(edges, first[equal], 1)
+                np.add.at(edges, last[equal] + length, -1)
+                if batch.column(4)[i].is_valid:
+                    parts = batch.column(4)[i].values.to_numpy()
+                    start = first[parts // _WIDE ** 2 + begins[i]]
+                    np.add.at(edges, start + parts // _WIDE % _WIDE, 1)
+                    np.add.at(edges, start + parts % _WIDE + length, -1)
                 covered = np.cumsum(edges[:-1]) > 0
-                kept = np.frombuffer(text, np.uint8)[~covered].tobytes()
+                kept = np.frombuffer(content, np.uint8)[~covered].tobytes()
                 spans = int(covered[0]) + int((covered[1:] & ~covered[:-1]).sum())
                 rows.append((int(covered.sum()), spans, hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*rows)) or [()] * 3
@@ -339,7 +391,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 names=["k1", "k2", "n_removed", "n_spans", "kept_sha256"])
 
     removed = bound_batches(
-        located.join(spans, "row", "left").select("k1", "k2", "packed", "runs", "part")
+        located.join(spans, "row", "left").select("k1", "k2", "packed", "equal", "parts")
     ).mapInArrow(remove, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string")
     none = F.lit(0).cast("long")
     return sampled.select("doc_id", "k1", "k2", "n_bytes", "sha256").join(
