@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of a batch handed to a Python task; a longer text is a batch alone.
-BATCH_ROWS = 1000
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 500
+BATCH_BYTES = 4 << 20
 #: Bytes of text worked on at once inside a batch, so that arrays stay in the cache.
 CHUNK_BYTES = 1 << 18
 

@@ -1,11 +1,13 @@
 """Near duplicates by min-max hashing, confirmed on full shingle sets.
 
-Documents with equal shingle sets are one node. Nodes that share a band meet in a bucket.
+Documents with equal shingle sets are one node. Nodes that share a band meet in a bucket, and
+buckets that share nodes make a cluster.
 
-1. Every node is compared with one hub, the node most often found as the fullest-connected
-   one of its buckets. Copies of a text thus meet at the text, without pairs among them.
-2. What is still apart inside a bucket is compared in blocks of bounded size: the bucket's
-   smaller groups against the whole bucket. A block gives back only links that join groups.
+* A cluster of bounded size is compared by one task, which gives back the links that join it.
+* In a larger cluster every node is compared with one hub first, the node most often found as
+  the fullest-connected one of its buckets: copies of a text meet at the text, without
+  pairs among them. What is still apart inside a bucket is then compared by pairs if the
+  bucket is small, else in blocks of bounded size: its smaller groups against all of it.
 
 Every confirmed link joins two groups and no link between different groups is left out, so
 the components are those of all links.
@@ -16,19 +18,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.batches import as_bytes, bound_batches, chunks
+from cartwheel.llm.batches import as_bytes, bound_batches, chunks, packed_texts, row_keys, unpacked
 from cartwheel.llm.shingles import WORDS, MinMax, set_key, shingle_sets
 from cartwheel.session import keep
 
 #: Bands of four values: a pair of similarity 0.8 shares none with a chance of 4e-14.
 BANDS = 32
 PERCENT = 80
-#: Nodes and shingles of a block in the second step.
+#: Links that one task thins out.
+LINKS_PER_TASK = 500_000
+#: Nodes and shingles of a cluster that one task compares.
+CLUSTER_NODES = 1024
+CLUSTER_SHINGLES = 2_000_000
+#: In larger clusters: buckets of so many nodes are compared by pairs; in larger ones, nodes and shingles of a block.
+PAIRED_NODES = 64
 BLOCK_NODES = 2048
 BLOCK_SHINGLES = 2_000_000
 
@@ -38,56 +46,92 @@ def similar(shared: Column, a: Column, b: Column, percent: int = PERCENT) -> Col
 
 
 def _signed(docs: DataFrame, words: int, bands: int) -> DataFrame:
-    """doc_id, node (the set's name, NULL if empty), n_shingles and bands of every row."""
+    """doc_id, k1, k2, name (of the set, NULL if empty), n_shingles and bands of every row."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = MinMax(bands)
         for batch in batches:
-            texts = as_bytes(batch.column(1))
-            nodes, sizes, keys = [], [], []
+            texts = as_bytes(batch.column(3))
+            names, sizes, keys = [], [], []
             for run in chunks([len(t) for t in texts]):
                 sets = shingle_sets(texts[run], words)
                 full = [s for s in sets if len(s)]
                 rows = iter(hashing.keys(full) if full else ())
                 for values in sets:
                     sizes.append(len(values))
-                    nodes.append(set_key(values) if len(values) else None)
+                    names.append(set_key(values) if len(values) else None)
                     keys.append(next(rows) if len(values) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()),
+                [*batch.columns[:3], pa.array(names, pa.binary()), pa.array(sizes, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "n_shingles", "bands"])
+                names=["doc_id", "k1", "k2", "name", "n_shingles", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return bound_batches(docs.select("doc_id", "text")).mapInArrow(
-        sign, f"doc_id {kind}, node binary, n_shingles long, bands array<long>")
+    return bound_batches(docs.select("doc_id", *row_keys(), "text")).mapInArrow(
+        sign, f"doc_id {kind}, k1 long, k2 long, name binary, n_shingles long, bands array<long>")
 
 
-def _shingled(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node and its shingles, from one document of each of ``nodes`` (node, doc_id)."""
-    wanted = nodes.select(F.col("doc_id").alias("wanted_id"), F.col("node").alias("wanted"))
-    texts = docs.select("doc_id", "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("wanted", "text")
+class _Forest:
+    """Nodes joined so far inside a task; the smallest of a group is its root."""
 
+    def __init__(self):
+        self.root: dict = {}
+
+    def find(self, x):
+        root = x
+        while self.root.get(root, root) != root:
+            root = self.root[root]
+        while self.root.get(x, x) != root:
+            self.root[x], x = root, self.root[x]
+        return root
+
+    def join(self, a, b) -> bool:
+        low, high = sorted((self.find(a), self.find(b)))
+        if low != high:
+            self.root[high] = low
+        return low != high
+
+
+def _shingled(texts: DataFrame, words: int) -> DataFrame:
+    """node and its sorted shingles, of ``texts`` (node, packed)."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, names = as_bytes(batch.column(1)), batch.column(0).to_pylist()
-            for run in chunks([len(t) for t in texts], 1 << 20):
-                # Another row may have the same id and another text.
-                sets = [(name, s) for name, s in zip(names[run], shingle_sets(texts[run], words))
-                        if set_key(s) == name]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name for name, _ in sets], pa.binary()),
-                     pa.array([np.sort(s.view(np.int64)) for _, s in sets], pa.list_(pa.int64()))],
-                    names=["node", "shingles"])
+            sets = _sets(batch.column(1).to_pylist(), words)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return bound_batches(texts.select("node", "packed")).mapInArrow(
+        cut, "node long, shingles array<long>")
+
+
+def _sets(packed: list[bytes], words: int) -> list[np.ndarray]:
+    """The shingles of compressed texts, sorted as signed numbers."""
+    texts = unpacked(packed)
+    return [np.sort(s.view(np.int64)) for run in chunks([len(t) for t in texts])
+            for s in shingle_sets(texts[run], words)]
+
+
+def _forest(links: DataFrame, parts: int) -> DataFrame:
+    """The links that join the groups of each of ``parts`` tasks."""
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = _Forest()
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                forest.join(a, b)
+        nodes = list(forest.root)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([forest.find(x) for x in nodes], pa.int64())],
+            names=["a", "b"])
 
-    return bound_batches(texts).mapInArrow(cut, "node binary, shingles array<long>").dropDuplicates(["node"])
+    return bound_batches(links.coalesce(parts)).mapInArrow(reduce, "a long, b long").where("a > b")
 
 
 def components(links: DataFrame, label: str = "links") -> DataFrame:
-    """The smallest node that each node of ``links`` (a, b) reaches, as (node, root).
+    """The smallest node that each node of ``links`` (a, b: long) reaches, as (node, root).
 
-    Every round points a node's larger neighbours, then its smaller ones, at the smallest;
-    rounds are written to the shared folder. Nodes without a link are not listed.
+    Tasks that read :data:`LINKS_PER_TASK` links each first thin them out to a forest. If one
+    task saw all, that is the result. Otherwise every round points a node's larger
+    neighbours, then its smaller ones, at the smallest; rounds are written to the shared
+    folder. Nodes without a link are not listed.
     """
     def smallest(edges: DataFrame) -> DataFrame:
         return edges.groupBy("a").agg(F.min("b").alias("low")).select(
@@ -98,13 +142,15 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
                      .first())
 
     # b < a in every row.
-    edges = keep(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .where("a > b").distinct(), label)
-    state = marked(edges)
-    while True:
+    given = keep(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                 .where("a > b"), label)
+    parts = -(-given.count() // LINKS_PER_TASK)
+    edges = keep(_forest(given, max(parts, 1)), label)
+    state = marked(edges) if parts > 1 else None
+    while parts > 1:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (both.where("b > a").join(smallest(both), F.col("a") == F.col("near"))
-                 .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
+                 .select(F.col("b").alias("a"), F.col("low").alias("b")))
         large = keep(large, label)
         low = smallest(large)
         small = (large.join(low, F.col("a") == F.col("near"))
@@ -121,106 +167,187 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _confirmed(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar."""
+    own = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    other = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    return (pairs.join(own, "a").join(other, "b")
+            .where(similar(shared, F.size("left"), F.size("right"), percent)).select("a", "b"))
+
+
 def _first_links(members: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
     """Confirmed links between nodes and the hub they meet most often."""
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("full"))
-    degree = (members.join(sizes, "band").groupBy("node")
-              .agg(F.sum("full").alias("degree")))
-    ranked = members.join(degree, "node").select(
-        "band", "node", F.struct("degree", "node").alias("rank"))
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("full")).where("full > 1")
+    shared = keep(members.join(sizes, "band").select("band", "node", "full"), "near-shared")
+    degree = shared.groupBy("node").agg(F.sum("full").alias("degree"))
+    ranked = keep(shared.join(degree, "node").select(
+        "band", "node", F.struct("degree", "node").alias("rank")), "near-ranked")
     hubs = ranked.groupBy("band").agg(F.max("rank").alias("top"))
     met = (ranked.join(hubs, "band").where("node <> top.node")
            .groupBy("node", F.col("top.node").alias("hub"))
            .agg(F.count(F.lit(1)).alias("often"), F.first("top.degree").alias("degree")))
     best = met.groupBy("node").agg(F.max(F.struct("often", "degree", "hub")).alias("best"))
     pairs = best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"))
-    own = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    other = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    return (pairs.join(own, "a").join(other, "b")
-            .where(similar(shared, F.size("left"), F.size("right"), percent)).select("a", "b"))
+    return _confirmed(pairs, shingles, percent)
 
 
-def _block_links(key, left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _partners(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sorted sets ``others`` are similar to the sorted set ``own``."""
+    sizes = np.array([len(s) for s in others])
+    flat = np.concatenate(others)
+    place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    shared = np.add.reduceat((own[place] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+    return np.flatnonzero(100 * shared >= percent * (sizes + len(own) - shared))
+
+
+def _column(rows: pa.Table, name: str) -> pa.Array:
+    return rows[name].combine_chunks()
+
+
+def _bands(rows: pa.Table) -> np.ndarray:
+    return pc.list_flatten(_column(rows, "bands")).to_numpy().reshape(rows.num_rows, -1)
+
+
+def _cluster_labels(rows: pa.Table, words: int, percent: int) -> pa.Table:
+    """The smallest node that each node of a cluster reaches; pairs that share a band count."""
+    forest = _Forest()
+    nodes, sets = rows["node"].to_pylist(), _sets(rows["packed"].to_pylist(), words)
+    sizes = np.array([len(s) for s in sets])
+    bands = _bands(rows)
+    for i in range(1, len(nodes)):
+        n = sizes[i]
+        able = 100 * np.minimum(sizes[:i], n) >= percent * np.maximum(sizes[:i], n)
+        able &= (bands[:i] == bands[i]).any(axis=1)
+        at = [j for j in np.flatnonzero(able) if forest.find(nodes[i]) != forest.find(nodes[j])]
+        if at:
+            for k in _partners(sets[i], [sets[j] for j in at], percent):
+                forest.join(nodes[i], nodes[at[k]])
+    return pa.table({"node": pa.array(nodes, pa.int64()),
+                     "root": pa.array([forest.find(x) for x in nodes], pa.int64())})
+
+
+def _block_links(rows: pa.Table, percent: int) -> pa.Table:
     """Links between groups that a block's nodes confirm; one per pair of groups it joins."""
-    root: dict = {}
-
-    def find(x):
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-
-    found = []
-    if len(left) and len(right):
-        others = right["shingles_2"].to_list()
-        sizes = np.array([len(s) for s in others])
-        flat = np.concatenate(others)
-        starts = np.cumsum(sizes) - sizes
-        bands = np.stack(right["bands_2"].to_list())
-        groups, nodes = right["grp_2"].to_list(), right["node_2"].to_list()
-        band = key[0]
-        for node, group, own, mine in zip(left["node"], left["grp"], left["shingles"], left["bands"]):
-            n = len(own)
-            able = 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
-            able &= np.array([g != group for g in groups])
-            at = np.flatnonzero(able)
-            if not len(at):
-                continue
-            # A pair is looked at in the first band that it shares.
-            same = bands[at] == np.asarray(mine)
-            at = at[np.asarray(mine)[same.argmax(axis=1)] == band]
-            if not len(at):
-                continue
-            place = np.minimum(np.searchsorted(own, flat), n - 1)
-            shared = np.add.reduceat((own[place] == flat).astype(np.int64), starts)[at]
-            for i in at[100 * shared >= percent * (sizes[at] + n - shared)]:
-                a, b = find(group), find(groups[i])
-                if a != b:
-                    root[a] = b
-                    found.append((node, nodes[i]))
-    return pd.DataFrame(found, columns=["a", "b"])
-
-
-def _other_links(members: DataFrame, shingles: DataFrame, signed: DataFrame, roots: DataFrame,
+    forest, found = _Forest(), []
+    nodes, groups = rows["node"].to_pylist(), rows["grp"].to_pylist()
+    band, is_left = rows["band"][0].as_py(), _column(rows, "left").to_numpy(zero_copy_only=False)
+    held = _column(rows, "shingles")
+    sizes = pc.list_value_length(held).to_numpy()
+    sets = np.split(pc.list_flatten(held).to_numpy(), np.cumsum(sizes)[:-1])
+    bands = _bands(rows)
+    right = np.flatnonzero(~is_left)
+    for i in np.flatnonzero(is_left):
+        n = sizes[i]
+        able = 100 * np.minimum(sizes[right], n) >= percent * np.maximum(sizes[right], n)
+        at = right[able]
+        # A pair is looked at in the first band that it shares.
+        at = at[bands[i][(bands[at] == bands[i]).argmax(axis=1)] == band]
+        at = [j for j in at if forest.find(groups[i]) != forest.find(groups[j])]
+        if at:
+            for k in _partners(sets[i], [sets[j] for j in at], percent):
+                if forest.join(groups[i], groups[at[k]]):
+                    found.append((nodes[i], nodes[at[k]]))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
+                     "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _other_links(members: DataFrame, shingles: DataFrame, nodes: DataFrame, roots: DataFrame,
                  percent: int) -> DataFrame:
     """Confirmed links between groups that still meet in a bucket."""
     labelled = members.join(roots, "node", "left").select(
-        "band", "node", F.coalesce("root", "node").alias("grp"))
-    groups = labelled.groupBy("band", "grp").agg(F.count(F.lit(1)).alias("n"))
+        "band", "node", "n_shingles", F.coalesce("root", "node").alias("grp"))
+    groups = labelled.groupBy("band", "grp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingled"))
     apart = (groups.groupBy("band")
              .agg(F.max(F.struct("n", "grp")).alias("major"), F.sum("n").alias("full"),
-                  F.count(F.lit(1)).alias("groups"))
+                  F.sum("shingled").alias("shingled"), F.count(F.lit(1)).alias("groups"))
              .where("groups > 1").select("band", F.col("major.grp").alias("major"),
-                                         F.col("full"), (F.col("full") - F.col("major.n")).alias("minor")))
-    open_ = keep(labelled.join(apart, "band"), "near-open")
+                                         "full", (F.col("full") - F.col("major.n")).alias("minor"),
+                                         (F.col("shingled") / F.col("full")).alias("mean")))
+    everything = keep(labelled.join(apart, "band"), "near-open")
+    few = everything.where(F.col("full") <= PAIRED_NODES).select(
+        "band", "node", "grp", "n_shingles")
+    others = few.select(*(F.col(c).alias(f"{c}_2") for c in few.columns))
+    pairs = few.join(others, (F.col("band") == F.col("band_2")) & (F.col("node") < F.col("node_2"))
+                     & (F.col("grp") != F.col("grp_2"))).where(
+        100 * F.least("n_shingles", "n_shingles_2") >= percent * F.greatest("n_shingles", "n_shingles_2")
+    ).select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
+    paired = _confirmed(pairs, shingles, percent)
+    open_ = everything.where(F.col("full") > PAIRED_NODES)
     involved = open_.select("node").distinct()
-    facts = signed.join(involved, "node").join(shingles, "node").select(
+    facts = nodes.join(involved, "node").join(shingles, "node").select(
         "node", "bands", "shingles")
-    size = F.size("shingles")
     joined = open_.join(facts, "node")
-    most = keep(joined.groupBy("band").agg(F.avg(size).alias("mean")), "near-means")
-    joined = joined.join(most, "band")
     # Blocks hold a bounded number of nodes, and of shingles where the texts are long.
     per_block = F.least(F.lit(float(BLOCK_NODES)), F.lit(float(BLOCK_SHINGLES)) / F.col("mean"))
     blocks = F.ceil(F.col("full") / per_block).cast("int")
     minor_blocks = F.ceil(F.col("minor") / per_block).cast("int")
     dealt = F.abs(F.hash("node"))
-    columns = ["band", "node", "grp", "bands", "shingles"]
-    left = joined.where("grp <> major").select(
-        *columns, (dealt % minor_blocks).alias("i"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    right = joined.select(
-        *columns, (dealt % blocks).alias("j"),
-        F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"))
-    # New names: both sides come from the same tables.
-    right = right.select(*(F.col(c).alias(f"{c}_2") for c in right.columns))
 
-    def compare(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _block_links(key, a, b, percent)
+    def places(side: str, count: Column, others: Column) -> Column:
+        """The blocks that a node is in, on the left as one of a smaller group, or on the right."""
+        mine = dealt % count
+        return F.transform(F.sequence(F.lit(0), others - 1), lambda other: F.struct(
+            F.lit(side == "left").alias("left"),
+            (mine if side == "left" else other).alias("i"),
+            (other if side == "left" else mine).alias("j")))
+
+    right = places("right", blocks, minor_blocks)
+    both = F.concat(places("left", minor_blocks, blocks), right)
+    placed = joined.select(
+        "band", "node", "grp", "bands", "shingles",
+        F.explode(F.when(F.col("grp") != F.col("major"), both).otherwise(right)).alias("at"))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        return _block_links(rows, percent)
+
+    blocked = placed.select("band", "at.i", "at.j", "at.left", "node", "grp", "bands", "shingles").groupBy(
+        "band", "i", "j").applyInArrow(compare, "a long, b long")
+    return paired.unionByName(blocked)
 
-    return left.groupBy("band", "i", "j").cogroup(
-        right.groupBy("band_2", "i_2", "j_2")).applyInPandas(
-        compare, "a binary, b binary")
+
+def _labelled(docs: DataFrame, words: int, percent: int, bands: int) -> DataFrame:
+    """Every row's doc_id, k1, k2, n_shingles, grp (its component, NULL without shingles) and
+    component_id."""
+    signed = keep(_signed(docs, words, bands), "near-signed")
+    nodes = keep(signed.where("n_shingles > 0").groupBy("name").agg(
+        F.min("doc_id").alias("doc_id"), F.min(F.struct("k1", "k2")).alias("key"),
+        F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"))
+        .withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    every = nodes.select("node", F.explode("bands").alias("band"))
+    buckets = every.groupBy("band").agg(F.count(F.lit(1)).alias("full"), F.min("node").alias("low")).where(
+        "full > 1").select("band", "low")
+    members = keep(every.join(buckets, "band"), "near-members")
+    clusters = keep(components(members.select(F.col("node").alias("a"), F.col("low").alias("b"))),
+                    "near-clusters")
+    met = nodes.join(clusters, "node").select("node", "root", "bands", "n_shingles", "key.k1", "key.k2")
+    large = (met.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("all"))
+             .where((F.col("n") > CLUSTER_NODES) | (F.col("all") > CLUSTER_SHINGLES))
+             .select("root", F.lit(True).alias("large")))
+    # A document that is repeated serves once.
+    texts = keep(met.join(large, "root", "left").join(packed_texts(docs), ["k1", "k2"])
+                 .dropDuplicates(["k1", "k2"]).drop("k1", "k2"), "near-texts")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        return _cluster_labels(rows, words, percent)
+
+    labels = keep(texts.where("large IS NULL").select("root", "node", "bands", "packed")
+                  .groupBy("root").applyInArrow(compare, "node long, root long"), "near-labels")
+    rest = texts.where("large")
+    if not rest.isEmpty():
+        shingles = keep(_shingled(rest, words), "near-shingles")
+        inside = keep(rest.select("node", "n_shingles", F.explode("bands").alias("band")), "near-large")
+        first = keep(_first_links(inside, shingles, percent), "near-first")
+        roots = keep(components(first), "near-roots")
+        more = keep(_other_links(inside, shingles, nodes.select("node", "bands"), roots, percent), "near-more")
+        labels = labels.unionByName(components(first.unionByName(more)))
+    grouped = nodes.select("name", "node", "doc_id").join(labels, "node", "left").select(
+        "name", "doc_id", F.coalesce("root", "node").alias("grp"))
+    least = grouped.groupBy("grp").agg(F.min("doc_id").alias("least"))
+    named = grouped.join(least, "grp").select(F.col("name").alias("of"), "grp", "least")
+    return signed.join(named, F.col("name") == F.col("of"), "left").select(
+        "doc_id", "k1", "k2", "n_shingles", "grp", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
@@ -233,25 +360,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     component; a NULL doc_id counts only where its component has no other. An empty table
     gives an empty one; other columns are not read.
     """
-    signed = keep(_signed(docs, words, bands), "near-signed")
-    nodes = keep(signed.where("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "near-nodes")
-    every = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = every.groupBy("band").count().where("count > 1").select("band")
-    members = keep(every.join(buckets, "band"), "near-members")
-    met = nodes.join(members.select("node").distinct(), "node").select("node", "doc_id")
-    shingles = keep(_shingled(docs, met, words), "near-shingles")
-
-    first = keep(_first_links(members, shingles, percent), "near-first")
-    roots = keep(components(first), "near-roots")
-    more = keep(_other_links(members, shingles, nodes.select("node", "bands"), roots, percent),
-                "near-more")
-    links = first.unionByName(more)
-    final = components(links)
-    least = final.join(nodes.select("node", "doc_id"), "node").groupBy("root").agg(
-        F.min("doc_id").alias("least"))
-    labels = nodes.select("node", "doc_id").join(final, "node", "left").join(least, "root", "left").select(
-        F.col("node").alias("of"), F.coalesce("least", "doc_id").alias("least"))
-    labelled = signed.join(labels, F.col("node") == F.col("of"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
-    return labelled.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _labelled(docs, words, percent, bands).select(
+        "doc_id", "n_shingles", "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
+                            bands: int = BANDS) -> DataFrame:
+    """One row of ``docs`` from each component: of its smallest doc_id; all columns stay.
+
+    Rows without shingles are linked with nothing and all stay. Of repeated rows, and of
+    rows with the smallest doc_id and different texts, one stays.
+    """
+    labelled = _labelled(docs, words, percent, bands)
+    chosen = (labelled.where("n_shingles > 0").groupBy("grp")
+              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("c"))
+              .select(F.col("c.k1").alias("chosen_1"), F.col("c.k2").alias("chosen_2")))
+    bare = labelled.where("n_shingles = 0").select(
+        F.col("k1").alias("chosen_1"), F.col("k2").alias("chosen_2"))
+    stays = keep(chosen.withColumn("once", F.lit(True)).unionByName(
+        bare.distinct().withColumn("once", F.lit(False))), "near-stays")
+    k1, k2 = row_keys()
+    rows = docs.select(F.struct("*").alias("_row"), k1.alias("_k1"), k2.alias("_k2")).join(
+        stays, (F.col("_k1") == F.col("chosen_1")) & (F.col("_k2") == F.col("chosen_2")))
+    tag = F.when(~F.col("once"), F.monotonically_increasing_id())
+    return rows.withColumn("_tag", tag).dropDuplicates(["_k1", "_k2", "_tag"]).select("_row.*")
