@@ -27,7 +27,7 @@ from cartwheel.llm.batches import as_bytes, bound_batches, chunks, packed_texts,
 from cartwheel.llm.shingles import WORDS, MinMax, set_key, shingle_sets
 from cartwheel.session import keep
 
-#: Bands of four values: a pair of similarity 0.8 shares none with a chance of 4e-14.
+#: Bands of four values: a pair of similarity 0.8 shares none with a chance of 5e-8.
 BANDS = 32
 PERCENT = 80
 #: Links that one task thins out.
