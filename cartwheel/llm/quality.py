@@ -20,10 +20,8 @@ from cartwheel.llm.batches import as_bytes, bound_batches
 
 #: Hashed n-grams.
 BUCKETS = 1 << 17
-#: Labelled rows that make the trusted target, drawn by the hash of their id.
-TRUSTED_ROWS = 20_000
-#: Counts added to both sides of a ratio: n-grams seen rarely say little.
-PRIOR = 20.0
+#: Share of all n-grams added to both sides of a ratio: n-grams seen rarely say little.
+PRIOR = 8.27e-6
 #: A document is kept from this mean log ratio on.
 MIN_VALUE = -0.15
 #: Words of the windows whose repeats are counted, and the rules' limits.
@@ -96,17 +94,18 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """The log ratio of every bucket: trusted target against all documents.
 
     Counts are summed by Spark; the driver gets one row per bucket, :data:`BUCKETS` at most.
-    A document counts in the target if any of its labels is good and none is toxic.
+    A document counts in the target if any of its labels is good and none is toxic. Both
+    sides are shares of their n-grams, and so is the prior: a table of twice the documents
+    of the same kind has the same ratios. Without a target all ratios are 0.
     """
     trusted = (
         labels.select("doc_id", "quality", "toxic").where(F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("trusted_id"))
         .agg(F.max("quality").alias("good"), F.max("toxic").alias("toxic"))
         .where((F.col("good") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
-        .orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(TRUSTED_ROWS)
         .select("trusted_id"))
     rows = docs.select("doc_id", "text").join(
-        F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left"
+        trusted, F.col("doc_id") == F.col("trusted_id"), "left"
     ).select("text", F.col("trusted_id").isNotNull().alias("trusted"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +130,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     at = counted["bucket"].to_numpy()
     target, raw = np.zeros(BUCKETS), np.zeros(BUCKETS)
     target[at], raw[at] = counted["target"].to_numpy(), counted["raw"].to_numpy()
-    expected = raw * (target.sum() / max(raw.sum(), 1.0))
-    return np.log((target + PRIOR) / (expected + PRIOR)).astype(np.float32)
+    if not target.any():
+        return target.astype(np.float32)
+    return np.log((target / target.sum() + PRIOR) / (raw / raw.sum() + PRIOR)).astype(np.float32)
 
 
 @dataclass(frozen=True)
