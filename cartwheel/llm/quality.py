@@ -1,25 +1,40 @@
-"""Quality by a log-likelihood ratio of hashed n-grams, after counting rules.
+"""Quality by a log-likelihood ratio of n-grams, after counting rules.
 
-Two multinomials over hashed word unigrams and bigrams are counted: one from a trusted
-target (labelled good and not toxic), one from all documents. A document's value is the
-mean log ratio of its n-grams. Counting rules that need no model come first.
+Two multinomials over word unigrams and bigrams are counted: one from a trusted target
+(labelled good and not toxic), one from all documents. A document's value is the mean log
+ratio of its n-grams. Counting rules that need no model come first.
+
+Documents are dealt to chunks of bounded size by their id. A chunk sends its different
+n-grams (sorted hashes) with their counts to slices of the hash range, in a blob
+per slice; a slice adds up what all chunks sent and answers each with the whole counts of
+its n-grams in the same order. Chunks and slices grow in number with the text, so that no
+task and not the driver holds the whole model; hashes grow in bits with the text.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.batches import as_bytes, bound_batches
+from cartwheel.llm.batches import as_bytes, bound_batches, unpacked
 
-#: Hashed n-grams.
-BUCKETS = 1 << 17
+#: Bytes of text whose n-grams one task counts at once.
+CHUNK = 24 << 20
+#: Bytes of text that are packed together, over all chunks.
+PACKED = 32 << 20
+#: Values of a hash for each byte of text, and in all at least: powers of two. There are
+#: fewer n-grams than bytes, so on average under one in 2^10 shares its hash, at any size.
+SPARE_BITS, LEAST_BITS = 10, 40
+#: Words whose hashes a task remembers before it starts afresh.
+REMEMBERED = 200_000
 #: Share of all n-grams added to both sides of a ratio: n-grams seen rarely say little.
 PRIOR = 8.27e-6
 #: A document is kept from this mean log ratio on.
@@ -80,59 +95,167 @@ def word_chars(text: bytes) -> int:
     return points - sum(text.count(bytes([c])) for c in _SPACE)
 
 
-def gram_buckets(numbers: np.ndarray, different: list[bytes]) -> np.ndarray:
-    """The buckets of a text's unigrams and bigrams."""
-    hashes = np.fromiter(map(zlib.crc32, different), dtype=np.uint64, count=len(different))
-    each = hashes[numbers]
-    pairs = (each[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (each[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-    grams = np.concatenate([each * np.uint64(0x9E3779B97F4A7C15), pairs + np.uint64(1)])
-    grams ^= grams >> np.uint64(29)
-    return ((grams * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(47)).astype(np.int64)
+class _WordHashes(dict):
+    """The hash of 64 bits of each word asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return value
+
+
+def grams_of(texts: Iterable[tuple[np.ndarray, list[bytes]]], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the unigrams and bigrams of texts (as :func:`words_of` gives them), end to
+    end, and how many each text has."""
+    known, found = _WordHashes(), [np.zeros(0, dtype=np.uint64)]
+    for numbers, different in texts:
+        if len(known) > REMEMBERED:
+            known.clear()
+        hashes = np.fromiter(map(known.__getitem__, different), dtype=np.uint64, count=len(different))
+        each = hashes[numbers]
+        pairs = each[:-1] * np.uint64(0x9E3779B97F4A7C15) + each[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        found.append(np.concatenate([each, pairs]) >> np.uint64(64 - bits))
+    return np.concatenate(found), np.array([len(f) for f in found[1:]], dtype=np.int64)
+
+
+def _different(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of an ordered array and how often each occurs."""
+    at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][:len(ordered)])
+    return ordered[at], np.diff(at, append=len(ordered))
+
+
+def _blob(values: np.ndarray) -> bytes:
+    """64-bit values, compressed byte by byte of their significance."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """The log ratio of every bucket: trusted target against all documents.
+def _values(blob: bytes, kind: type = np.int64) -> np.ndarray:
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    return np.ascontiguousarray(data.reshape(8, -1).T).reshape(-1).view(kind)
 
-    Counts are summed by Spark; the driver gets one row per bucket, :data:`BUCKETS` at most.
-    A document counts in the target if any of its labels is good and none is toxic. Both
-    sides are shares of their n-grams, and so is the prior: a table of twice the documents
-    of the same kind has the same ratios. Without a target all ratios are 0.
+
+def _dealt(docs: DataFrame, labels: DataFrame, chunks: int) -> DataFrame:
+    """Packed texts and the ids of the trusted target, dealt to chunks by id.
+
+    A document is in the target if any of its labels is good and none is toxic.
     """
+    kind = docs.schema["doc_id"].dataType
+
+    def chunk(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(chunks)).alias("chunk")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=9)
+
+        def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).sort_by("chunk")
+            numbers = table["chunk"].to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for start, end in zip(cuts, cuts[1:]):
+                texts = as_bytes(table["text"].slice(start, end - start))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(numbers[start])], pa.int64()),
+                     pa.ListArray.from_arrays(
+                         [0, end - start], table["doc_id"].slice(start, end - start).combine_chunks()),
+                     pa.array([list(map(len, texts))], pa.list_(pa.int64())),
+                     pa.array([packer.compress(b"".join(texts))], pa.binary())],
+                    names=["chunk", "ids", "lengths", "packed"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= PACKED:
+                yield from packed(held)
+                held, size = [], 0
+        if size:
+            yield from packed(held)
+
+    # Rows without an id are dealt by their text: no label can be theirs.
+    texts = docs.select(
+        F.when(F.col("doc_id").isNull(), chunk(F.col("text"))).otherwise(chunk(F.col("doc_id"))).alias("chunk"),
+        "doc_id", "text")
     trusted = (
-        labels.select("doc_id", "quality", "toxic").where(F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").alias("trusted_id"))
-        .agg(F.max("quality").alias("good"), F.max("toxic").alias("toxic"))
+        labels.select(F.col("doc_id").cast(kind).alias("doc_id"), "quality", "toxic")
+        .where(F.col("doc_id").isNotNull())
+        .groupBy("doc_id").agg(F.max("quality").alias("good"), F.max("toxic").alias("toxic"))
         .where((F.col("good") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
-        .select("trusted_id"))
-    rows = docs.select("doc_id", "text").join(
-        trusted, F.col("doc_id") == F.col("trusted_id"), "left"
-    ).select("text", F.col("trusted_id").isNotNull().alias("trusted"))
+        .select(chunk(F.col("doc_id")), F.array("doc_id").alias("ids"),
+                F.lit(None).cast("array<bigint>").alias("lengths"), F.lit(None).cast("binary").alias("packed")))
+    packed = bound_batches(texts).mapInArrow(
+        pack, f"chunk long, ids array<{kind.simpleString()}>, lengths array<bigint>, packed binary")
+    return packed.unionByName(trusted).repartition(chunks, "chunk")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, raw = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
-            for text, good in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist()):
-                numbers, different = words_of(text)
-                if len(numbers):
-                    grams = gram_buckets(numbers, different)
-                    np.add.at(raw, grams, 1)
-                    if good:
-                        np.add.at(target, grams, 1)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(target[at]), pa.array(raw[at])],
-            names=["bucket", "target", "raw"])
-
-    counted = (bound_batches(rows)
-               .mapInArrow(count, "bucket long, target long, raw long")
-               .groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
-               .toArrow())
-    at = counted["bucket"].to_numpy()
-    target, raw = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    target[at], raw[at] = counted["target"].to_numpy(), counted["raw"].to_numpy()
-    if not target.any():
-        return target.astype(np.float32)
-    return np.log((target / target.sum() + PRIOR) / (raw / raw.sum() + PRIOR)).astype(np.float32)
+
+def _texts(dealt: pa.Table) -> tuple[pa.Array, np.ndarray, list[bytes]]:
+    """The ids of a chunk's documents, whether each is trusted, and their texts."""
+    named = pc.is_null(dealt["packed"])
+    rows = dealt.filter(pc.invert(named))
+    ids, known = (pc.list_flatten(t["ids"]).combine_chunks() for t in (rows, dealt.filter(named)))
+    texts = []
+    for lengths, data in zip(rows["lengths"].to_pylist(), unpacked(rows["packed"].to_pylist())):
+        ends = np.cumsum(lengths).tolist()
+        texts += [data[end - length:end] for length, end in zip(lengths, ends)]
+    trusted = pc.is_in(ids, value_set=known).to_numpy(zero_copy_only=False).astype(bool)
+    return ids, trusted, texts
+
+
+def _counts(dealt: DataFrame, slices: int, bits: int) -> DataFrame:
+    """For each chunk and slice, the counts of the chunk's n-grams in all documents and in the
+    target, in the order of their hashes, and the sums of the slice."""
+    edges = np.array([(i << bits) // slices for i in range(1, slices)], dtype=np.uint64)
+
+    def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        _, trusted, texts = _texts(table)
+        grams, lengths = grams_of(map(words_of, texts), bits)
+        good, times = np.unique(grams[np.repeat(trusted, lengths)], return_counts=True)
+        grams.sort()
+        found, raw = _different(grams)
+        target = np.zeros(len(found), dtype=np.int64)
+        target[np.searchsorted(found, good)] = times
+        cuts = np.searchsorted(found, edges)
+        steps = [np.diff(part, prepend=np.uint64(0)) for part in np.split(found, cuts)]
+        parts = [[_blob(part) for part in split] for split in (
+            steps, np.split(raw.astype(np.int64), cuts), np.split(target, cuts))]
+        n = slices if texts else 0
+        return pa.table({
+            "chunk": pa.array([key[0].as_py()] * n, pa.int64()), "slice": pa.array(range(n), pa.int64()),
+            **{name: pa.array(blobs[:n], pa.binary()) for name, blobs in zip(("grams", "raw", "target"), parts)}})
+
+    def add(table: pa.Table) -> pa.Table:
+        grams = [np.cumsum(_values(blob, np.uint64), dtype=np.uint64) for blob in table["grams"].to_pylist()]
+        cuts = np.cumsum([len(g) for g in grams])[:-1]
+        joined = np.concatenate(grams)
+        order = np.argsort(joined, kind="stable")
+        opens = np.r_[True, joined[order][1:] != joined[order][:-1]][:len(order)]
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.cumsum(opens) - 1
+        columns = {"chunk": table["chunk"], "slice": table["slice"]}
+        for name in ("raw", "target"):
+            counts = np.concatenate([_values(blob) for blob in table[name].to_pylist()])
+            whole = np.add.reduceat(counts[order], np.flatnonzero(opens)) if len(order) else counts
+            columns[name] = pa.array([_blob(part) for part in np.split(whole[place], cuts)], pa.binary())
+            columns[f"{name}_sum"] = pa.array([int(counts.sum())] * len(grams), pa.int64())
+        return pa.table(columns)
+
+    sent = dealt.groupBy("chunk").applyInArrow(
+        count, "chunk long, slice long, grams binary, raw binary, target binary")
+    return sent.repartition(slices, "slice").groupBy("slice").applyInArrow(
+        add, "chunk long, slice long, raw binary, raw_sum long, target binary, target_sum long")
+
+
+def log_ratios(counts: pa.Table) -> np.ndarray:
+    """The log ratio of a chunk's n-grams, by their hash: trusted target against all documents.
+
+    Both sides are shares of their n-grams, and so is the prior: a table of twice the
+    documents of the same kind has the same ratios. Without a target all ratios are 0.
+    """
+    counts = counts.sort_by("slice")
+    raw, target = (np.concatenate([_values(blob) for blob in counts[name].to_pylist()])
+                   for name in ("raw", "target"))
+    raw_sum, target_sum = (sum(counts[name].to_pylist()) for name in ("raw_sum", "target_sum"))
+    if not target_sum:
+        return np.zeros(len(raw))
+    return np.log((target / target_sum + PRIOR) / (raw / raw_sum + PRIOR))
 
 
 @dataclass(frozen=True)
@@ -151,26 +274,44 @@ def judge(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFra
     empty one; without trusted labels every ratio is that of an empty target. Other
     columns are not read.
     """
-    ratios = log_ratios(docs, labels)
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
+    chunks = max(size // CHUNK + 1, spark.sparkContext.defaultParallelism)
+    bits = min(max(size.bit_length() + SPARE_BITS, LEAST_BITS), 64)
+    dealt = _dealt(docs, labels, chunks)
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in as_bytes(batch.column(1)):
+    def decide(table: pa.Table, counts: pa.Table) -> pa.Table:
+        ids, _, texts = _texts(table)
+        found = []
+
+        def worded() -> Iterator[tuple[np.ndarray, list[bytes]]]:
+            for text in texts:
                 numbers, different = words_of(text)
-                n = len(numbers)
-                repeats = repeated_words(numbers, len(different))
-                value = float(ratios[gram_buckets(numbers, different)].mean()) if n else 0.0
+                n, repeats = len(numbers), repeated_words(numbers, len(different))
                 failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
                 found.append((n, word_chars(text), sum(text.count(bytes([c])) for c in SYMBOLS),
-                              repeated_lines(text), repeats, failed, value,
-                              not failed and value >= rules.min_value))
-            columns = list(zip(*found)) or [()] * 8
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds))],
-                names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                       "n_repeat_words", "base_failed", "value", "kept"])
+                              repeated_lines(text), repeats, failed))
+                yield numbers, different
+
+        grams, lengths = grams_of(worded(), bits)
+        values = np.zeros(len(texts))
+        if len(grams):  # summed in the order of the hashes, to hold few arrays at once
+            order = np.argsort(grams).astype(np.int32 if len(grams) < 1 << 31 else np.int64)
+            times = _different(grams[order])[1]
+            del grams
+            owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)[order]
+            del order
+            values = np.bincount(owner, weights=np.repeat(log_ratios(counts), times), minlength=len(texts))
+            values /= np.maximum(lengths, 1)
+        found = [(*row, value, not row[-1] and value >= rules.min_value)
+                 for row, value in zip(found, values.tolist())]
+        columns = list(zip(*found)) or [()] * 8
+        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
+        return pa.Table.from_arrays(
+            [ids, *(pa.array(list(c), k) for c, k in zip(columns, kinds))],
+            names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                   "n_repeat_words", "base_failed", "value", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return bound_batches(docs.select("doc_id", "text")).mapInArrow(decide, SCHEMA.format(id=kind))
+    return dealt.groupBy("chunk").cogroup(_counts(dealt, chunks, bits).groupBy("chunk")).applyInArrow(
+        decide, SCHEMA.format(id=kind))

@@ -1,7 +1,11 @@
 """The quality ratio counts everything it is given, at any size."""
 
+import math
+import random
+from collections import Counter
+
 import pytest
-from odd import results
+from odd import documents, results
 from pyspark.sql import functions as F
 
 from cartwheel.llm import quality
@@ -36,3 +40,21 @@ def test_every_trusted_row_counts(spark):
     docs = docs.unionByName(said)
     labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     assert all(abs(r["value"]) < 1e-6 for r in results(quality.judge(docs, labels)).values())
+
+
+def test_values_are_of_exact_ngrams(spark, monkeypatch):
+    """Far more n-grams than a fixed number of buckets could tell apart."""
+    monkeypatch.setattr(quality, "CHUNK", 1 << 20, raising=False)
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randrange(200_000)}" if r.random() < 0.7 else r.choice("abcdef")
+                      for _ in range(r.randint(0, 2_000))) for _ in range(300)]
+    labels = spark.createDataFrame([(i, i % 3 % 2, 0) for i in range(300)], LABELS)
+    grams = [Counter(w := t.split()) + Counter(zip(w, w[1:])) for t in texts]
+    raw, target = sum(grams, Counter()), sum(grams[1::3], Counter())
+    assert len(raw) > 200_000
+    every, good = raw.total(), target.total()
+    rows = results(quality.judge(documents(spark, *texts), labels))
+    for i, counts in enumerate(grams):
+        expected = sum(n * math.log((target[g] / good + quality.PRIOR) / (raw[g] / every + quality.PRIOR))
+                       for g, n in counts.items()) / max(counts.total(), 1)
+        assert rows[i]["value"] == pytest.approx(expected, abs=1e-6)
