@@ -76,3 +76,85 @@ ORACLES["op9_near_duplicates"] = r"""
     SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id,
            s.doc_id = component_id AS kept
     FROM sets s JOIN least l ON l.doc_id = s.doc_id"""
+
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                            lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+        lambda x, bit: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+ORACLES["op11_periodic_runs"] = rf"""
+    WITH given AS (
+        SELECT row_number() OVER () AS row, doc_id, {_CRC} AS crc,
+               regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    sized AS (SELECT *, CAST(len(words) AS BIGINT) AS n, crc // 10 AS part FROM given),
+    based AS (SELECT *, CASE WHEN n > 0 THEN part % n END AS a FROM sized),
+    looped AS (
+        SELECT row, doc_id, n, CASE WHEN crc % 10 = 0 AND n > 0 THEN list_transform(
+                   range(n), lambda i: words[1 + CASE WHEN i < a THEN i
+                                             ELSE a + (i - a) % (1 + (n - a) // (3 + part % 8)) END])
+               ELSE words END AS words
+        FROM based),
+    each AS (SELECT row, unnest(words) AS word, unnest(range(n)) AS i FROM looped),
+    sixes AS (
+        SELECT row, unnest(list_transform(range(n - 5), lambda i: array_to_string(words[i + 1:i + 6], ' '))) AS six,
+               unnest(range(n - 5)) AS i
+        FROM looped WHERE n >= 12),
+    met AS (
+        SELECT b.row, b.i - a.i AS lag, b.i FROM sixes a JOIN sixes b
+        ON a.row = b.row AND a.six = b.six AND a.i < b.i),
+    placed AS (SELECT *, i - row_number() OVER (PARTITION BY row, lag ORDER BY i) AS island FROM met),
+    matches AS (
+        SELECT row, lag, MIN(i) - lag AS start, COUNT(*) + 5 AS size FROM placed GROUP BY row, lag, island),
+    runs AS (
+        SELECT row, start, size + lag AS length, MIN(lag) AS period FROM matches
+        WHERE size >= GREATEST(lag, 12 - lag) GROUP BY row, start, size + lag),
+    written AS (
+        SELECT row, COUNT(*) AS n_runs,
+               string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+        FROM runs GROUP BY row),
+    longest AS (
+        SELECT * FROM runs
+        QUALIFY row_number() OVER (PARTITION BY row ORDER BY length DESC, start, period) = 1),
+    dropped AS (
+        SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs),
+    rest AS (
+        SELECT row, string_agg(word, ' ' ORDER BY i) AS kept
+        FROM each e ANTI JOIN dropped d USING (row, i) GROUP BY row)
+    SELECT doc_id, COALESCE(n_runs, 0) AS n_runs, start, length, period,
+           1000 * length // period AS exponent_milli, sha256(COALESCE(lines, '')) AS runs_sha256,
+           sha256(COALESCE(kept, '')) AS collapsed_sha256
+    FROM looped LEFT JOIN written USING (row) LEFT JOIN longest USING (row) LEFT JOIN rest USING (row)"""
+
+ORACLES["op13_search"] = r"""
+    WITH split AS (
+        SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents),
+    held AS (SELECT row, doc_id, terms, len(terms) AS n FROM split WHERE len(terms) > 0),
+    whole AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS words FROM held),
+    item_terms AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    each AS (SELECT row, doc_id, n, unnest(terms) AS term FROM held),
+    counted AS (
+        SELECT row, doc_id, n, term, COUNT(*) AS tf FROM each
+        WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+        FROM counted, whole GROUP BY term, docs),
+    parts AS (
+        SELECT row, doc_id, term,
+               (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)) AS part
+        FROM counted, whole),
+    scored AS (
+        SELECT item_id, row, doc_id, CAST(SUM(w * part) AS BIGINT) AS score
+        FROM parts JOIN item_terms USING (term) JOIN weights USING (term) GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER (
+               PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 10"""

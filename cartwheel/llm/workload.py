@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import chat, decontam, language, mixing, neardup, pii, quality, secrets, suffixes, tokens
+from cartwheel.llm import (chat, decontam, language, mixing, neardup, pieces, pii, quality, runs, search, secrets,
+                           suffixes, tokens)
 from cartwheel.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,12 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_vocabulary() -> str:
+    """Where the model of pieces lies on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -69,6 +76,18 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.find_runs(runs.with_loops(_table(spark, folder, "documents"))))
+
+
+def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(pieces.encode_and_decode(_table(spark, folder, "documents"), piece_vocabulary()))
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_chat_windows": op2_chat_windows,
@@ -80,4 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_ratio": op8_quality_ratio,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_secrets": op10_secrets,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_pieces": op12_pieces,
+    "op13_search": op13_search,
 }
