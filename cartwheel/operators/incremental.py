@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import month_start
-from cartwheel.sources.replace import replace_months, replace_table
+from cartwheel.sources.replace import Folders, recover, replace_months, replace_table
+from cartwheel.sources.versions import VersionedTable
 
 # The date that partitions the mart and the columns that cluster it.
 DATE_COLUMN = "order_date"
@@ -20,7 +21,12 @@ CLUSTER_BY = ("primary_category", "customer_state")
 Build = Callable[[date | None, date | None], DataFrame]
 
 
-def write_partitioned(df: DataFrame, path: str,
+def sales_table(spark: SparkSession, path: str) -> VersionedTable:
+    """A table with versions that is partitioned by the month of the order date."""
+    return VersionedTable(spark, path, MONTH_COLUMN)
+
+
+def write_partitioned(df: DataFrame, target: str | VersionedTable,
                       months: tuple[date, date | None] | None = None) -> None:
     """Write by month of the order date, clustered inside each month.
 
@@ -29,23 +35,37 @@ def write_partitioned(df: DataFrame, path: str,
     sorted by the clustering columns, so each row group holds a narrow range for
     the reader to skip by. With ``months`` (first and last month, None for no last) those
     months are replaced, and one that ``df`` has no row of is emptied; other months stay. A
-    write that fails leaves the table as it was.
+    write that fails leaves the table as it was. In a table with versions all months
+    change at once, and a month that someone else wrote meanwhile is noticed.
     """
+    monthly = df.withColumn(MONTH_COLUMN, month_start(F.col(DATE_COLUMN)))
     rows = (
-        df.withColumn(MONTH_COLUMN, month_start(F.col(DATE_COLUMN)))
-        .hint("rebalance", F.col(MONTH_COLUMN))
+        monthly.hint("rebalance", F.col(MONTH_COLUMN))
         .sortWithinPartitions(MONTH_COLUMN, *CLUSTER_BY)
         .write.partitionBy(MONTH_COLUMN)
     )
-    if months is None:
-        replace_table(df.sparkSession, path, rows.parquet)
+    if isinstance(target, VersionedTable):
+        if months is None:
+            target.replace(monthly, rows.parquet)
+        else:
+            first, last = months
+            target.replace_partitions(monthly, lambda month: first.isoformat() <= month
+                                      and (last is None or month <= last.isoformat()), rows.parquet)
+    elif months is None:
+        replace_table(df.sparkSession, target, rows.parquet)
     else:
-        replace_months(df.sparkSession, path, MONTH_COLUMN, *months, rows.parquet)
+        replace_months(df.sparkSession, target, MONTH_COLUMN, *months, rows.parquet)
+
 
+def stored(spark: SparkSession, target: str | VersionedTable) -> DataFrame:
+    """The rows of a mart, wherever it is stored."""
+    return target.read() if isinstance(target, VersionedTable) else spark.read.parquet(target)
 
-def read_range(spark: SparkSession, path: str, start: date, end: date | None = None) -> DataFrame:
+
+def read_range(spark: SparkSession, target: str | VersionedTable, start: date,
+               end: date | None = None) -> DataFrame:
     """Rows of a date range; the month filter lets Spark list only those folders."""
-    rows = spark.read.parquet(path)
+    rows = stored(spark, target)
     kept = rows.where((F.col(MONTH_COLUMN) >= F.lit(start.replace(day=1)))
                       & (F.col(DATE_COLUMN) >= F.lit(start)))
     if end is not None:
@@ -54,10 +74,12 @@ def read_range(spark: SparkSession, path: str, start: date, end: date | None = N
     return kept
 
 
-def last_date(spark: SparkSession, path: str) -> date | None:
+def last_date(spark: SparkSession, target: str | VersionedTable) -> date | None:
     """The latest order date, read from the last month alone; None for no rows or no table."""
     try:
-        table = spark.read.parquet(path)
+        table = stored(spark, target)
+    except FileNotFoundError:
+        return None
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -74,7 +96,7 @@ def months_before(day: date, months: int) -> date:
     return date(year, month + 1, 1)
 
 
-def incremental_refresh(spark: SparkSession, build: Build, path: str,
+def incremental_refresh(spark: SparkSession, build: Build, target: str | VersionedTable,
                         look_back_months: int = 0) -> None:
     """Recompute from the last stored order date on, or so many months earlier.
 
@@ -85,12 +107,14 @@ def incremental_refresh(spark: SparkSession, build: Build, path: str,
     order that is delivered after the month's last refresh or a late payment or review,
     stays out until a backfill, unless ``look_back_months`` reaches that month.
     """
-    latest = last_date(spark, path)
+    if not isinstance(target, VersionedTable):
+        recover(Folders(spark, target), target)
+    latest = last_date(spark, target)
     if latest is None:
-        write_partitioned(build(None, None), path)
+        write_partitioned(build(None, None), target)
         return
     first = months_before(latest, look_back_months)
-    write_partitioned(build(first, None), path, months=(first, None))
+    write_partitioned(build(first, None), target, months=(first, None))
 
 
 def month_bounds(start: date, end: date) -> tuple[date, date]:
@@ -102,10 +126,10 @@ def month_bounds(start: date, end: date) -> tuple[date, date]:
     return first, date.fromordinal(after.toordinal() - 1)
 
 
-def backfill(build: Build, path: str, start: date, end: date) -> None:
+def backfill(build: Build, target: str | VersionedTable, start: date, end: date) -> None:
     """Recompute the months that a date range touches; other months stay as they are.
 
     A month that has no row any more is emptied.
     """
     first, last = month_bounds(start, end)
-    write_partitioned(build(first, last), path, months=(first, last))
+    write_partitioned(build(first, last), target, months=(first, last))

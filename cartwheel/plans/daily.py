@@ -61,13 +61,13 @@ def _refresh(tables: Tables, run_ts: datetime, as_of: date, previous_run: dateti
     items_enriched = tables.materialize(
         "order_items_enriched", orders.order_items_enriched(items, products, categories), "marts")
 
-    sales_path = tables.path("mart_sales", "marts")
+    sales_target = tables.target("mart_sales", "marts", I.MONTH_COLUMN)
     if incremental_sales:
         build = orders.sales_builder(stg_orders, stg_customers, payments, items, products,
                                      categories, reviews)
-        I.incremental_refresh(spark, build, sales_path, look_back_months)
+        I.incremental_refresh(spark, build, sales_target, look_back_months)
     else:
-        I.write_partitioned(orders.mart_sales(enriched, items_enriched, reviews), sales_path)
+        I.write_partitioned(orders.mart_sales(enriched, items_enriched, reviews), sales_target)
     sales = tables.table("mart_sales", "marts")
     lifetime = customers.customers_lifetime(enriched, as_of)
     snap_products = H.read_history(spark, tables.path("snap_products", "snapshots"), run_ts)

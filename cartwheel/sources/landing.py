@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from cartwheel.schemas import CSV_TABLES
 from cartwheel.session import in_parallel
-from cartwheel.sources.replace import Folders, replace_table
+from cartwheel.sources.replace import Folders, recover, replace_table
+from cartwheel.sources.versions import VersionedTable
 from cartwheel.sources.files import drop_path, read_drop, write_csv
 
 STATUS_SCHEMA = "`table` string, status string, `rows` bigint, reason string"
@@ -55,36 +56,40 @@ def land(df: DataFrame, base: str, folder: str, load_date: date | str,
     return "success"
 
 
-def write_table(df: DataFrame, path: str, disposition: str = "truncate") -> None:
+def write_table(df: DataFrame, target: str | VersionedTable, disposition: str = "truncate") -> None:
     """``truncate`` replaces, ``append`` adds, ``empty`` writes only to an empty table.
 
-    A write that fails leaves the table as it was.
+    A write that fails leaves the table as it was, and a swap that stopped half way is undone
+    before any of them. In a versioned table each write is one version.
     """
-    if disposition == "truncate":
-        replace_table(df.sparkSession, path, df.write.parquet)
-    elif disposition == "append":
-        df.write.mode("append").parquet(path)
-    elif disposition == "empty":
-        spark = df.sparkSession
-        if path_exists(spark, path) and not spark.read.schema(df.schema).parquet(path).isEmpty():
-            raise ValueError(f"table is not empty: {path}")
-        df.write.mode("append").parquet(path)
-    else:
+    if disposition not in ("truncate", "append", "empty"):
         raise ValueError(f"unknown write disposition {disposition!r}")
+    if isinstance(target, VersionedTable):
+        {"truncate": target.replace, "append": target.append, "empty": target.fill}[disposition](df)
+        return
+    spark = df.sparkSession
+    if disposition == "truncate":
+        replace_table(spark, target, df.write.parquet)
+        return
+    recover(Folders(spark, target), target)
+    if disposition == "empty":
+        if path_exists(spark, target) and not spark.read.schema(df.schema).parquet(target).isEmpty():
+            raise ValueError(f"table is not empty: {target}")
+    df.write.mode("append").parquet(target)
 
 
-def write_counted(df: DataFrame, path: str, disposition: str = "truncate") -> int:
+def write_counted(df: DataFrame, target: str | VersionedTable, disposition: str = "truncate") -> int:
     """Write and count in the same pass over the rows."""
     seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, disposition)
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), target, disposition)
     return int(seen.get["rows"])
 
 
-def write_if_nonempty(df: DataFrame, path: str) -> bool:
+def write_if_nonempty(df: DataFrame, target: str | VersionedTable) -> bool:
     """Replace the table, but keep the old one when the batch has no rows or fails."""
     if df.isEmpty():
         return False
-    replace_table(df.sparkSession, path, df.write.parquet)
+    write_table(df, target)
     return True
 
 

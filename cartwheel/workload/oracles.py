@@ -554,6 +554,11 @@ STATEMENTS["s8_write_disposition"] = """
     SELECT seller_id, seller_city, seller_state, CAST(2 AS BIGINT) AS copies,
            TRUE AS refused_when_full
     FROM raw_sellers"""
+STATEMENTS["s8_table_versions"] = """
+    SELECT seller_state, version, CAST(SUM(n) AS BIGINT) AS sellers
+    FROM (SELECT seller_state, COUNT(*) AS n FROM raw_sellers GROUP BY 1),
+         (VALUES (1, 'all'), (2, 'all'), (2, 'some'), (3, 'some')) v(version, part)
+    WHERE part = 'all' OR seller_state <> 'ASIA' GROUP BY 1, 2"""
 STATEMENTS["s9_empty_batch"] = """
     SELECT product_id, product_category_name, TRUE AS first_written, FALSE AS empty_written
     FROM raw_products"""
@@ -564,6 +569,10 @@ STATEMENTS["s11_materialize"] = f"""
     SELECT order_id, {money('payment_value')} AS total_payment_brl, COUNT(*) AS payment_count,
            MAX(payment_type) AS primary_payment_type
     FROM raw_order_payments GROUP BY order_id"""
+STATEMENTS["s11_pinned_reader"] = f"""
+    WITH totals AS ({STATEMENTS["s11_materialize"]})
+    SELECT *, 'first' AS reader FROM totals
+    UNION ALL SELECT *, 'next' FROM totals WHERE payment_count > 1"""
 STATEMENTS["s12_audit_append"] = """
     SELECT CASE WHEN len(tables_referenced) = 0 THEN 'anonymous'
                 ELSE COALESCE(user_id, 'anonymous') END AS user_id,
@@ -937,6 +946,17 @@ STATEMENTS["i4_backfill"] = f"""
            review_score
     FROM sales"""
 
+STATEMENTS["i3_versioned_refresh"] = STATEMENTS["i1_partitioned_mart"]
+_PER_MONTH = """SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month, COUNT(*) AS orders,
+           SUM(CAST(total_payment_brl AS DECIMAL(28,4))) AS total FROM sales GROUP BY 1"""
+STATEMENTS["i4_versioned_backfill"] = f"""
+    SELECT order_month, orders, CAST(total * 10 AS DOUBLE) AS total_payment_brl, 'before' AS state
+    FROM ({_PER_MONTH})
+    UNION ALL
+    SELECT order_month, orders, CAST(total * CASE
+               WHEN order_month BETWEEN DATE '1997-02-01' AND DATE '1997-04-01' THEN 1 ELSE 10 END AS DOUBLE), 'after'
+    FROM ({_PER_MONTH})"""
+
 STATEMENTS["i3_emptied_last_month"] = f"""
     SELECT {_STORED}, total_payment_brl, review_score FROM sales WHERE order_date < DATE '2001-06-01'"""
 STATEMENTS["i4_emptied_month"] = f"""

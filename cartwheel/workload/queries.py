@@ -22,6 +22,7 @@ from cartwheel.operators.ranking import Ntile, global_ntile
 from cartwheel.plans import calendar, customers, guards, metrics, orders, prices, sellers
 from cartwheel.session import keep, keep_all, scratch_path
 from cartwheel.sources import audit, catalog, drift, files, landing
+from cartwheel.sources.versions import VersionedTable
 from cartwheel.workload.inputs import ORDERS_AS_OF, PRICES_AS_OF, RUN_TS, Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,6 +227,19 @@ def _(t: Inputs) -> DataFrame:
             .withColumn("refused_when_full", F.lit(refused)))
 
 
+@query("s8_table_versions")
+def _(t: Inputs) -> DataFrame:
+    """A table filled, added to and replaced: what each version holds, read at the end."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "versions"))
+    rows = t.raw_sellers()
+    for disposition in ("empty", "append", "truncate"):
+        landing.write_table(rows, table, disposition)
+        rows = rows.where(F.col("seller_state") != "ASIA")
+    states = [table.read(number).groupBy("seller_state").agg(F.count(F.lit(1)).alias("sellers"))
+              .withColumn("version", F.lit(number)) for number in (1, 2, 3)]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
 @query("s9_empty_batch")
 def _(t: Inputs) -> DataFrame:
     """A batch without rows leaves the table as it was."""
@@ -258,6 +272,17 @@ def _(t: Inputs) -> DataFrame:
     return tables.materialize("order_payment_totals", totals, "marts")
 
 
+@query("s11_pinned_reader")
+def _(t: Inputs) -> DataFrame:
+    """A mart replaced while it is read: the first reader keeps its rows, the next has the new ones."""
+    tables = catalog.Tables(t.spark, scratch_path(t.spark, "tables"), versioned=True)
+    totals = orders.payment_totals(t.stg_order_payments())
+    pinned = tables.materialize("order_payment_totals", totals, "marts")
+    latest = tables.materialize("order_payment_totals", pinned.where("payment_count > 1"), "marts")
+    return (pinned.withColumn("reader", F.lit("first"))
+            .unionByName(latest.withColumn("reader", F.lit("next"))))
+
+
 @query("s12_audit_append")
 def _(t: Inputs) -> DataFrame:
     """Two batches appended, the second without users and token counts."""
@@ -817,8 +842,8 @@ def _sales_builder(t: Inputs, payments: DataFrame | None = None) -> I.Build:
         t.stg_order_items(), t.stg_products(), t.stg_product_categories(), t.stg_reviews())
 
 
-def _stored_sales(t: Inputs, path: str) -> DataFrame:
-    return t.spark.read.parquet(path).select(
+def _stored_sales(t: Inputs, target: str | VersionedTable) -> DataFrame:
+    return I.stored(t.spark, target).select(
         "order_id", "order_date", "order_month", "customer_state", "primary_category",
         "items_value_brl", "total_payment_brl", "review_score")
 
@@ -851,6 +876,34 @@ def _(t: Inputs) -> DataFrame:
     return _stored_sales(t, path)
 
 
+@query("i3_versioned_refresh")
+def _(t: Inputs) -> DataFrame:
+    """The same refresh twice on a table with versions, of which the last is kept."""
+    table, build = I.sales_table(t.spark, scratch_path(t.spark, "sales")), _sales_builder(t)
+    I.write_partitioned(build(date(1995, 1, 1), date(2001, 6, 14)), table)
+    I.incremental_refresh(t.spark, build, table)
+    I.incremental_refresh(t.spark, build, table)
+    table.remove_old(keep_versions=1)
+    return _stored_sales(t, table)
+
+
+@query("i4_versioned_backfill")
+def _(t: Inputs) -> DataFrame:
+    """A mart with payments ten times too high before and after the repair of a range."""
+    table = I.sales_table(t.spark, scratch_path(t.spark, "sales"))
+    wrong = t.stg_order_payments().withColumn("payment_brl", F.col("payment_brl") * 10)
+    I.write_partitioned(_sales_builder(t, wrong)(date(1995, 1, 1), None), table)
+    before = table.read()
+    I.backfill(_sales_builder(t), table, date(1997, 2, 10), date(1997, 4, 20))
+
+    def months(rows: DataFrame, state: str) -> DataFrame:
+        return rows.groupBy("order_month").agg(
+            F.count(F.lit(1)).alias("orders"),
+            C.money_sum(F.col("total_payment_brl")).alias("total_payment_brl")).withColumn("state", F.lit(state))
+
+    return months(before, "before").unionByName(months(table.read(), "after"))
+
+
 def _undelivered_between(t: Inputs, start: date, end: date) -> I.Build:
     """A builder for which no order of a range of dates was delivered."""
     day = F.to_date("purchased_at")
