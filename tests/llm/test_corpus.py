@@ -181,7 +181,7 @@ def test_reparameterised_question(spark):
         spark, "Look: " + changed + " Indeed", changed.replace("7 kg", "9 kg"), QUESTION + " " + QUESTION,
         QUESTION[:30], "Too short!", "too short here", None, changed.replace("kg", "apples"))
     found = {(r.doc_id, r.item_id): r.changed for r in decontam.find_leaks(docs, items).collect()}
-    assert found == {(0, 1): True, (2, 1): False, (4, 2): False}
+    assert found == {(0, 1): True, (2, 1): False, (4, 2): False, (5, 2): False, (7, 1): True}
 
 
 def test_whole_passages_are_found(spark):
