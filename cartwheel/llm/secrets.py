@@ -1,9 +1,9 @@
 """Secrets in texts, in DataFrame functions only.
 
 Base rules are regular expressions. The method adds strings whose characters look random: a
-window slides over a candidate, and the sum of n·log2(n) over its character counts is updated
-for the character that enters and the one that leaves. Each character class has its own
-threshold; known harmless shapes are suppressed.
+window slides over a candidate and keeps the count of each character; the counts, and the
+sum of n·log2(n) over them, are updated for the character that enters and the one that
+leaves. Each character class has its own threshold; known harmless shapes are suppressed.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.llm.arrays import between, let, pieces, running_max, running_sum
+
 # The base kinds in the order that breaks ties, their patterns, the group whose
 # length counts, and the least length.
 ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
@@ -26,6 +28,10 @@ BASE = (
 ADDED = "entropy"
 KINDS = (*(name for name, *_ in BASE), ADDED)
 
+#: The characters of candidates.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Beyond the end of any text.
+_FAR = 2**31 - 2
 #: Candidates hold a digit; words without one are never secrets.
 CANDIDATE = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}")
 
@@ -53,24 +59,19 @@ class Entropy:
 
 def _located(text: Column, pattern: str, group: int) -> Column:
     """(start, end, value) of every match; the text between matches gives the offsets."""
-    kind = "struct<start:int,end:int,value:string>"
+    kind = "array<struct<start:int,end:int,value:string>>"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     gaps = F.transform(F.split(text, pattern, -1), lambda piece: F.length(piece))
     steps = F.arrays_zip(F.transform(found, lambda m: F.length(m)).alias("size"),
-                         values.alias("value"),
-                         F.slice(gaps, 1, F.size(found)).alias("gap"))
+                         values.alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap"))
 
-    def add(state: Column, step: Column) -> Column:
-        start = state["at"] + step["gap"]
-        end = start + step["size"]
-        return F.struct(end.alias("at"), F.array_append(state["found"], F.struct(
-            start.alias("start"), end.alias("end"), step["value"].alias("value"))).alias("found"))
+    def place(given: Column) -> Column:
+        ends = running_sum(F.transform(given, lambda m: m["gap"] + m["size"]))
+        return F.zip_with(given, ends, lambda m, end: F.struct(
+            (end - m["size"]).alias("start"), end.alias("end"), m["value"].alias("value")))
 
-    none = F.array().cast(f"array<{kind}>")
-    located = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("found")), add,
-                          lambda state: state["found"])
-    return F.when(text.rlike(pattern), located).otherwise(none)
+    return F.when(text.rlike(pattern), let(steps, place).cast(kind)).otherwise(F.array().cast(kind))
 
 
 def _weight(n: Column) -> Column:
@@ -79,32 +80,45 @@ def _weight(n: Column) -> Column:
 
 
 def most_bits(value: Column, window: int) -> Column:
-    """The highest entropy, in bits a character, of any ``window`` characters of ``value``."""
-    def count(inside: Column, character: Column) -> Column:
-        return (F.length(inside) - F.length(F.replace(inside, character, F.lit("")))).cast("double")
-
-    def step(state: Column, i: Column) -> Column:
-        # ``inside`` is the window before character i enters; it is full from i = window on.
-        first = F.greatest(i - window, F.lit(0))
-        inside = F.substr(value, first + 1, i - first)
-        enters, leaves = F.substr(value, i + 1, F.lit(1)), F.substr(value, first + 1, F.lit(1))
-        slides = i >= window
-        n_in, n_out = count(inside, enters), count(inside, leaves)
-        change = (
-            F.when(slides & (enters == leaves), F.lit(0.0))
-            .when(slides, _weight(n_in + 1) - _weight(n_in) + _weight(n_out - 1) - _weight(n_out))
-            .otherwise(_weight(n_in + 1) - _weight(n_in)))
-        total = state["total"] + change
-        bits = math.log2(window) - total / window
-        return F.struct(
-            total.alias("total"),
-            F.when(i >= window - 1, F.greatest(state["most"], bits))
-            .otherwise(state["most"]).alias("most"))
-
-    return F.aggregate(
-        F.sequence(F.lit(0), F.length(value) - 1),
-        F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("most")), step,
-        lambda state: state["most"])
+    """The highest entropy, in bits a character, of any ``window`` characters of ``value``.
+
+    The counts are a text with a character for each one of the alphabet, whose code is the
+    count plus 32.
+    """
+    def kept(counts: Column, place: Column) -> Column:
+        return F.ascii(F.substr(counts, place, F.lit(1))) - 32
+
+    def put(counts: Column, place: Column, n: Column) -> Column:
+        return F.overlay(counts, F.char(n + 32), place, F.lit(1))
+
+    def slide(places: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            entering = F.get(places, i)
+            leaving = F.when(i >= window, F.get(places, i - window)).otherwise(F.lit(0))
+
+            def enter(n: Column) -> Column:
+                return F.struct(put(state["counts"], entering, n + 1).alias("counts"),
+                                (state["total"] + _weight(n + 1) - _weight(n)).alias("total"))
+
+            def leave(held: Column) -> Column:
+                return let(kept(held["counts"], leaving), lambda n: F.struct(
+                    put(held["counts"], leaving, n - 1).alias("counts"),
+                    (held["total"] + _weight(n - 1) - _weight(n)).alias("total")))
+
+            def result(held: Column) -> Column:
+                bits = F.lit(math.log2(window)) - held["total"] / window
+                return F.struct(held["counts"].alias("counts"), held["total"].alias("total"), F.when(
+                    i >= window - 1, F.greatest(state["most"], bits)).otherwise(state["most"]).alias("most"))
+
+            entered = let(kept(state["counts"], entering), enter)
+            return let(let(entered, lambda held: F.when(leaving > 0, leave(held)).otherwise(held)), result)
+
+        start = F.struct(F.lit(" " * len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"),
+                         F.lit(0.0).alias("most"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(places) - 1), start, step, lambda state: state["most"])
+
+    characters = F.filter(F.split(value, ""), lambda c: c != "")
+    return let(F.transform(characters, lambda c: F.instr(F.lit(ALPHABET), c)), slide)
 
 
 def _random(value: Column, rules: Entropy) -> Column:
@@ -135,9 +149,32 @@ def secret_spans(docs: DataFrame, rules: Entropy = Entropy()) -> DataFrame:
 
     based = located.withColumn("base", F.array_sort(F.concat(
         *(kept(place, name, least) for place, (name, _, _, least) in enumerate(BASE)))))
-    fresh = F.filter(F.col(f"_found.{ADDED}"), lambda m: ~F.exists(
-        F.col("base"), lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        & _random(m["value"], rules))
+    def apart(candidates: Column) -> Column:
+        """Candidates that no base span overlaps: going by start, no span before one ends
+        inside it, and none after it begins inside."""
+        def mark(m: Column, added: bool) -> Column:
+            return F.struct(m["start"].alias("start"), F.lit(added).alias("added"), m["end"].alias("end"),
+                            (m["value"] if added else F.lit(None).cast("string")).alias("value"))
+
+        def judged(marks: Column) -> Column:
+            ends = running_max(F.transform(marks, lambda m: F.when(m["added"], -1).otherwise(m["end"])))
+            ahead = running_max(F.reverse(F.transform(
+                marks, lambda m: F.when(m["added"], -1).otherwise(F.lit(_FAR) - m["start"]))))
+            free = F.zip_with(ends, F.reverse(ahead), lambda end, near: F.struct(
+                end.alias("before"), (F.lit(_FAR) - near).alias("after")))
+            return F.transform(F.filter(
+                F.arrays_zip(marks.alias("m"), free.alias("f")),
+                lambda x: x["m"]["added"] & (x["f"]["before"] <= x["m"]["start"]) & (x["f"]["after"] >= x["m"]["end"])),
+                lambda x: x["m"])
+
+        marks = F.array_sort(F.concat(F.transform("base", lambda b: mark(b, False)),
+                                      F.transform(candidates, lambda m: mark(m, True))))
+        return let(marks, judged)
+
+    candidates = F.col(f"_found.{ADDED}")
+    none = F.array().cast("array<struct<start:int,added:boolean,end:int,value:string>>")
+    fresh = F.filter(F.when(F.size(candidates) > 0, apart(candidates)).otherwise(none),
+                     lambda m: _random(m["value"], rules))
     added = F.transform(fresh, lambda m: F.struct(
         m["start"].alias("start"), F.lit(len(BASE)).alias("kind"), m["end"].alias("end")))
     return based.withColumn("spans", F.array_sort(F.concat("base", added))).drop("_found")
@@ -175,18 +212,23 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rules: Entropy = Entropy())
     """
     found = secret_spans(docs.select(F.struct("*").alias("_row"), "text"), rules)
 
-    def step(state: Column, span: Column) -> Column:
-        between = F.substr(F.col("text"), state["at"] + 1, span["start"] - state["at"])
-        covered = span["start"] < state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(covered, state["out"])
-            .otherwise(F.concat(state["out"], between, F.lit(mark))).alias("out"))
-
-    rebuilt = F.aggregate(
-        "spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda state: F.concat(state["out"], F.substr(F.col("text"), state["at"] + 1)))
-    clean = F.when(F.size("spans") > 0, rebuilt).otherwise(F.col("text"))
+    def parts(spans: Column) -> Column:
+        """For each span what lies between it and those before, and the mark; then the rest."""
+        def cut(text: Column) -> Column:
+            def joined(ends: Column) -> Column:
+                def part(span: Column, i: Column) -> Column:
+                    return let(F.when(i == 0, 0).otherwise(F.get(ends, i - 1)), lambda before: F.when(
+                        span["start"] < before, F.lit("")).otherwise(
+                        F.concat(between(text, before, span["start"]), F.lit(mark))))
+
+                last = between(text, F.element_at(ends, -1), F.length("text"))
+                return F.concat(F.array_join(F.transform(spans, part), ""), last)
+
+            return let(running_max(F.transform(spans, lambda s: s["end"])), joined)
+
+        return let(pieces(F.col("text")), cut)
+
+    clean = F.when(F.size("spans") > 0, parts(F.col("spans"))).otherwise(F.col("text"))
     named = found.select("_row", clean.alias("_clean"))
     columns = []
     for name in docs.columns:
