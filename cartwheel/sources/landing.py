@@ -106,9 +106,15 @@ def load_all(spark: SparkSession, base: str, target: str, load_date: date | str,
         validate_source(spark, drop_path(base, name, load_date))
         # Any table may hold a line break inside quotes.
         drop = read_drop(spark, base, name, load_date, schema, free_text=True)
-        if drop.isEmpty():
-            raise ValueError(f"source has no rows: {drop_path(base, name, load_date)}")
-        return write_counted(drop, f"{target}/{name}")
+        seen = Observation()
+
+        def write(folder: str) -> None:
+            drop.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+            if not seen.get["rows"]:
+                raise ValueError(f"source has no rows: {drop_path(base, name, load_date)}")
+
+        replace_table(spark, f"{target}/{name}", write)
+        return int(seen.get["rows"])
 
     return _run_each(spark, tables or CSV_TABLES, load_one, strict)
 

@@ -58,6 +58,16 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in self._files.listStatus(self._path(path)) if s.isFile())
 
+    def data_files(self, path: str) -> dict[str, int]:
+        """Sizes of the files at a path or pattern, or directly below it, that are not hidden."""
+        found = {}
+        for status in self._files.globStatus(self._path(path)) or []:
+            inside = self._files.listStatus(status.getPath()) if status.isDirectory() else [status]
+            for file in inside:
+                if file.isFile() and not file.getPath().getName().startswith(("_", ".")):
+                    found[file.getPath().toString()] = file.getLen()
+        return found
+
     def make(self, path: str) -> None:
         self._files.mkdirs(self._path(path))
 

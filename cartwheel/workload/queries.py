@@ -73,6 +73,23 @@ def _(t: Inputs) -> DataFrame:
     return files.read_csv_table(t.spark, path, schemas.REVIEWS, free_text=True)
 
 
+@query("s1_csv_ranges")
+def _(t: Inputs) -> DataFrame:
+    """Whole documents in one CSV file, their line breaks inside quotes, read in byte ranges."""
+    texts = t.source("documents").select(
+        F.col("doc_id").cast("string").alias("review_id"), F.col("source").alias("order_id"),
+        F.col("n_chars").alias("review_score"), F.col("lang").alias("review_comment_title"),
+        F.col("text").alias("review_comment_message"),
+        F.lit(RUN_TS).cast("timestamp").alias("review_creation_date"),
+        F.lit(None).cast("timestamp").alias("review_answer_timestamp"))
+    path = scratch_path(t.spark, "csv-documents")
+    files.write_csv(texts.coalesce(1), path)
+    read = files.read_csv_table(t.spark, path, schemas.REVIEWS, free_text=True, large=0)
+    return read.select("review_id", "order_id", "review_score", "review_comment_title",
+                       F.length("review_comment_message").alias("chars"),
+                       F.sha2("review_comment_message", 256).alias("digest"))
+
+
 @query("s2_jsonl_load")
 def _(t: Inputs) -> DataFrame:
     rows = t.marketplace_drops().drop("run_ts")
