@@ -34,9 +34,11 @@ def rounded(value: Column, digits: int) -> Column:
     """Round half away from zero, as the decimal number that the value stands for.
 
     A binary quotient can lie a hair below the half it means, as 886731.09 / 6 does;
-    eight decimals are kept before rounding, which takes such a hair away.
+    eight decimals are kept before rounding, which takes such a hair away. A number of
+    1e20 or more, which such a decimal does not hold, is rounded as it is; infinity and NaN stay.
     """
-    return F.round(value.cast("decimal(28,8)"), digits).cast("double")
+    exact = F.round(value.try_cast("decimal(28,8)"), digits).cast("double")
+    return F.coalesce(exact, F.round(value.cast("double"), digits))
 
 
 # --- dates ---------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -27,13 +27,13 @@ def sales_table(spark: SparkSession, path: str) -> VersionedTable:
 
 
 def write_partitioned(df: DataFrame, target: str | VersionedTable,
-                      months: tuple[date, date | None] | None = None) -> None:
+                      months: tuple[date, date | None] | frozenset[date] | None = None) -> None:
     """Write by month of the order date, clustered inside each month.
 
     Rows are brought together by month; Spark splits a large month over several
     tasks and joins small ones, by their measured size. Inside a file they are
     sorted by the clustering columns, so each row group holds a narrow range for
-    the reader to skip by. With ``months`` (first and last month, None for no last) those
+    the reader to skip by. With ``months`` (first and last month, None for no last; or a set of them) those
     months are replaced, and one that ``df`` has no row of is emptied; other months stay. A
     write that fails leaves the table as it was. In a table with versions all months
     change at once, and a month that someone else wrote meanwhile is noticed.
@@ -44,17 +44,21 @@ def write_partitioned(df: DataFrame, target: str | VersionedTable,
         .sortWithinPartitions(MONTH_COLUMN, *CLUSTER_BY)
         .write.partitionBy(MONTH_COLUMN)
     )
+    def replaced(month: str) -> bool:
+        if isinstance(months, frozenset):
+            return month in {m.isoformat() for m in months}
+        first, last = months
+        return first.isoformat() <= month and (last is None or month <= last.isoformat())
+
     if isinstance(target, VersionedTable):
         if months is None:
             target.replace(monthly, rows.parquet)
         else:
-            first, last = months
-            target.replace_partitions(monthly, lambda month: first.isoformat() <= month
-                                      and (last is None or month <= last.isoformat()), rows.parquet)
+            target.replace_partitions(monthly, replaced, rows.parquet)
     elif months is None:
         replace_table(df.sparkSession, target, rows.parquet)
     else:
-        replace_months(df.sparkSession, target, MONTH_COLUMN, *months, rows.parquet)
+        replace_months(df.sparkSession, target, MONTH_COLUMN, replaced, rows.parquet)
 
 
 def stored(spark: SparkSession, target: str | VersionedTable) -> DataFrame:
@@ -133,3 +137,15 @@ def backfill(build: Build, target: str | VersionedTable, start: date, end: date)
     """
     first, last = month_bounds(start, end)
     write_partitioned(build(first, last), target, months=(first, last))
+
+
+def refresh_months(build: Callable[..., DataFrame], target: str | VersionedTable,
+                   months: Iterable[date]) -> None:
+    """Recompute some months, given by their first days; others are neither read nor written.
+
+    ``build(months=...)`` gives the mart of these months. For the months that a load changed
+    see :func:`cartwheel.operators.changes.months_to_refresh`.
+    """
+    chosen = frozenset(months)
+    if chosen:
+        write_partitioned(build(months=sorted(chosen)), target, months=chosen)

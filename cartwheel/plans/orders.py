@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import days_between, money_sum, ratio, rounded
+from cartwheel.functions.columns import days_between, money_sum, month_start, ratio, rounded
 from cartwheel.session import keep
 
 DELIVERED = "delivered"
@@ -138,8 +138,8 @@ def mart_sales(orders_enriched: DataFrame, items_enriched: DataFrame,
 
 def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
                   items: DataFrame, products: DataFrame, categories: DataFrame,
-                  reviews: DataFrame) -> Callable[[date | None, date | None], DataFrame]:
-    """The sales fact of a range of order dates, from staged tables.
+                  reviews: DataFrame) -> Callable[..., DataFrame]:
+    """The sales fact of a range of order dates, or of single months, from staged tables.
 
     Orders are cut to the range first and every other table to those orders, so
     products are looked up, and payments and reviews summed, for the range alone. The cut
@@ -147,8 +147,9 @@ def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
     broadcasts their ids, and items, payments and reviews are filtered where they are read
     instead of being shuffled whole.
     """
-    def build(start: date | None = None, end: date | None = None) -> DataFrame:
-        if start is None and end is None:
+    def build(start: date | None = None, end: date | None = None,
+              months: Sequence[date] | None = None) -> DataFrame:
+        if start is None and end is None and months is None:
             return mart_sales(
                 orders_enriched(orders, customers, payments),
                 order_items_enriched(items, products, categories), reviews)
@@ -158,6 +159,8 @@ def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
             cut = cut.where(day >= F.lit(start))
         if end is not None:
             cut = cut.where(day <= F.lit(end))
+        if months is not None:
+            cut = cut.where(month_start(day).isin(list(months)))
         cut = keep(cut, "range-orders")
         ids = cut.select("order_id")
 

@@ -14,7 +14,7 @@ import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -180,25 +180,23 @@ def replace_table(spark: SparkSession, path: str, write: Callable[[str], None])
         files.delete(old)
 
 
-def replace_months(spark: SparkSession, path: str, column: str, start: date, end: date | None,
+def replace_months(spark: SparkSession, path: str, column: str, replaced: Callable[[str], bool],
                    write: Callable[[str], None]) -> None:
-    """Replace the month folders of a range by those that ``write`` stores.
+    """Replace the folders of the months that ``replaced`` accepts by those that ``write`` stores.
 
-    A month of the range that the new rows do not have is removed; months outside the
-    range stay. Folders are swapped after all of them are written: the old months are kept
+    Such a month that the new rows do not have is removed; other months stay. Folders are swapped after all of them are written: the old months are kept
     aside until the last new one is in place.
     """
     files = Folders(spark, path)
 
     def within(name: str) -> bool:
-        month = name.removeprefix(f"{column}=")
-        return start.isoformat() <= month and (end is None or month <= end.isoformat())
+        return replaced(name.removeprefix(f"{column}="))
 
     with staged(spark, path) as new:
         write(new)
         written = [n for n in files.names(new) if n.startswith(f"{column}=")]
         if outside := [n for n in written if not within(n)]:
-            raise ValueError(f"rows outside of the months {start} to {end}: {outside[0]}")
+            raise ValueError(f"rows outside of the replaced months: {outside[0]}")
         present = [n for n in files.names(path) if n.startswith(f"{column}=") and within(n)]
         aside, done = _beside(path, "months"), _beside(path, "done")
         for name in set(written) - set(present):

@@ -772,6 +772,15 @@ TABLES["late_hist"] = """
                            ELSE dbt_valid_to END AS dbt_valid_to) FROM hist"""
 STATEMENTS["q7_no_overlapping_periods"] = (
     _overlaps("hist", "clean") + " UNION ALL " + _overlaps("late_hist", "late"))
+STATEMENTS["q7_overlapping_pairs"] = """
+    SELECT x.product_id, x.dbt_scd_id AS first_id, y.dbt_scd_id AS second_id,
+           GREATEST(x.dbt_valid_from, y.dbt_valid_from) AS overlap_from,
+           LEAST(COALESCE(x.dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00'),
+                 COALESCE(y.dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00')) AS overlap_to
+    FROM late_hist x JOIN late_hist y ON y.product_id = x.product_id
+         AND x.dbt_scd_id < y.dbt_scd_id
+         AND x.dbt_valid_from < COALESCE(y.dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00')
+         AND y.dbt_valid_from < COALESCE(x.dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00')"""
 STATEMENTS["q7_unique_versions"] = """
     SELECT product_id, date_trunc('week', dbt_valid_from)::TIMESTAMP AS dbt_valid_from,
            COUNT(*) AS n_records
@@ -961,6 +970,16 @@ STATEMENTS["i4_versioned_backfill"] = f"""
                WHEN order_month BETWEEN DATE '1997-02-01' AND DATE '1997-04-01' THEN 1 ELSE 10 END AS DOUBLE), 'after'
     FROM ({_PER_MONTH})"""
 
+STATEMENTS["i3_late_changes"] = STATEMENTS["i1_partitioned_mart"]
+STATEMENTS["i3_changed_orders"] = """
+    WITH changed AS (
+        SELECT order_id FROM raw_reviews WHERE CAST(order_id AS BIGINT) % 641 = 3
+        UNION SELECT order_id FROM raw_order_payments
+              WHERE CAST(order_id AS BIGINT) % 1009 = 6 AND payment_value IS DISTINCT FROM 1
+        UNION SELECT order_id FROM raw_orders WHERE order_id = '7')
+    SELECT c.order_id, CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS order_month
+    FROM changed c LEFT JOIN raw_orders o ON o.order_id = c.order_id"""
+
 STATEMENTS["i3_emptied_last_month"] = f"""
     SELECT {_STORED}, total_payment_brl, review_score FROM sales WHERE order_date < DATE '2001-06-01'"""
 STATEMENTS["i4_emptied_month"] = f"""

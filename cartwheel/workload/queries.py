@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import schemas
 from cartwheel.functions import columns as C
+from cartwheel.operators import changes, intervals
 from cartwheel.operators import history as H
 from cartwheel.operators import incremental as I
 from cartwheel.operators import quality as Q
@@ -667,6 +668,15 @@ def _(t: Inputs) -> DataFrame:
         Q.overlapping_periods(wrong, "product_id").withColumn("kind", F.lit("late")))
 
 
+@query("q7_overlapping_pairs")
+def _(t: Inputs) -> DataFrame:
+    """The pairs of versions behind that check, on the history with late ends."""
+    late = F.timestamp_add("DAY", F.lit(2), F.col("dbt_valid_to"))
+    wrong = t.product_history().withColumn(
+        "dbt_valid_to", F.when(F.col("price_ars") > 200, late).otherwise(F.col("dbt_valid_to")))
+    return intervals.overlapping_pairs(wrong, "product_id")
+
+
 @query("q7_unique_versions")
 def _(t: Inputs) -> DataFrame:
     """On a history whose version starts were cut to weeks."""
@@ -921,6 +931,42 @@ def _(t: Inputs) -> DataFrame:
     return months(before, "before").unionByName(months(table.read(), "after"))
 
 
+def _staged(t: Inputs) -> dict[str, DataFrame]:
+    return {"orders": t.stg_orders(), "customers": t.stg_customers(), "payments": t.stg_order_payments(),
+            "items": t.stg_order_items(), "products": t.stg_products(),
+            "categories": t.stg_product_categories(), "reviews": t.stg_reviews()}
+
+
+def _before_the_load(now: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The staged tables before some reviews came, some payments were corrected and an order was moved."""
+    key = F.col("order_id").cast("long")
+    return now | {
+        "reviews": now["reviews"].where(key % 641 != 3),
+        "payments": now["payments"].withColumn(
+            "payment_brl", F.when(key % 1009 == 6, 1.0).otherwise(F.col("payment_brl"))),
+        "orders": now["orders"].withColumn("purchased_at", F.when(
+            key == 7, F.lit(datetime(1999, 12, 31))).otherwise(F.col("purchased_at")))}
+
+
+@query("i3_late_changes")
+def _(t: Inputs) -> DataFrame:
+    """A mart of the tables before a load, of which only the touched months are made anew."""
+    table, now = I.sales_table(t.spark, scratch_path(t.spark, "sales")), _staged(t)
+    before = _before_the_load(now)
+    I.write_partitioned(orders.sales_builder(**before)(), table)
+    I.refresh_months(orders.sales_builder(**now), table, changes.months_to_refresh(before, now))
+    return _stored_sales(t, table)
+
+
+@query("i3_changed_orders")
+def _(t: Inputs) -> DataFrame:
+    """The orders that a load changed, with the month each is in now."""
+    now = _staged(t)
+    changed = changes.changed_orders(_before_the_load(now), now)
+    return changed.join(now["orders"], "order_id", "left").select(
+        "order_id", C.month_start(F.to_date("purchased_at")).alias("order_month"))
+
+
 def _undelivered_between(t: Inputs, start: date, end: date) -> I.Build:
     """A builder for which no order of a range of dates was delivered."""
     day = F.to_date("purchased_at")

@@ -54,3 +54,16 @@ def test_shorten(spark, text, want):
 def test_differs_treats_null_as_a_value(spark):
     null = F.lit(None).cast("int")
     assert one(spark, C.differs(null, F.lit(1))) and not one(spark, C.differs(null, null))
+
+
+@pytest.mark.parametrize("value, digits, expected", [
+    (1e25, 1, 1e25), (-3e300, 2, -3e300), (float("inf"), 1, float("inf")), (99999999999999999999.0, 0, 1e20),
+    (2.25, 1, 2.3), (-2.25, 1, -2.3), (None, 1, None)])
+def test_rounding_of_numbers_of_any_size(spark, value, digits, expected):
+    row = spark.createDataFrame([(value,)], "x double").select(C.rounded(F.col("x"), digits).alias("r")).first()
+    assert row.r == expected
+
+
+def test_rounding_keeps_nan(spark):
+    row = spark.sql("SELECT double('NaN') AS x").select(C.rounded(F.col("x"), 1).alias("r")).first()
+    assert row.r != row.r
