@@ -86,10 +86,15 @@ def mart_customers(lifetime: DataFrame, orders_enriched: DataFrame,
 
     The lifetime table is stored first, as the scoring reads it several times.
     """
+    return scored_customers(lifetime, customer_reviews(orders_enriched, reviews))
+
+
+def scored_customers(lifetime: DataFrame, review_averages: DataFrame) -> DataFrame:
+    """The same from review averages per person."""
     scores = rfm_scores(keep(lifetime, "lifetime"))
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return (
-        scores.join(customer_reviews(orders_enriched, reviews), "customer_unique_id", "left")
+        scores.join(review_averages, "customer_unique_id", "left")
         .select(
             "customer_unique_id", "first_order_date", "last_order_date", "customer_age_days",
             "days_since_last_order", "total_orders",
@@ -164,6 +169,12 @@ def mart_customer_features(sales: DataFrame, reviews: DataFrame, as_of: date) ->
         F.sum("five_star").alias("five_star"),
         F.sum("low_score").alias("low_score"),
     )
+    return features_of(people, as_of)
+
+
+def features_of(people: DataFrame, as_of: date) -> DataFrame:
+    """The features from a person's sums."""
+    kinds = ("credit_card", "boleto", "voucher")
     known = F.col("customer_unique_id").isNotNull()
 
     def looked_up(value: Column | str) -> Column:
@@ -194,7 +205,7 @@ def mart_customer_features(sales: DataFrame, reviews: DataFrame, as_of: date) ->
         or_zero("on_time").alias("on_time_orders"),
         or_zero("late").alias("late_orders"),
         ratio(or_zero("on_time"), orders_n).alias("on_time_rate"),
-        *[or_zero(f"{kind}_orders").alias(f"{kind}_orders") for kind in by_type],
+        *[or_zero(f"{kind}_orders").alias(f"{kind}_orders") for kind in kinds],
         or_zero("categories").alias("unique_categories_count"),
         or_zero("states").alias("states_ordered_from"),
         (idle > CHURN_DAYS).cast("int").alias("is_churned"),

@@ -980,6 +980,10 @@ STATEMENTS["i3_changed_orders"] = """
     SELECT c.order_id, CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS order_month
     FROM changed c LEFT JOIN raw_orders o ON o.order_id = c.order_id"""
 
+STATEMENTS["m5_merged_state"] = STATEMENTS["m5_mart_customers"]
+STATEMENTS["m8_merged_state"] = STATEMENTS["m8_mart_customer_features"]
+STATEMENTS["m3_day_delta"] = STATEMENTS["m3_customers_lifetime"]
+
 STATEMENTS["i3_emptied_last_month"] = f"""
     SELECT {_STORED}, total_payment_brl, review_score FROM sales WHERE order_date < DATE '2001-06-01'"""
 STATEMENTS["i4_emptied_month"] = f"""

@@ -20,7 +20,7 @@ from cartwheel.operators import incremental as I
 from cartwheel.operators import quality as Q
 from cartwheel.operators import shaping as R
 from cartwheel.operators.ranking import Ntile, global_ntile
-from cartwheel.plans import calendar, customers, guards, metrics, orders, prices, sellers
+from cartwheel.plans import calendar, customers, guards, metrics, orders, person_state, prices, sellers
 from cartwheel.session import keep, keep_all, scratch_path
 from cartwheel.sources import audit, catalog, drift, files, landing
 from cartwheel.sources.versions import VersionedTable
@@ -967,6 +967,44 @@ def _(t: Inputs) -> DataFrame:
         "order_id", C.month_start(F.to_date("purchased_at")).alias("order_month"))
 
 
+def _state_after_a_load(t: Inputs) -> DataFrame:
+    """State per person of the tables before a load, with the touched months computed anew, merged."""
+    table, now = person_state.state_table(t.spark, scratch_path(t.spark, "state")), _staged(t)
+    before = _before_the_load(now)
+
+    def facts(of: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+        enriched = orders.orders_enriched(of["orders"], of["customers"], of["payments"])
+        items = orders.order_items_enriched(of["items"], of["products"], of["categories"])
+        return orders.mart_sales(enriched, items, of["reviews"]), enriched, of["reviews"]
+
+    person_state.refresh_state(table, *facts(before))
+    person_state.refresh_state(table, *facts(now), changes.months_to_refresh(before, now))
+    return keep(person_state.merged(table.read()), "merged-state")
+
+
+@query("m5_merged_state")
+def _(t: Inputs) -> DataFrame:
+    """Lifetime, scores and review averages from merged state."""
+    return person_state.mart_customers(_state_after_a_load(t), ORDERS_AS_OF)
+
+
+@query("m8_merged_state")
+def _(t: Inputs) -> DataFrame:
+    """Churn features from merged state."""
+    return person_state.mart_customer_features(_state_after_a_load(t), ORDERS_AS_OF).withColumn(
+        "stddev_order_value_brl", C.rounded(F.col("stddev_order_value_brl"), 4))
+
+
+@query("m3_day_delta")
+def _(t: Inputs) -> DataFrame:
+    """Lifetime of all orders up to a day, to which the orders of later days are merged."""
+    sales, enriched, reviews = keep(t.sales(), "sales"), t.orders_enriched(), t.stg_reviews()
+    late = F.col("order_date") > F.lit(date(2001, 6, 14))
+    parts = [person_state.merged(person_state.monthly_state(sales.where(when), enriched.where(when), reviews))
+             for when in (~late, late)]
+    return person_state.lifetime(person_state.merged(parts[0].unionByName(parts[1])), ORDERS_AS_OF)
+
+
 def _undelivered_between(t: Inputs, start: date, end: date) -> I.Build:
     """A builder for which no order of a range of dates was delivered."""
     day = F.to_date("purchased_at")
