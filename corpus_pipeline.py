@@ -18,8 +18,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (operator 9)."""
-    return neardup.without_near_duplicates(docs)
+    """One document of each group of near duplicates (operator 9, shingles of five words)."""
+    return neardup.without_near_duplicates(docs, words=5)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
