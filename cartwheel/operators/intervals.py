@@ -10,30 +10,17 @@ places at least, so the rows that are moved stay in proportion to the periods an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.operators.quality import OPEN_END
+from cartwheel.operators.ranking import global_place
 from cartwheel.session import keep
 
 #: Starts and ends in a bucket.
 BUCKET = 1024
 
 
-def _placed(events: DataFrame, *order: Column) -> DataFrame:
-    """``events`` with ``place``, their number in a global order, without one task that sees all."""
-    ordered = keep(
-        events.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("task", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()),
-        "ordered-events")
-    sizes = ordered.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
-    before = F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
-    # One row per task of the sort.
-    shifts = sizes.select("task", "first", F.coalesce(before, F.lit(0)).alias("before"))
-    return ordered.join(F.broadcast(shifts), "task").withColumn(
-        "place", F.col("row") - F.col("first") + F.col("before")).drop("task", "row", "first", "before")
-
-
 def overlapping_pairs(history: DataFrame, key: str, id_column: str = "dbt_scd_id",
                       start: str = "dbt_valid_from", end: str = "dbt_valid_to",
                       bucket: int = BUCKET) -> DataFrame:
@@ -51,7 +38,7 @@ def overlapping_pairs(history: DataFrame, key: str, id_column: str = "dbt_scd_id
     events = periods.select("period", "k", F.explode(F.array(
         F.struct(F.col("s").alias("at"), F.lit(1).alias("kind")),
         F.struct(F.col("e").alias("at"), F.lit(0).alias("kind")))).alias("event")).select("period", "k", "event.*")
-    placed = _placed(events, F.col("k"), F.col("at"), F.col("kind"), F.col("period"))
+    placed = global_place(events, F.col("k"), F.col("at"), F.col("kind"), F.col("period"))
     reaches = placed.groupBy("period").agg(
         F.max(F.when(F.col("kind") == 1, F.col("place"))).alias("opens"),
         F.max(F.when(F.col("kind") == 0, F.col("place"))).alias("closes"))

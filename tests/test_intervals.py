@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from cartwheel.operators import intervals
 from cartwheel.operators import quality as Q
+from cartwheel.operators import ranking
 
 HISTORY = "k string, dbt_scd_id string, dbt_valid_from timestamp, dbt_valid_to timestamp"
 
@@ -65,12 +66,13 @@ def test_a_hot_key_is_split(spark, monkeypatch):
         return seen[label]
 
     monkeypatch.setattr(intervals, "keep", keep)
+    monkeypatch.setattr(ranking, "keep", keep)
     found = intervals.overlapping_pairs(history, "k", bucket=512)
     assert found.count() == 2 * n // 1000
     swept = seen["swept-periods"]
     rows = swept.selectExpr("explode(sequence(opens div 512, (closes - 1) div 512)) AS bucket").groupBy("bucket").count()
     assert rows.count() > 700 and rows.agg({"count": "max"}).first()[0] <= 600
-    assert seen["ordered-events"].select("task").distinct().count() > 1
+    assert seen["ordered-rows"].select("_task").distinct().count() > 1
 
 
 def test_one_open_version_and_many_others(frame):
