@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: an open period counts as ending here.
@@ -234,31 +234,56 @@ def volume_check(as_of: date) -> ModelCheck:
                       lambda t: volume_anomalies(t["mart_sales"], as_of))
 
 
+def _column_report(df: DataFrame, table: str, rules: list[ColumnRules]) -> DataFrame:
+    """The checks of a table's columns, in one pass over it and one shuffle.
+
+    A row gives an entry for each rule it breaks, and for each unique column its value; entries
+    are counted by check and value, where each column has a key of its own type. A task adds up the
+    entries it has, so a value that fills the table, or a column of NULLs, is one row of it.
+    """
+    keyed = [rule for rule in rules if rule.unique or rule.accepted]
+    names = [f"_key{i}" for i in range(len(keyed))]
+
+    def entry(check: str, counts: str, rule: ColumnRules | None = None) -> Column:
+        keys = [(F.col(rule.column) if rule is own else F.lit(None).cast(df.schema[own.column].dataType)).alias(name)
+                for name, own in zip(names, keyed)]
+        return F.struct(F.lit(check).alias("check"), F.lit(counts).alias("counts"), *keys)
+
+    entries, checks = [], []
+    for rule in rules:
+        value = F.col(rule.column)
+        if rule.not_null:
+            checks.append(f"not_null_{rule.column}")
+            entries.append(F.when(value.isNull(), entry(checks[-1], "rows")))
+        if rule.unique:
+            checks.append(f"unique_{rule.column}")
+            entries.append(F.when(value.isNotNull(), entry(checks[-1], "repeated values", rule)))
+        if rule.accepted:
+            checks.append(f"accepted_values_{rule.column}")
+            entries.append(F.when(~value.isin(list(rule.accepted)), entry(checks[-1], "values", rule)))
+    broken = df.select(F.explode(F.array_compact(F.array(*entries))).alias("entry")).select("entry.*")
+    values = broken.groupBy("check", "counts", *names).agg(F.count(F.lit(1)).alias("n"))
+    found = F.when(F.col("counts") == "rows", F.col("n")).when(
+        F.col("counts") == "repeated values", (F.col("n") > 1).cast("long")).otherwise(1)
+    # Checks without an entry found nothing.
+    declared = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, checks))).alias("check"), F.lit(0).alias("n"))
+    return (
+        values.select("check", found.cast("long").alias("n")).unionByName(declared.withColumn("n", F.col("n").cast("long")))
+        .groupBy("check").agg(F.sum("n").alias("failures"))
+        .select("check", F.lit(table).alias("table"), "failures"))
+
+
 def run_suite(suite: Suite, tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: ``check, table, failures, status``.
 
-    All NULL checks of a table are counted in one pass over it. Checks of tables
+    All column checks of a table are made in one pass over it. Checks of tables
     that are not given are left out.
     """
     reports = []
     for table in dict.fromkeys(rule.table for rule in suite.columns):
-        if table not in tables:
-            continue
-        df = tables[table]
-        rules = [rule for rule in suite.columns if rule.table == table]
-        nulls = [rule.column for rule in rules if rule.not_null]
-        counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in nulls])
-        reports.append(counted.select(F.inline(F.array(*[
-            F.struct(F.lit(f"not_null_{c}").alias("check"), F.lit(table).alias("table"),
-                     F.col(f"_{c}").alias("failures"))
-            for c in nulls
-        ]))))
-        for rule in rules:
-            if rule.unique:
-                reports.append(_report(f"unique_{rule.column}", table, unique(df, rule.column)))
-            if rule.accepted:
-                bad = accepted_values(df, rule.column, list(rule.accepted))
-                reports.append(_report(f"accepted_values_{rule.column}", table, bad))
+        if table in tables:
+            rules = [rule for rule in suite.columns if rule.table == table]
+            reports.append(_column_report(tables[table], table, rules))
     for check in suite.models:
         if check.table in tables:
             reports.append(_report(check.name, check.table, check.run(tables)))

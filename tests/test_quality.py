@@ -110,3 +110,26 @@ def test_suite_reports_failures_and_gates(frame):
     assert failure.value.report.count() == 5
     good = frame("id string, kind string", ("a", "x"))
     assert Q.gate(suite, {"t": good}).where("status = 'pass'").count() == 5
+
+
+def test_column_checks_read_a_table_once(spark, frame):
+    """Whatever rules there are, and each as its own operator counts it."""
+    from cartwheel.session import keep
+    schema = "a string, b long, c date, d double"
+    rows = [("x", 1, date(2024, 1, 1), 1.5), ("x", 1, None, None), (None, 2, date(2024, 1, 2), 1.5), ("y", None, date(2024, 1, 2), -0.0),
+            ("z", 1, date(2024, 1, 3), 0.0), (None, 7, None, 9.0)] * 3 + [("once", 99, date(2020, 1, 1), 4.0)]
+    df = keep(frame(schema, *rows), "checked")
+    suite = Q.Suite((
+        Q.ColumnRules("t", "a", unique=True, accepted=("x", "y")), Q.ColumnRules("t", "b", unique=True),
+        Q.ColumnRules("t", "c", unique=True, not_null=False), Q.ColumnRules("t", "d", unique=True, accepted=(1.5, 4.0)),
+        Q.ColumnRules("elsewhere", "a")))
+    report = Q.run_suite(suite, {"t": df})
+    got = {r.check: r.failures for r in report.collect()}
+    expected = {f"unique_{c}": Q.unique(df, c).count() for c in "abcd"}
+    expected |= {f"not_null_{c}": Q.not_null(df, c).count() for c in "abd"}
+    expected |= {"accepted_values_a": Q.accepted_values(df, "a", ["x", "y"]).count(),
+                 "accepted_values_d": Q.accepted_values(df, "d", [1.5, 4.0]).count()}
+    assert got == expected and got["unique_b"] == 3 and got["not_null_a"] == 6
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert Q.run_suite(suite, {"t": df.limit(0)}).where("failures > 0").count() == 0
