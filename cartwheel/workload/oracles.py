@@ -949,6 +949,10 @@ _STORED = """order_id, order_date, CAST(date_trunc('month', order_date) AS DATE)
              customer_state, primary_category, items_value_brl"""
 STATEMENTS["i1_partitioned_mart"] = f"""
     SELECT {_STORED}, total_payment_brl, review_score FROM sales"""
+STATEMENTS["i2_clustered_files"] = """
+    SELECT order_id, order_date, CAST(date_trunc('month', order_date) AS DATE) AS order_month,
+           customer_state, primary_category, total_payment_brl
+    FROM sales WHERE customer_state = 'ASIA' AND year(order_date) = 1995"""
 STATEMENTS["i3_incremental_refresh"] = STATEMENTS["i1_partitioned_mart"]
 STATEMENTS["i4_backfill"] = f"""
     SELECT {_STORED},

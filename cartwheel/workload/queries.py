@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import schemas
 from cartwheel.functions import columns as C
-from cartwheel.operators import changes, intervals
+from cartwheel.operators import changes, clustering, intervals
 from cartwheel.operators import history as H
 from cartwheel.operators import incremental as I
 from cartwheel.operators import quality as Q
@@ -882,6 +882,17 @@ def _(t: Inputs) -> DataFrame:
     return _stored_sales(t, path)
 
 
+@query("i2_clustered_files")
+def _(t: Inputs) -> DataFrame:
+    """Months in small files along the curve of category and state; one pair is looked up."""
+    table = I.sales_table(t.spark, scratch_path(t.spark, "sales"))
+    year = t.sales().where(F.year("order_date") == 1995).withColumn(I.MONTH_COLUMN, C.month_start(F.col("order_date")))
+    table.replace(year, year.repartition(3, F.xxhash64("order_id")).write.partitionBy(I.MONTH_COLUMN).parquet)
+    clustering.recluster(table, [date(1995, month, 1) for month in (2, 3)], file_bytes=8 << 10)
+    return clustering.read_where(table, customer_state="ASIA").select(
+        "order_id", "order_date", "order_month", "customer_state", "primary_category", "total_payment_brl")
+
+
 @query("i3_incremental_refresh")
 def _(t: Inputs) -> DataFrame:
     """A mart that ends inside a month, brought up to date, twice."""
