@@ -34,15 +34,15 @@ def variants(seed, groups, copies, size=60):
 
 # --- near duplicates -----------------------------------------------------
 
-def shingles(text):
+def shingles(text, size=4):
     found = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
-    if len(found) < 4:
+    if len(found) < size:
         return frozenset([tuple(found)] if found else [])
-    return frozenset(zip(found, found[1:], found[2:], found[3:]))
+    return frozenset(zip(*(found[k:] for k in range(size))))
 
 
-def brute_components(docs):
-    sets = {i: shingles(t) for i, t in docs}
+def brute_components(docs, size=4):
+    sets = {i: shingles(t, size) for i, t in docs}
     root = {i: i for i in sets}
 
     def find(x):
@@ -219,21 +219,111 @@ def test_leaks_of_odd_rows(spark):
 
 # --- mixing --------------------------------------------------------------
 
+def plain_targets(sizes, share=1.5, most=2.0, weights=(5, 2, 1)):
+    """Share by weight; who has more than the most stops there, and the rest is shared anew."""
+    weight = [weights[i % len(weights)] for i in range(len(sizes))]
+    found, open_, left = [0.0] * len(sizes), set(range(len(sizes))), share * sum(sizes)
+    while open_:
+        total = sum(weight[i] for i in open_)
+        full = [i for i in open_ if left * weight[i] / total > most * sizes[i]]
+        if not full:
+            for i in open_:
+                found[i] = left * weight[i] / total
+            break
+        for i in full:
+            found[i] = most * sizes[i]
+            open_.discard(i)
+        left -= sum(found[i] for i in full)
+    return found
+
+
 def test_targets():
-    assert mixing.targets([10, 10, 10], 1.5, 2.0) == [20.0, pytest.approx(50 / 3), pytest.approx(25 / 3)]
-    got = mixing.targets([10, 100, 1000, 0], 1.5, 2.0)
+    assert plain_targets([10, 10, 10]) == [20.0, pytest.approx(50 / 3), pytest.approx(25 / 3)]
+    got = plain_targets([10, 100, 1000, 0])
     assert sum(got) == pytest.approx(1.5 * 1110) and got[0] == 20 and got[3] == 0
     assert all(t <= 2 * s for t, s in zip(got, [10, 100, 1000, 0]))
-    assert mixing.targets([], 1.5, 2.0) == []
+    assert plain_targets([]) == []
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_planned_sources(spark, seed):
+    r = random.Random(seed)
+    sizes = [r.choice([0, 1, 7, 64, 1000, 10 ** r.randint(1, 9)]) for _ in range(r.choice([1, 5, 60]))]
+    names = sorted({"".join(r.choices("aZé日\U0001F600", k=4)) for _ in range(900)}, key=str.encode)[:len(sizes) - 1] + [None]
+    rows = [(n, s) for n, s in zip(names, sizes)]
+    plan = mixing.planned_sources(spark.createDataFrame(rows, "source string, size long")).orderBy("number").collect()
+    assert [(p.source, p.source_size) for p in plan] == rows and [p.number for p in plan] == list(range(len(rows)))
+    assert [p.target for p in plan] == pytest.approx(plain_targets(sizes))
+    assert all(p.blocks == -(-p.source_size // 64) and p.slots <= 2 * p.blocks for p in plan)
+    assert all(abs(p.slots * p.source_size / max(p.blocks, 1) - p.target) <= 64 for p in plan)
 
 
-@pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1024])
+def permuted(spark, size, indexes):
+    from pyspark.sql import functions as F
+    n = F.lit(size).cast("long")
+    frame = spark.createDataFrame([(i,) for i in indexes], "i long").withColumn("rounds", mixing._rounds(n, F.lit(5), F.lit(0)))
+    return [r.p for r in frame.select(mixing._permuted(F.col("i"), n, F.col("rounds")).alias("p")).collect()]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1024, 30030])
 def test_permutation(spark, size):
+    assert sorted(permuted(spark, size, range(size))) == list(range(size))
+
+
+@pytest.mark.parametrize("size", [2**33 + 1, 2**38, 2**45, 2**45 - 17, 2**46 * 3 // 2])
+def test_permutation_of_large_sources(spark, size):
+    """As in whole numbers of any length, and undone step by step."""
+    from pyspark.sql import functions as F
+    r = random.Random(size)
+    indexes = [0, 1, size - 1, size // 2] + [r.randrange(size) for _ in range(200)]
+    found = permuted(spark, size, indexes)
+    rounds = spark.range(1).select(mixing._rounds(F.lit(size).cast("long"), F.lit(5), F.lit(0)).alias("r")).first().r
+    upper = (size + 1) // 2
+    assert all(1 < t.factor <= 2**62 // size for t in rounds)
+    for index, place in zip(indexes, found):
+        assert 0 <= place < size
+        for turn in reversed(rounds):
+            y = 2 * place if place < upper else 2 * (place - upper) + 1
+            place = (y - turn.offset) * pow(turn.factor, -1, size) % size
+        assert place == index
+    assert sum(p > size // 2 for p in found) > 50
+
+
+def test_shards_draw_their_sources(spark):
+    sized = spark.createDataFrame([(s, 64 * n) for s, n in (("a", 3000), ("b", 9000), ("c", 500))], "source string, size long")
+    mix = mixing.Mix(shard_slots=500)
+    plan = mixing.planned_sources(sized, mix)
+    drawn = mixing.drawn_blocks(plan, mix)
+    slots = {p.number: (p.slots, p.blocks) for p in plan.collect()}
+    rows = drawn.collect()
+    for number, (n, blocks) in slots.items():
+        own = Counter(r.block for r in rows if r.number == number)
+        assert sum(own.values()) == n and max(own) < blocks
+        assert {*own.values()} <= {n // blocks, n // blocks + 1}
+    total = sum(n for n, _ in slots.values())
+    per_shard = Counter(r.shard for r in rows)
+    assert len(per_shard) == -(-total // 500) and all(350 < n < 650 for n in per_shard.values())
+    share = Counter((r.shard, r.number) for r in rows)
+    for number, (n, _) in slots.items():
+        spread = [share[shard, number] - n / len(per_shard) for shard in per_shard]
+        assert any(abs(d) > 1 for d in spread)  # drawn, not dealt out evenly
+        assert all(abs(d) < 6 * (n / len(per_shard)) ** 0.5 + 6 for d in spread)
+
+
+def test_many_sources_and_copies(spark, monkeypatch):
     from pyspark.sql import functions as F
-    rounds = F.array(*(F.struct(F.lit(a).cast("long").alias("factor"), F.lit(b).cast("long").alias("offset"))
-                       for a, b in mixing._rounds(size, (1, 2, 0))))
-    found = spark.range(size).select(mixing._permuted(F.col("id"), F.lit(size).cast("long"), rounds).alias("p"))
-    assert sorted(r.p for r in found.collect()) == list(range(size))
+    monkeypatch.setattr(mixing, "LAID_ROWS", 50)
+    monkeypatch.setattr(mixing, "COPIES_PER_TASK", 16)
+    monkeypatch.setattr(mixing, "SLOTS_PER_TASK", 64)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 10)
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat('w ', CAST(id % 90 AS INT)) AS text", "concat('s', id % 137) AS source")
+    docs = docs.unionByName(spark.range(300).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text"),
+                                                    F.lit("s1").alias("source")))
+    sizes = [(r.doc_id, r.source, len((r.text or "").split())) for r in docs.collect()]
+    rows = mixing.mix_sources(docs, mixing.Mix(block=4)).collect()
+    taken, wanted = check_mix(rows, sizes)
+    assert all(abs(taken[s] - t) <= 8 for s, t in wanted.items())
+    assert len({r.taken for r in rows if r.doc_id == 7}) > 1  # copies are taken each for itself
 
 
 def check_mix(rows, sizes):
@@ -241,7 +331,7 @@ def check_mix(rows, sizes):
     for doc_id, source, size in sizes:
         by_source[source][0] += size
     names = sorted(by_source, key=lambda s: (s is None, (s or "").encode()))
-    wanted = dict(zip(names, mixing.targets([by_source[s][0] for s in names], 1.5, 2.0)))
+    wanted = dict(zip(names, plain_targets([by_source[s][0] for s in names])))
     taken = Counter()
     assert len(rows) == len(sizes)
     pool = defaultdict(list)
@@ -293,7 +383,7 @@ def test_pipeline_equals_its_parts(spark):
         if name == "language_id":
             assert set(after) == {k for k, r in before.items() if any(c.isalpha() for c in r["text"] or "")}
         elif name == "near_dedup":
-            found = brute_components([(k, r["text"]) for k, r in before.items()])
+            found = brute_components([(k, r["text"]) for k, r in before.items()], 5)
             assert set(after) == {k for k, (n, _, first) in found.items() if first}
         elif name == "secret_scan":
             assert set(after) == set(before)
