@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from cartwheel.sources.replace import Folders, replace_table
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 RUN, OPEN_FLAG = "run", "is_open"  # partitions of a stored history
+MERGED = "_merged"
+#: Runs, or folders of a level, that are merged into one.
+FAN = 16
 
 
 class DuplicateKey(ValueError):
@@ -203,7 +207,7 @@ def record_run(spec: Snapshot, base: str, current: DataFrame, run_ts: datetime,
         raise ValueError(f"the run of {run_ts} does not follow that of {previous_run}")
     spark = current.sparkSession
     rows = current.select(*spec.columns)
-    last = max((name for name in finished_runs(spark, base) if name < _run_name(run_ts)), default=None)
+    last = _last_finished(spark, base, _run_name(run_ts))
     given = previous_run and _run_name(previous_run)
     if given != last:
         raise ValueError(f"the last finished run before {run_ts} is {last}, not {given}")
@@ -214,23 +218,114 @@ def record_run(spec: Snapshot, base: str, current: DataFrame, run_ts: datetime,
         before = spark.read.option("basePath", base).parquet(folder).where(F.col(OPEN_FLAG) == 1)
     merged = merge_run(before, rows, spec.key, list(spec.check_cols), run_ts)
     flagged = merged.withColumn(OPEN_FLAG, F.col("dbt_valid_to").isNull().cast("int"))
-    replace_table(spark, f"{base}/{RUN}={_run_name(run_ts)}",
+    name, files = _run_name(run_ts), Folders(spark, base)
+    for merged in _merged_folders(files, base):  # a run recorded anew is not what was merged
+        if merged.first <= name <= merged.last:
+            files.delete(f"{base}/{MERGED}/{merged.name}")
+    replace_table(spark, f"{base}/{RUN}={name}",
                   flagged.write.partitionBy(OPEN_FLAG).parquet)
 
 
 def finished_runs(spark: SparkSession, base: str) -> list[str]:
     """The names of the runs that a stored history holds whole."""
     files = Folders(spark, base)
-    return [name.removeprefix(f"{RUN}=") for name in files.names(base)
-            if name.startswith(f"{RUN}=") and files.exists(f"{base}/{name}/_SUCCESS")]
+    return [name for name in _runs(files, base) if files.exists(f"{base}/{RUN}={name}/_SUCCESS")]
+
+
+def _runs(files: Folders, base: str) -> list[str]:
+    return [name.removeprefix(f"{RUN}=") for name in files.names(base) if name.startswith(f"{RUN}=")]
+
+
+def _last_finished(spark: SparkSession, base: str, before: str) -> str | None:
+    """The last finished run before one, looked for from the end."""
+    files = Folders(spark, base)
+    return next((name for name in reversed(_runs(files, base))
+                 if name < before and files.exists(f"{base}/{RUN}={name}/_SUCCESS")), None)
+
+
+# --- merged runs ---------------------------------------------------------
+
+@dataclass(frozen=True)
+class _Merged:
+    """A folder with what the runs ``first`` to ``last`` closed; a level holds FAN of the level below."""
+    level: int
+    first: str
+    last: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.level}-{self.first}-{self.last}"
+
+
+def _merged_folders(files: Folders, base: str) -> list[_Merged]:
+    """The finished merged folders that lie in no larger one, by time."""
+    found = []
+    for name in files.names(f"{base}/{MERGED}"):
+        level, *ends = name.split("-")
+        if level.isdigit() and len(ends) == 2 and files.exists(f"{base}/{MERGED}/{name}/_SUCCESS"):
+            found.append(_Merged(int(level), *ends))
+    return sorted((m for m in found if not any(
+        o.level > m.level and o.first <= m.first and m.last <= o.last for o in found)), key=lambda m: m.first)
+
+
+def _closed(spark: SparkSession, base: str, first: str, last: str, names: list[str],
+            merged: list[_Merged]) -> DataFrame | None:
+    """What the runs from ``first`` to ``last`` closed, with their run; merged folders instead of runs."""
+    inside = [m for m in merged if m.first <= last and m.last >= first]
+    single = [n for n in names if first <= n <= last and not any(m.first <= n <= m.last for m in inside)]
+    parts = []
+    if inside:
+        parts.append(spark.read.parquet(*(f"{base}/{MERGED}/{m.name}" for m in inside)))
+    if single:
+        rows = spark.read.option("basePath", base).parquet(*(f"{base}/{RUN}={n}" for n in single))
+        parts.append(rows.where(F.col(OPEN_FLAG) == 0).drop(OPEN_FLAG))
+    if not parts:
+        return None
+    every = reduce(DataFrame.unionByName, parts)
+    return every.where(F.col(RUN).between(F.lit(first), F.lit(last)))
+
+
+def compact_runs(spark: SparkSession, base: str, fan: int = FAN) -> list[str]:
+    """Merge the closed versions of finished runs, but the last, into folders of levels.
+
+    A folder of level n holds ``fan`` to the power of n runs, and is made of those of the level
+    below, so a version is written once a level, and a read opens less than ``fan`` folders of
+    each. The runs stay as they are. Returns the names of the new folders. A level below goes with
+    the next call, so that reads which have begun find it.
+    """
+    files = Folders(spark, base)
+    names = finished_runs(spark, base)[:-1]
+    known = _merged_folders(files, base)
+    for name in files.names(f"{base}/{MERGED}"):
+        if not name.startswith(".") and name not in {m.name for m in known}:
+            files.delete(f"{base}/{MERGED}/{name}")
+    made, size, level = [], fan, 1
+    while size <= len(names):
+        for at in range(0, len(names) - size + 1, size):
+            new = _Merged(level, names[at], names[at + size - 1])
+            if any(m.first <= new.first and new.last <= m.last for m in known):
+                continue
+            rows = _closed(spark, base, new.first, new.last, names, known)
+            replace_table(spark, f"{base}/{MERGED}/{new.name}", rows.hint("rebalance").write.parquet)
+            made.append(new.name)
+        known = _merged_folders(files, base)
+        size, level = size * fan, level + 1
+    return made
 
 
 def read_history(spark: SparkSession, base: str, run_ts: datetime) -> DataFrame:
     """The whole history as it was after a run: what all runs closed, and what it left open."""
-    run, name = F.col(RUN), F.lit(_run_name(run_ts))
-    return spark.read.parquet(base).where(
-        ((F.col(OPEN_FLAG) == 0) & (run <= name)) | ((F.col(OPEN_FLAG) == 1) & (run == name))
-    ).drop(RUN, OPEN_FLAG)
+    name, files = _run_name(run_ts), Folders(spark, base)
+    names = [n for n in _runs(files, base) if n <= name]
+    merged = _merged_folders(files, base)
+    if not merged or not names:
+        return spark.read.parquet(base).where(
+            ((F.col(OPEN_FLAG) == 0) & (F.col(RUN) <= name)) | ((F.col(OPEN_FLAG) == 1) & (F.col(RUN) == name))
+        ).drop(RUN, OPEN_FLAG)
+    closed = _closed(spark, base, names[0], name, names, merged).drop(RUN)
+    left = spark.read.option("basePath", base).parquet(f"{base}/{RUN}={names[-1]}").where(
+        (F.col(OPEN_FLAG) == 1) & (F.col(RUN) == name)).drop(RUN, OPEN_FLAG)
+    return closed.unionByName(left)
 
 
 def _run_name(run_ts: datetime) -> str:

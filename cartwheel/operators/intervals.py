@@ -49,7 +49,8 @@ def overlapping_pairs(history: DataFrame, key: str, id_column: str = "dbt_scd_id
                          F.col("opens").alias("opens2"), at.alias("bucket"))
     over = swept.where("closes > opens + 1").withColumn(
         "bucket", F.explode(F.sequence(at, F.floor((F.col("closes") - 1) / bucket))))
-    met = over.join(begun, ["bucket", "k"]).where(
+    # The size of exploded rows is not known beforehand, so neither side is broadcast.
+    met = over.hint("merge").join(begun.hint("merge"), ["bucket", "k"]).where(
         (F.col("opens2") > F.col("opens")) & (F.col("opens2") < F.col("closes"))
         & (F.col("s") < F.col("e2")) & (F.col("s2") < F.col("e")) & (F.col("id") != F.col("id2")))
     return met.select(F.col("k").alias(key), F.least("id", "id2").alias("first_id"),

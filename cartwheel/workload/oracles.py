@@ -708,6 +708,7 @@ STATEMENTS["h3_snap_sellers"] = """
            make_timestamp(2024, 1, a, 0, 0, 0) AS dbt_valid_from,
            make_timestamp(2024, 1, z, 0, 0, 0) AS dbt_valid_to
     FROM versions"""
+STATEMENTS["h3_merged_runs"] = STATEMENTS["h3_snap_sellers"]
 STATEMENTS["h4_history_rebuild"] = rebuilt(
     ["min_price_ars", "status"], ["product_id", "price_ars", "status"])
 STATEMENTS["h5_valid_at"] = """

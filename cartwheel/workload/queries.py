@@ -513,8 +513,7 @@ def _(t: Inputs) -> DataFrame:
     return t.product_history()
 
 
-@query("h3_snap_sellers")
-def _(t: Inputs) -> DataFrame:
+def _recorded_sellers(t: Inputs, merge: bool) -> DataFrame:
     """Three runs: all sellers, then some moved and some gone, then all as at first."""
     places = t.stg_sellers().select("seller_id", "city", "state")
     balance = t.source("supplier").select(F.col("s_suppkey").cast("string").alias("seller_id"),
@@ -530,9 +529,22 @@ def _(t: Inputs) -> DataFrame:
         run_ts = datetime(2024, 1, day)
         H.record_run(H.SNAP_SELLERS, base, run, run_ts, previous)
         previous = run_ts
+    if merge:
+        H.compact_runs(t.spark, base, fan=2)
     return H.read_history(t.spark, base, previous)
 
 
+@query("h3_snap_sellers")
+def _(t: Inputs) -> DataFrame:
+    return _recorded_sellers(t, merge=False)
+
+
+@query("h3_merged_runs")
+def _(t: Inputs) -> DataFrame:
+    """The same after the closed versions of the first two runs were merged into one folder."""
+    return _recorded_sellers(t, merge=True)
+
+
 @query("h4_history_rebuild")
 def _(t: Inputs) -> DataFrame:
     """History of all products from all daily drops, without the carried columns."""

@@ -137,3 +137,32 @@ def test_snapshot_specs_choose_columns(frame):
                     ("s1", "1", "X", "Y"))
     h = H.snapshot_apply(H.SNAP_SELLERS, None, current, ts("2024-01-01"))
     assert h.columns == ["seller_id", "city", "state", *H.META]
+
+
+def test_merged_runs_read_like_single_ones(spark, frame, monkeypatch):
+    """Every state of 23 runs, with folders of 3 and 9 runs; few folders are opened."""
+    import random
+    from datetime import timedelta
+
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.replace import Folders
+    r, base, days = random.Random(2), scratch_path(spark, "runs"), [datetime(2024, 1, 1) + timedelta(days=n) for n in range(23)]
+    for n, day in enumerate(days):
+        rows = [(f"s{k}", r.choice("ab"), "x") for k in range(6) if r.random() < 0.8]
+        H.record_run(H.SNAP_SELLERS, base, frame("seller_id string, city string, state string", *rows), day, days[n - 1] if n else None)
+        if n in (10, 21):
+            H.compact_runs(spark, base, fan=3)
+    order = ("seller_id", "dbt_valid_from", "dbt_valid_to")
+    folders = H._merged_folders(Folders(spark, base), base)
+    assert sorted(m.level for m in folders) == [1, 2, 2]
+    got = {day: rows_of(H.read_history(spark, base, day), *order) for day in days}
+    opened = {f.split("/part-")[0] for f in H.read_history(spark, base, days[-1]).inputFiles()}
+    assert len(opened) <= 3 + 3 * 2
+    monkeypatch.setattr(H, "_merged_folders", lambda files, base: [])
+    assert got == {day: rows_of(H.read_history(spark, base, day), *order) for day in days}
+    monkeypatch.undo()
+    assert H.compact_runs(spark, base, fan=3) == []
+    # A run that is recorded anew is not read from what was merged before.
+    H.record_run(H.SNAP_SELLERS, base, frame("seller_id string, city string, state string", ("new", "a", "x")), days[4], days[3])
+    assert not any(m.first <= H._run_name(days[4]) <= m.last for m in H._merged_folders(Folders(spark, base), base))
+    assert {"new"} == {v["seller_id"] for v in rows_of(H.read_history(spark, base, days[4]), *order) if v["dbt_valid_to"] is None}
