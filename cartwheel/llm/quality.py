@@ -9,6 +9,11 @@ n-grams (sorted hashes) with their counts to slices of the hash range, in a blob
 per slice; a slice adds up what all chunks sent and answers each with the whole counts of
 its n-grams in the same order. Chunks and slices grow in number with the text, so that no
 task and not the driver holds the whole model; hashes grow in bits with the text.
+
+Many chunks do not send to all slices at once, as the blobs would grow with the square. They
+go through levels: a node adds up the parts of a bounded number of chunks, and passes
+its sum on in parts to the next level; answers come back the same way. So each chunk, and
+each node of a level, sends a bounded number of blobs.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.batches import as_bytes, bound_batches, unpacked
+from cartwheel.session import keep
 
 #: Bytes of text whose n-grams one task counts at once.
 CHUNK = 24 << 20
@@ -33,6 +39,8 @@ PACKED = 32 << 20
 #: Values of a hash for each byte of text, and in all at least: powers of two. There are
 #: fewer n-grams than bytes, so on average under one in 2^10 shares its hash, at any size.
 SPARE_BITS, LEAST_BITS = 10, 40
+#: Parts that a chunk or a node sends, and that a node gets, at most.
+FAN = 256
 #: Words whose hashes a task remembers before it starts afresh.
 REMEMBERED = 200_000
 #: Share of all n-grams added to both sides of a ratio: n-grams seen rarely say little.
@@ -136,9 +144,19 @@ def _values(blob: bytes, kind: type = np.int64) -> np.ndarray:
 def _dealt(docs: DataFrame, labels: DataFrame, chunks: int) -> DataFrame:
     """Packed texts and the ids of the trusted target, dealt to chunks by id.
 
-    A document is in the target if any of its labels is good and none is toxic.
+    A document is in the target if any of its labels is good and none is toxic. Rows of an id
+    whose texts would fill a chunk are dealt one by one, and bring along whether they are trusted.
     """
     kind = docs.schema["doc_id"].dataType
+    trusted = (
+        labels.select(F.col("doc_id").cast(kind).alias("doc_id"), "quality", "toxic")
+        .where(F.col("doc_id").isNotNull())
+        .groupBy("doc_id").agg(F.max("quality").alias("good"), F.max("toxic").alias("toxic"))
+        .where((F.col("good") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id"))
+    # At most one id for every chunk's worth of text.
+    hot = keep(docs.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("bytes")).where(
+        F.col("bytes") > CHUNK).select(F.col("doc_id").alias("hot_id")).join(
+        trusted.select(F.col("doc_id").alias("hot_id"), F.lit(True).alias("is_trusted")), "hot_id", "left"), "hot-ids")
 
     def chunk(key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(chunks)).alias("chunk")
@@ -156,9 +174,11 @@ def _dealt(docs: DataFrame, labels: DataFrame, chunks: int) -> DataFrame:
                     [pa.array([int(numbers[start])], pa.int64()),
                      pa.ListArray.from_arrays(
                          [0, end - start], table["doc_id"].slice(start, end - start).combine_chunks()),
+                     pa.ListArray.from_arrays(
+                         [0, end - start], table["sure"].slice(start, end - start).combine_chunks()),
                      pa.array([list(map(len, texts))], pa.list_(pa.int64())),
                      pa.array([packer.compress(b"".join(texts))], pa.binary())],
-                    names=["chunk", "ids", "lengths", "packed"])
+                    names=["chunk", "ids", "sure", "lengths", "packed"])
 
         held, size = [], 0
         for batch in batches:
@@ -170,20 +190,19 @@ def _dealt(docs: DataFrame, labels: DataFrame, chunks: int) -> DataFrame:
         if size:
             yield from packed(held)
 
-    # Rows without an id are dealt by their text: no label can be theirs.
-    texts = docs.select(
-        F.when(F.col("doc_id").isNull(), chunk(F.col("text"))).otherwise(chunk(F.col("doc_id"))).alias("chunk"),
-        "doc_id", "text")
-    trusted = (
-        labels.select(F.col("doc_id").cast(kind).alias("doc_id"), "quality", "toxic")
-        .where(F.col("doc_id").isNotNull())
-        .groupBy("doc_id").agg(F.max("quality").alias("good"), F.max("toxic").alias("toxic"))
-        .where((F.col("good") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
-        .select(chunk(F.col("doc_id")), F.array("doc_id").alias("ids"),
-                F.lit(None).cast("array<bigint>").alias("lengths"), F.lit(None).cast("binary").alias("packed")))
+    number = F.monotonically_increasing_id()
+    texts = docs.select("doc_id", "text").join(
+        F.broadcast(hot), F.col("doc_id").eqNullSafe(F.col("hot_id")), "left").select(
+        F.when(F.col("hot_id").isNotNull(), chunk(number))
+         .when(F.col("doc_id").isNull(), chunk(F.xxhash64(F.coalesce("text", F.lit("")), number)))
+         .otherwise(chunk(F.col("doc_id"))).alias("chunk"),
+        "doc_id", "text", F.coalesce("is_trusted", F.lit(False)).alias("sure"))
+    named = trusted.join(F.broadcast(hot), F.col("doc_id") == F.col("hot_id"), "left_anti").select(
+        chunk(F.col("doc_id")), F.array("doc_id").alias("ids"), F.lit(None).cast("array<boolean>").alias("sure"),
+        F.lit(None).cast("array<bigint>").alias("lengths"), F.lit(None).cast("binary").alias("packed"))
     packed = bound_batches(texts).mapInArrow(
-        pack, f"chunk long, ids array<{kind.simpleString()}>, lengths array<bigint>, packed binary")
-    return packed.unionByName(trusted).repartition(chunks, "chunk")
+        pack, f"chunk long, ids array<{kind.simpleString()}>, sure array<boolean>, lengths array<bigint>, packed binary")
+    return packed.unionByName(named).repartition(chunks, "chunk")
 
 
 def _texts(dealt: pa.Table) -> tuple[pa.Array, np.ndarray, list[bytes]]:
@@ -195,14 +214,75 @@ def _texts(dealt: pa.Table) -> tuple[pa.Array, np.ndarray, list[bytes]]:
     for lengths, data in zip(rows["lengths"].to_pylist(), unpacked(rows["packed"].to_pylist())):
         ends = np.cumsum(lengths).tolist()
         texts += [data[end - length:end] for length, end in zip(lengths, ends)]
-    trusted = pc.is_in(ids, value_set=known).to_numpy(zero_copy_only=False).astype(bool)
+    sure = pc.list_flatten(rows["sure"]).combine_chunks()
+    trusted = pc.or_(sure, pc.is_in(ids, value_set=known)).to_numpy(zero_copy_only=False).astype(bool)
     return ids, trusted, texts
 
 
-def _counts(dealt: DataFrame, slices: int, bits: int) -> DataFrame:
-    """For each chunk and slice, the counts of the chunk's n-grams in all documents and in the
-    target, in the order of their hashes, and the sums of the slice."""
-    edges = np.array([(i << bits) // slices for i in range(1, slices)], dtype=np.uint64)
+def _levels(chunks: int) -> tuple[int, int]:
+    """Parts that each chunk and node sends, and levels of nodes: parts^levels >= chunks."""
+    levels = 1
+    while FAN ** levels < chunks:
+        levels += 1
+    fan = 1
+    while fan ** levels < chunks:
+        fan += 1
+    return fan, levels
+
+
+def _edges(part: int, level: int, fan: int, levels: int, bits: int) -> np.ndarray:
+    """The hashes that cut a part of a level into ``fan`` parts of the next one."""
+    width = fan ** (levels - level - 1)
+    return np.array([((part * fan + k) * width << bits) // fan ** levels for k in range(1, fan)], dtype=np.uint64)
+
+
+_SENT = "group long, part long, child long, grams binary, raw binary, target binary"
+_ANSWERED = "child long, part long, raw binary, raw_sum long, target binary, target_sum long"
+
+
+def _sent(group: int, part: int, child: int, edges: np.ndarray, grams: np.ndarray, **counts: np.ndarray) -> pa.Table:
+    """Ordered n-grams and their counts in parts: the group they go to, the part and who sent them."""
+    cuts = np.searchsorted(grams, edges)
+    n = len(edges) + 1
+    steps = [_blob(np.diff(p, prepend=np.uint64(0))) for p in np.split(grams, cuts)]
+    return pa.table({
+        "group": pa.array([group] * n, pa.int64()), "part": pa.array(range(part * n, part * n + n), pa.int64()),
+        "child": pa.array([child] * n, pa.int64()), "grams": pa.array(steps, pa.binary()),
+        **{name: pa.array([_blob(p) for p in np.split(values.astype(np.int64), cuts)], pa.binary())
+           for name, values in counts.items()}})
+
+
+class _Node:
+    """What the children of a node sent, added up."""
+
+    def __init__(self, table: pa.Table):
+        grams = [np.cumsum(_values(blob, np.uint64), dtype=np.uint64) for blob in table["grams"].to_pylist()]
+        self.table, self.cuts = table, np.cumsum([len(g) for g in grams])[:-1]
+        joined = np.concatenate(grams)
+        self.order = np.argsort(joined, kind="stable")
+        self.opens = np.r_[True, joined[self.order][1:] != joined[self.order][:-1]][:len(joined)]
+        self.grams = joined[self.order][self.opens]
+        self.place = np.empty(len(joined), dtype=np.int64)
+        self.place[self.order] = np.cumsum(self.opens) - 1
+
+    def total(self, name: str) -> np.ndarray:
+        counts = np.concatenate([_values(blob) for blob in self.table[name].to_pylist()])
+        return np.add.reduceat(counts[self.order], np.flatnonzero(self.opens)) if len(counts) else counts
+
+    def answer(self, **whole: tuple[np.ndarray, int]) -> pa.Table:
+        """To each child the whole counts of its n-grams, in its order, and their sum over the part."""
+        columns = {"child": self.table["child"], "part": self.table["part"]}
+        for name, (counts, total) in whole.items():
+            columns[name] = pa.array([_blob(p) for p in np.split(counts[self.place], self.cuts)], pa.binary())
+            columns[f"{name}_sum"] = pa.array([total] * len(self.table), pa.int64())
+        return pa.table(columns)
+
+
+def _counts(dealt: DataFrame, chunks: int, bits: int) -> DataFrame:
+    """For each chunk and part, the counts of the chunk's n-grams in all documents and in the
+    target, in the order of their hashes, and the sums of the part: child (the chunk), part,
+    raw, raw_sum, target, target_sum."""
+    fan, levels = _levels(chunks)
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         _, trusted, texts = _texts(table)
@@ -212,35 +292,42 @@ def _counts(dealt: DataFrame, slices: int, bits: int) -> DataFrame:
         found, raw = _different(grams)
         target = np.zeros(len(found), dtype=np.int64)
         target[np.searchsorted(found, good)] = times
-        cuts = np.searchsorted(found, edges)
-        steps = [np.diff(part, prepend=np.uint64(0)) for part in np.split(found, cuts)]
-        parts = [[_blob(part) for part in split] for split in (
-            steps, np.split(raw.astype(np.int64), cuts), np.split(target, cuts))]
-        n = slices if texts else 0
-        return pa.table({
-            "chunk": pa.array([key[0].as_py()] * n, pa.int64()), "slice": pa.array(range(n), pa.int64()),
-            **{name: pa.array(blobs[:n], pa.binary()) for name, blobs in zip(("grams", "raw", "target"), parts)}})
+        chunk = key[0].as_py()
+        sent = _sent(chunk // fan, 0, chunk, _edges(0, 0, fan, levels, bits), found, raw=raw, target=target)
+        return sent if texts else sent.slice(0, 0)
+
+    def pass_on(level: int):
+        def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            group, part = (k.as_py() for k in key)
+            node = _Node(table)
+            return _sent(group // fan, part, group, _edges(part, level, fan, levels, bits), node.grams,
+                         raw=node.total("raw"), target=node.total("target"))
+        return merge
 
     def add(table: pa.Table) -> pa.Table:
-        grams = [np.cumsum(_values(blob, np.uint64), dtype=np.uint64) for blob in table["grams"].to_pylist()]
-        cuts = np.cumsum([len(g) for g in grams])[:-1]
-        joined = np.concatenate(grams)
-        order = np.argsort(joined, kind="stable")
-        opens = np.r_[True, joined[order][1:] != joined[order][:-1]][:len(order)]
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.cumsum(opens) - 1
-        columns = {"chunk": table["chunk"], "slice": table["slice"]}
-        for name in ("raw", "target"):
-            counts = np.concatenate([_values(blob) for blob in table[name].to_pylist()])
-            whole = np.add.reduceat(counts[order], np.flatnonzero(opens)) if len(order) else counts
-            columns[name] = pa.array([_blob(part) for part in np.split(whole[place], cuts)], pa.binary())
-            columns[f"{name}_sum"] = pa.array([int(counts.sum())] * len(grams), pa.int64())
-        return pa.table(columns)
-
-    sent = dealt.groupBy("chunk").applyInArrow(
-        count, "chunk long, slice long, grams binary, raw binary, target binary")
-    return sent.repartition(slices, "slice").groupBy("slice").applyInArrow(
-        add, "chunk long, slice long, raw binary, raw_sum long, target binary, target_sum long")
+        node = _Node(table)
+        return node.answer(**{name: (total, int(total.sum())) for name in ("raw", "target")
+                              for total in [node.total(name)]})
+
+    def pass_back(table: pa.Table, answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by("part")
+        return _Node(table).answer(**{
+            name: (np.concatenate([_values(blob) for blob in answers[name].to_pylist()]),
+                   sum(answers[f"{name}_sum"].to_pylist())) for name in ("raw", "target")})
+
+    def at_nodes(sent: DataFrame) -> DataFrame:
+        return sent.repartition(chunks, "group", "part")
+
+    sent = [dealt.groupBy("chunk").applyInArrow(count, _SENT)]
+    for level in range(1, levels):
+        sent[-1] = keep(sent[-1], "ngram-parts")
+        sent.append(at_nodes(sent[-1]).groupBy("group", "part").applyInArrow(pass_on(level), _SENT))
+    answered = at_nodes(sent.pop()).groupBy("group", "part").applyInArrow(add, _ANSWERED)
+    while sent:
+        back = answered.withColumn("part_of", F.floor(F.col("part") / fan))
+        answered = at_nodes(sent.pop()).groupBy("group", "part").cogroup(
+            back.groupBy("child", "part_of")).applyInArrow(pass_back, _ANSWERED)
+    return answered
 
 
 def log_ratios(counts: pa.Table) -> np.ndarray:
@@ -249,7 +336,7 @@ def log_ratios(counts: pa.Table) -> np.ndarray:
     Both sides are shares of their n-grams, and so is the prior: a table of twice the
     documents of the same kind has the same ratios. Without a target all ratios are 0.
     """
-    counts = counts.sort_by("slice")
+    counts = counts.sort_by("part")
     raw, target = (np.concatenate([_values(blob) for blob in counts[name].to_pylist()])
                    for name in ("raw", "target"))
     raw_sum, target_sum = (sum(counts[name].to_pylist()) for name in ("raw_sum", "target_sum"))
@@ -313,5 +400,5 @@ def judge(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFra
                    "n_repeat_words", "base_failed", "value", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("chunk").cogroup(_counts(dealt, chunks, bits).groupBy("chunk")).applyInArrow(
+    return dealt.groupBy("chunk").cogroup(_counts(dealt, chunks, bits).groupBy("child")).applyInArrow(
         decide, SCHEMA.format(id=kind))
