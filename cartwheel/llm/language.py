@@ -13,10 +13,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.batches import as_bytes, bound_batches, chunks
+from cartwheel.session import keep
 
 # Families of common language codes; a code not listed is a family of its own.
 FAMILIES = {
@@ -58,10 +59,11 @@ _FOLD = _folded()
 def feature_codes(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     """The features at each byte for n-grams of 2, 3 and 4, and where each text starts.
 
-    Texts are parted by spaces, so no n-gram has letters of two of them.
+    A text has three spaces before it and one after it, so no n-gram of it has letters of
+    another one: its features do not depend on the texts beside it.
     """
     gap = b"    "
-    data = _FOLD[np.frombuffer(gap.join([*texts, b""]), dtype=np.uint8)]
+    data = _FOLD[np.frombuffer(gap[1:] + gap.join([*texts, b""]), dtype=np.uint8)]
     sizes = np.fromiter((len(t) + 4 for t in texts), dtype=np.int64, count=len(texts))
     two = (data[:-1] << 8) | data[1:]
     three = (two[:-1] << 8) | data[2:]
@@ -207,41 +209,59 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def learn(docs: DataFrame) -> Model | None:
     """Fit on a bounded sample of labelled rows that are not held out; None without any.
 
-    Rows are drawn by the hash of their id, :data:`FIT_ROWS_PER_LANGUAGE` of a language in
-    expectation and :data:`FIT_ROWS` of all; what reaches the driver is their feature rows.
+    The sample has the rows with the lowest hashes of id and text, each row once:
+    :data:`FIT_ROWS_PER_LANGUAGE` of a language at most and :data:`FIT_ROWS` of all, whatever the ids. With more
+    than :data:`MAX_LANGUAGES` labels the most frequent ones are learned. What reaches the
+    driver is the feature rows of the sample.
     """
     usable = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
         & (F.length("text") > 0))
-    per_language = usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    per_language = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not per_language:
         return None
-    if len(per_language) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     want = min(FIT_ROWS_PER_LANGUAGE, FIT_ROWS // len(per_language))
-    share = F.lit(0.0)
-    for row in per_language:
-        share = F.when(F.col("lang") == row["lang"], F.lit(want / row["count"])).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) < share * (1 << 30)
+    sample = _lowest(usable, {row["lang"]: row["count"] for row in per_language}, want)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = feature_rows(as_bytes(batch.column(1)))
+            rows = feature_rows(as_bytes(batch.column(0)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(list(rows), pa.list_(pa.float32()))],
-                names=["doc_id", "lang", "features"])
+                [batch.column(1), batch.column(2), pa.array(list(rows), pa.list_(pa.float32()))],
+                names=["lang", "hash", "features"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    table = bound_batches(usable.where(drawn)).mapInArrow(
-        features, f"doc_id {kind}, lang string, features array<float>").toArrow()
-    if not table.num_rows:
-        raise ValueError("no labelled row was drawn")
-    order = np.argsort(np.array([str(x) for x in table["doc_id"].to_pylist()]), kind="stable")
+    table = bound_batches(sample.select("text", "lang", "hash")).mapInArrow(
+        features, "lang string, hash long, features array<float>").toArrow()
+    order = np.lexsort((table["hash"].to_numpy(), np.array(table["lang"].to_pylist())))
     rows = np.stack(table["features"].to_numpy(zero_copy_only=False))[order]
     languages = table["lang"].to_pylist()
     return fit([languages[i] for i in order], rows)
 
 
+def _lowest(usable: DataFrame, counts: dict[str, int], want: int) -> DataFrame:
+    """The ``want`` different rows with the lowest hashes of each language.
+
+    Only rows below a share of the hash range are looked at: four times the rows that should be
+    needed. Where copies leave too few different ones, the share grows, up to all.
+    """
+    hashed = usable.withColumn("hash", F.xxhash64(F.lit("fit"), "doc_id", "text"))
+    draw = F.pmod(F.col("hash"), F.lit(1 << 30))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "hash"))
+    shares = {lang: min(1.0, 4 * want / n) for lang, n in counts.items()}
+    while True:
+        below = F.element_at(F.create_map(*(F.lit(x) for pair in shares.items() for x in pair)), F.col("lang"))
+        drawn = keep(
+            hashed.where(draw < below * (1 << 30)).groupBy("lang", "hash")
+            .agg(F.first("text").alias("text"), F.first(draw).alias("draw"))
+            .withColumn("place", place).where(F.col("place") <= want), "language-sample")
+        found = {row["lang"]: row["count"] for row in drawn.groupBy("lang").count().collect()}
+        short = [lang for lang, share in shares.items() if share < 1 and found.get(lang, 0) < want]
+        if not short:
+            return drawn
+        for lang in short:
+            shares[lang] = min(1.0, 16 * shares[lang])
+
+
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The language of every whole text of ``docs`` (doc_id, text, and lang to learn from).
 
