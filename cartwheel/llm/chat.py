@@ -71,15 +71,16 @@ def format_windows(turns: DataFrame, budget: Budget = Budget()) -> DataFrame:
     spans = numbered.withColumn("before", F.coalesce("before", F.lit(0))).withColumn(
         "span", F.floor(F.col("before") * 2 / budget.tokens))
     later = [F.lead("span", k).over(placed) for k in range(1, budget.history_turns + 1)]
-    whole = placed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    reach = spans.select(
-        "*", F.array(F.col("span"), *later).alias("history"), F.max("span").over(whole).alias("last"))
-    is_system = (F.col("place") == 1) & (F.col("role") == SYSTEM)
-    copies = reach.select(
-        "conv_id", "place", "role", "head", "body", "span", "before", "size",
-        is_system.alias("is_system"),
-        F.explode(F.when(is_system, F.sequence(F.lit(0).cast("long"), F.col("last")))
-                  .otherwise(F.array_distinct(F.array_compact("history")))).alias("window"))
+    reach = spans.select("*", F.array(F.col("span"), *later).alias("history"),
+                         ((F.col("place") == 1) & (F.col("role") == SYSTEM)).alias("is_system"))
+    kept = ("conv_id", "place", "role", "head", "body", "span", "before", "size", "is_system")
+    own = reach.where("NOT is_system").select(
+        *kept, F.explode(F.array_distinct(F.array_compact("history"))).alias("window"))
+    # The system turn goes to the spans that have turns: a long turn leaves span numbers unused.
+    used = reach.select(F.col("conv_id").alias("conversation"), F.col("span").alias("window")).distinct()
+    system = reach.where("is_system").select(*kept).join(
+        used, F.col("conv_id").eqNullSafe(F.col("conversation"))).select(*kept, "window")
+    copies = own.unionByName(system)
     piece = F.struct(
         "place",
         (F.col("window") == F.col("span")).alias("fresh"),
@@ -90,7 +91,6 @@ def format_windows(turns: DataFrame, budget: Budget = Budget()) -> DataFrame:
         copies.groupBy("conv_id", "window")
         .agg(F.array_sort(F.collect_list(piece)).alias("pieces"), fixed.alias("fixed"),
              F.max(F.col("before") + F.col("size")).alias("end"))
-        .where(F.exists("pieces", lambda p: p["fresh"]))
         .withColumn("pieces", F.filter("pieces", lambda p: p["fresh"] | p["is_system"] | (
             F.col("end") - p["before"] + F.col("fixed") <= budget.tokens))))
     empty = F.array().cast("array<struct<start:int,length:int>>")
