@@ -155,13 +155,16 @@ def _bounded(sources: DataFrame) -> DataFrame:
     return F.broadcast(sources) if small else sources
 
 
-def _spread(rows: DataFrame, count: Column, each: int, tasks: int) -> DataFrame:
-    """A row with ``nth`` from 0 to ``count``-1 for each row; a large count is shared by tasks."""
+def _spread(rows: DataFrame, count: Column, each: int, tasks: int, **more: Column) -> DataFrame:
+    """A row with ``nth`` from 0 to ``count``-1 for each row; a large count is shared by tasks.
+
+    The columns ``more`` are computed once for each part of a count.
+    """
     last = F.floor((count - 1) / each)
     parts = rows.where(count > 0).withColumn("_count", count).withColumn(
         "_part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     dealt = parts.repartition(tasks, F.xxhash64("_part", *rows.columns)) if tasks else parts
-    return dealt.withColumn("nth", F.explode(F.sequence(
+    return dealt.withColumns(more).withColumn("nth", F.explode(F.sequence(
         F.col("_part") * each, F.least((F.col("_part") + 1) * each, F.col("_count")) - 1))).drop("_part", "_count")
 
 
@@ -204,14 +207,14 @@ def drawn_blocks(sources: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """
     total = sources.agg(F.sum("slots").alias("slots")).first()["slots"] or 0
     shards = max(1, -(-total // mix.shard_slots))
-    each = _spread(sources.where("slots > 0").select("number", "blocks", "slots"), F.col("slots"),
-                   SLOTS_PER_TASK, max(1, total // SLOTS_PER_TASK))
-    seed = F.lit(mix.seed)
-    turns = each.withColumn("turn", F.floor(F.col("nth") / F.col("blocks"))).withColumn(
-        "rounds", _rounds(F.col("blocks"), seed, F.col("number"), F.col("turn")))
-    return turns.select(
+    seed, blocks, nth = F.lit(mix.seed), F.col("blocks"), F.col("nth")
+    # A permutation for each time that the slots go through the blocks, made before there are slots.
+    turns = F.array(*(_rounds(blocks, seed, F.col("number"), F.lit(turn)) for turn in range(math.ceil(mix.most) + 1)))
+    planned = sources.where("slots > 0").select("number", "blocks", "slots")
+    slots = _spread(planned, F.col("slots"), SLOTS_PER_TASK, max(1, total // SLOTS_PER_TASK), turns=turns)
+    return slots.select(
         F.pmod(F.xxhash64(seed, "number", "nth"), F.lit(shards)).alias("shard"), "number",
-        _permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), F.col("rounds")).alias("block"))
+        _permuted(nth % blocks, blocks, F.get("turns", F.floor(nth / blocks).cast("int"))).alias("block"))
 
 
 def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -236,12 +239,13 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         "words", F.least(last + 1, (F.col("block") + 1) * block)
         - F.greatest(F.col("place"), F.col("block") * block))
     times = drawn_blocks(plan, mix).groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
+    # Spark takes the exploded slots to be as few as the sources: they are never to be broadcast.
     taken = (
-        parts.join(times, ["number", "block"])
+        parts.hint("merge").join(times.hint("merge"), ["number", "block"])
         .groupBy("number", "place", "doc_id", "size")
         .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
         .select("number", "place", "taken"))
-    with_words = laid.join(taken, ["number", "place"], "left").select(
+    with_words = laid.hint("merge").join(taken.hint("merge"), ["number", "place"], "left").select(
         "number", "doc_id", "size", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
     without = sized.where(F.col("size") == 0).alias("d").join(sources.alias("s"), named).select(
         "number", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
