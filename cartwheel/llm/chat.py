@@ -71,16 +71,23 @@ def format_windows(turns: DataFrame, budget: Budget = Budget()) -> DataFrame:
     spans = numbered.withColumn("before", F.coalesce("before", F.lit(0))).withColumn(
         "span", F.floor(F.col("before") * 2 / budget.tokens))
     later = [F.lead("span", k).over(placed) for k in range(1, budget.history_turns + 1)]
-    reach = spans.select("*", F.array(F.col("span"), *later).alias("history"),
-                         ((F.col("place") == 1) & (F.col("role") == SYSTEM)).alias("is_system"))
-    kept = ("conv_id", "place", "role", "head", "body", "span", "before", "size", "is_system")
-    own = reach.where("NOT is_system").select(
-        *kept, F.explode(F.array_distinct(F.array_compact("history"))).alias("window"))
-    # The system turn goes to the spans that have turns: a long turn leaves span numbers unused.
-    used = reach.select(F.col("conv_id").alias("conversation"), F.col("span").alias("window")).distinct()
-    system = reach.where("is_system").select(*kept).join(
-        used, F.col("conv_id").eqNullSafe(F.col("conversation"))).select(*kept, "window")
-    copies = own.unionByName(system)
+    is_system = (F.col("place") == 1) & (F.col("role") == SYSTEM)
+    turn = ("place", "role", "head", "body", "span", "before", "size")
+    reach = spans.select(
+        "*", F.array(F.col("span"), *later).alias("history"), is_system.alias("is_system"),
+        F.coalesce(F.col("span") != F.lag("span").over(placed), F.lit(True)).alias("opens"),
+        F.first(F.when(is_system, F.struct(*turn))).over(placed).alias("system"))
+    entry = "array<struct<window:bigint,place:int,role:string,head:string,body:string,span:bigint,before:bigint,size:bigint,is_system:boolean>>"
+
+    def in_window(window: Column, of: str, system: Column) -> Column:
+        return F.struct(window.alias("window"), *(F.col(f"{of}{c}").alias(c) for c in turn), system.alias("is_system"))
+
+    own = F.transform(F.when(F.col("is_system"), F.array("span")).otherwise(
+        F.array_distinct(F.array_compact("history"))), lambda w: in_window(w, "", F.col("is_system")))
+    # The first turn of a span brings the system turn along: a long turn leaves span numbers unused.
+    brought = F.when(F.col("opens") & ~F.col("is_system") & F.col("system").isNotNull(),
+                     F.array(in_window(F.col("span"), "system.", F.lit(True)))).otherwise(F.array())
+    copies = reach.select("conv_id", F.inline(F.concat(own.cast(entry), brought.cast(entry))))
     piece = F.struct(
         "place",
         (F.col("window") == F.col("span")).alias("fresh"),
