@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import days_between, money_sum, month_start, ratio, rounded
+from cartwheel.operators import bloom
 from cartwheel.session import keep
 
 DELIVERED = "delivered"
+#: Orders of a range whose ids Spark is left to broadcast or shuffle by itself.
+FEW_IDS = 200_000
 
 
 def delivered_orders(orders: DataFrame) -> DataFrame:
@@ -138,14 +141,15 @@ def mart_sales(orders_enriched: DataFrame, items_enriched: DataFrame,
 
 def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
                   items: DataFrame, products: DataFrame, categories: DataFrame,
-                  reviews: DataFrame) -> Callable[..., DataFrame]:
+                  reviews: DataFrame, few_ids: int = FEW_IDS) -> Callable[..., DataFrame]:
     """The sales fact of a range of order dates, or of single months, from staged tables.
 
     Orders are cut to the range first and every other table to those orders, so
     products are looked up, and payments and reviews summed, for the range alone. The cut
     orders are stored, so they are read once and Spark knows their size: for a short range it
     broadcasts their ids, and items, payments and reviews are filtered where they are read
-    instead of being shuffled whole.
+    instead of being shuffled whole. With more than ``few_ids`` orders a Bloom filter of their ids, of
+    bounded size, leaves out most other rows before the shuffle.
     """
     def build(start: date | None = None, end: date | None = None,
               months: Sequence[date] | None = None) -> DataFrame:
@@ -162,10 +166,13 @@ def sales_builder(orders: DataFrame, customers: DataFrame, payments: DataFrame,
         if months is not None:
             cut = cut.where(month_start(day).isin(list(months)))
         cut = keep(cut, "range-orders")
-        ids = cut.select("order_id")
+        ids, n = cut.select("order_id"), cut.count()
+        words = bloom.words_for(n)
+        bits = keep(bloom.key_filter(ids, "order_id", words), "range-bits") if n > few_ids else None
 
         def of_range(table: DataFrame) -> DataFrame:
-            return table.join(ids, "order_id", "left_semi")
+            rows = table if bits is None else bloom.may_match(table, "order_id", bits, words)
+            return rows.join(ids, "order_id", "left_semi")
 
         return mart_sales(
             orders_enriched(cut, customers, of_range(payments)),

@@ -975,6 +975,9 @@ STATEMENTS["i4_versioned_backfill"] = f"""
                WHEN order_month BETWEEN DATE '1997-02-01' AND DATE '1997-04-01' THEN 1 ELSE 10 END AS DOUBLE), 'after'
     FROM ({_PER_MONTH})"""
 
+STATEMENTS["i3_filtered_range"] = """
+    SELECT order_id, order_date, items_value_brl, total_payment_brl, review_count FROM sales
+    WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '1995-06-30'"""
 STATEMENTS["i3_late_changes"] = STATEMENTS["i1_partitioned_mart"]
 STATEMENTS["i3_changed_orders"] = """
     WITH changed AS (

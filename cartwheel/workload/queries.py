@@ -954,6 +954,14 @@ def _(t: Inputs) -> DataFrame:
     return months(before, "before").unionByName(months(table.read(), "after"))
 
 
+@query("i3_filtered_range")
+def _(t: Inputs) -> DataFrame:
+    """Half a year built with a filter of the orders' ids, as for a range of very many orders."""
+    build = orders.sales_builder(**_staged(t), few_ids=0)
+    return build(date(1995, 1, 1), date(1995, 6, 30)).select(
+        "order_id", "order_date", "items_value_brl", "total_payment_brl", "review_count")
+
+
 def _staged(t: Inputs) -> dict[str, DataFrame]:
     return {"orders": t.stg_orders(), "customers": t.stg_customers(), "payments": t.stg_order_payments(),
             "items": t.stg_order_items(), "products": t.stg_products(),
