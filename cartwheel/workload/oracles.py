@@ -722,6 +722,7 @@ STATEMENTS["m1_orders_enriched"] = "SELECT * FROM oe"
 STATEMENTS["m2_order_items_enriched"] = "SELECT * FROM ie"
 STATEMENTS["m3_customers_lifetime"] = "SELECT * FROM life"
 STATEMENTS["m4_mart_sales"] = "SELECT * FROM sales"
+STATEMENTS["j3_bucketed_sales"] = STATEMENTS["m4_mart_sales"]
 STATEMENTS["m5_mart_customers"] = "SELECT * FROM people"
 STATEMENTS["m6_mart_cohorts"] = "SELECT * FROM cohorts"
 STATEMENTS["m7_mart_sellers"] = "SELECT * FROM shops"
