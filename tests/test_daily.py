@@ -59,3 +59,18 @@ def test_bad_raw_tables_stop_the_build(spark, tables):
         refresh_marts(tables, datetime(2024, 1, 1), ORDERS_AS_OF)
     with pytest.raises(Exception):
         tables.table("mart_sales", "marts")
+
+
+def test_marts_with_versions(spark, tables):
+    """Marts as tables with versions: a reader of the first day keeps it through the second."""
+    inputs, plain = tables
+    versioned = Tables(spark, plain.root, versioned=True)
+    load_products(inputs, versioned, date(2024, 1, 1))
+    refresh_marts(versioned, datetime(2024, 1, 1), ORDERS_AS_OF)
+    sales, prices = (versioned.table(name, "marts") for name in ("mart_sales", "mart_price_history"))
+    before = prices.count()
+    load_products(inputs, versioned, date(2024, 1, 2))
+    refresh_marts(versioned, datetime(2024, 1, 2), ORDERS_AS_OF, datetime(2024, 1, 1), incremental_sales=True)
+    assert prices.count() == before < versioned.table("mart_price_history", "marts").count()
+    assert rows_of(versioned.table("mart_sales", "marts"), "order_id") == rows_of(sales, "order_id")
+    assert versioned.target("mart_sales", "marts").version().number == 2
