@@ -36,7 +36,7 @@ BEST = 10
 #: Terms of items, counted once per item, that one block holds, and bytes of these terms.
 BLOCK_TERMS = 1_000_000
 BLOCK_BYTES = 32 << 20
-#: Scores held at once in a task: classes times items.
+#: Scores, and pairs of a class's term and an item that holds it, held at once in a task.
 SCORES_AT_ONCE = 2_000_000
 
 BAG_SCHEMA = "doc_id {id}, n long, bag binary"
@@ -185,50 +185,61 @@ class _Best:
                 self.least[item] = -held[-1][0]
 
 
-def scores_of(bags: list[bytes], m: np.ndarray, weights: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Postings:
+    """The items that hold each term: those of term t are ``items[starts[t]:starts[t + 1]]``."""
+    starts: np.ndarray
+    items: np.ndarray
+    n_items: int
+    weight: np.ndarray
+
+
+def postings_of(block: Block, weight: np.ndarray) -> Postings:
+    order = np.argsort(block.of_term, kind="stable")
+    starts = np.searchsorted(block.of_term[order], np.arange(len(block.terms) + 1))
+    return Postings(starts, block.of_item[order], len(block.items), weight)
+
+
+def scores_of(bags: list[bytes], m: np.ndarray, postings: Postings) -> np.ndarray:
     """The score of each class (rows) for each item (columns), in 64-bit integers.
 
-    ``weights`` has a row per term and a column per item. Only terms of these bags are read.
+    Goes through the pairs of a class's term and an item that holds it, a bounded number at once.
     """
     pairs = np.frombuffer(b"".join(bags), dtype=np.int32).reshape(-1, 2).astype(np.int64)
-    sizes = np.array([len(b) // 8 for b in bags])
-    parts = (SCALE * pairs[:, 1]) // (1000 * pairs[:, 1] + 8 * np.repeat(m, sizes))
-    ends = np.cumsum(sizes)
-    scores = np.empty((len(bags), weights.shape[1]), dtype=np.int64)
-    for k, (start, end) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
-        scores[k] = parts[start:end] @ weights[pairs[start:end, 0]]
-    return scores
+    term, tf = pairs[:, 0], pairs[:, 1]
+    row = np.repeat(np.arange(len(bags)), [len(b) // 8 for b in bags])
+    part = postings.weight[term] * ((SCALE * tf) // (1000 * tf + 8 * m[row]))
+    first, size = postings.starts[term], postings.starts[term + 1] - postings.starts[term]
+    scores = np.zeros(len(bags) * postings.n_items, dtype=np.int64)
+    ends = np.cumsum(size)
+    cuts = np.searchsorted(ends, np.arange(SCORES_AT_ONCE, ends[-1] if len(ends) else 0, SCORES_AT_ONCE))
+    for at in np.split(np.arange(len(term)), np.unique(cuts)):
+        n = size[at]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        item = postings.items[np.repeat(first[at], n) + inside]
+        np.add.at(scores, np.repeat(row[at] * postings.n_items, n) + item, np.repeat(part[at], n))
+    return scores.reshape(len(bags), postings.n_items)
 
 
 def _hits(classes: DataFrame, block: Block, weight: np.ndarray, best: int, kind: str) -> DataFrame:
     """item, score and members of the classes that may hold one of an item's best documents.
 
     A document among an item's ``best`` is in one of the ``best`` classes by score and first
-    member, in its task as in all. Items of a block go in slices, so that a task's weights and
-    scores stay bounded.
+    member, in its task as in all.
     """
-    n_items = len(block.items)
+    postings = postings_of(block, weight)
+    numbers = block.items
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _Best(n_items, best)
-        slices = []
-        width = max(1, SCORES_AT_ONCE // max(500, len(block.terms)))
-        for first in range(0, n_items, width):
-            inside = (block.of_item >= first) & (block.of_item < first + width)
-            slices.append((first, block.of_item[inside] - first, block.of_term[inside]))
-        dense = None
+        found = _Best(postings.n_items, best)
+        at_once = max(1, SCORES_AT_ONCE // postings.n_items)
         for batch in batches:
             bags, m = as_bytes(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
-            members = batch.column(2).to_pylist()
-            rows = []
-            for first, items, terms in slices:
-                if dense is None or len(slices) > 1:
-                    dense = np.zeros((len(block.terms), min(width, n_items - first)), dtype=np.int64)
-                    dense[terms, items] = weight[terms]
-                rows.append(scores_of(bags, m, dense))
-            found.offer(np.concatenate(rows, axis=1), members)
-            of_ids = batch.column(2).type
-        hits = [(item, -hit[0], hit[3]) for item, held in zip(block.items.tolist(), found.held) for hit in held]
+            members, of_ids = batch.column(2).to_pylist(), batch.column(2).type
+            for start in range(0, len(bags), at_once):
+                now = slice(start, start + at_once)
+                found.offer(scores_of(bags[now], m[now], postings), members[now])
+        hits = [(item, -hit[0], hit[3]) for item, held in zip(numbers.tolist(), found.held) for hit in held]
         if hits:
             item, value, ids = zip(*hits)
             yield pa.RecordBatch.from_arrays(

@@ -61,7 +61,7 @@ def test_search_equals_scoring_each_document(spark):
 
 def test_blocks_of_items(spark, monkeypatch):
     monkeypatch.setattr(search, "BLOCK_TERMS", 12)
-    monkeypatch.setattr(search, "SCORES_AT_ONCE", 1000)
+    monkeypatch.setattr(search, "SCORES_AT_ONCE", 7)
     check(spark, random_texts(3, 120), list(enumerate(random_texts(4, 9))))
 
 
@@ -81,12 +81,16 @@ def test_classes_are_told_apart_by_the_bag(spark):
     assert {(bytes(c.bag), c.m): c.members for c in classes} == {k: sorted(v)[:10] for k, v in expected.items()}
 
 
-def test_scores_are_whole_numbers():
-    weights = np.array([[30_000, 0], [1, 29_999]])
+def test_scores_are_whole_numbers(monkeypatch):
+    block = search.Block([b"a", b"b"], np.array([5, 6]), np.array([0, 0, 1]), np.array([0, 1, 1]))
+    postings = search.postings_of(block, np.array([30_000, 29_999]))
     bag = np.array([[0, 2_000_000_000], [1, 3]], dtype=np.int32).tobytes()
-    found = search.scores_of([bag, bag], np.array([10, 10**12]), weights)
+    only = np.array([[1, 1]], dtype=np.int32).tobytes()
     part = [[(10**9 * tf) // (1000 * tf + 8 * m) for tf in (2_000_000_000, 3)] for m in (10, 10**12)]
-    assert found.tolist() == [[30_000 * a + b, 29_999 * b] for a, b in part]
+    expected = [[30_000 * a + 29_999 * b, 29_999 * b] for a, b in part] + [[29_999 * (10**9 // 1080)] * 2]
+    for at_once in (2_000_000, 2, 1):
+        monkeypatch.setattr(search, "SCORES_AT_ONCE", at_once)
+        assert search.scores_of([bag, bag, only], np.array([10, 10**12, 10]), postings).tolist() == expected
 
 
 def test_search_of_odd_rows(spark):
