@@ -240,8 +240,11 @@ def _column_report(df: DataFrame, table: str, rules: list[ColumnRules]) -> DataF
     A row gives an entry for each rule it breaks, and for each unique column its value; entries
     are counted by check and value, where each column has a key of its own type. A task adds up the
     entries it has, so a value that fills the table, or a column of NULLs, is one row of it.
+    Tables whose only keyed rule is one unique column need no entries, see :func:`_counted_report`.
     """
     keyed = [rule for rule in rules if rule.unique or rule.accepted]
+    if len(keyed) <= 1 and not any(rule.accepted for rule in rules):
+        return _counted_report(df, table, rules, keyed[0].column if keyed else None)
     names = [f"_key{i}" for i in range(len(keyed))]
 
     def entry(check: str, counts: str, rule: ColumnRules | None = None) -> Column:
@@ -273,6 +276,23 @@ def _column_report(df: DataFrame, table: str, rules: list[ColumnRules]) -> DataF
         .select("check", F.lit(table).alias("table"), "failures"))
 
 
+def _counted_report(df: DataFrame, table: str, rules: list[ColumnRules], key: str | None) -> DataFrame:
+    """NULLs of columns and repeated values of at most one: counted per value of that one, then in all."""
+    nulls = [rule.column for rule in rules if rule.not_null]
+    counts = [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)]
+    if key is None:
+        whole = df.agg(*counts)
+    else:
+        values = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *counts)
+        whole = values.agg(F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("_repeated"),
+                           *(F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}") for i in range(len(nulls))))
+    found = [(f"not_null_{c}", f"_null_{i}") for i, c in enumerate(nulls)]
+    found += [(f"unique_{key}", "_repeated")] if key else []
+    return whole.select(F.inline(F.array(*(F.struct(
+        F.lit(check).alias("check"), F.lit(table).alias("table"), F.col(n).cast("long").alias("failures"))
+        for check, n in found))))
+
+
 def run_suite(suite: Suite, tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: ``check, table, failures, status``.
 

@@ -133,3 +133,13 @@ def test_column_checks_read_a_table_once(spark, frame):
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 1
     assert Q.run_suite(suite, {"t": df.limit(0)}).where("failures > 0").count() == 0
+
+    for rules, exchanges in (((Q.ColumnRules("t", "a"), Q.ColumnRules("t", "d")), 1),
+                             ((Q.ColumnRules("t", "a", unique=True), Q.ColumnRules("t", "b"), Q.ColumnRules("t", "c")), 2)):
+        few = Q.run_suite(Q.Suite(rules), {"t": df})
+        got = {r.check: r.failures for r in few.collect()}
+        assert got == {check: n for check, n in (expected | {"not_null_c": Q.not_null(df, "c").count()}).items() if check in got}
+        assert len(got) == len(rules) + sum(r.unique for r in rules)
+        assert few._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+        assert few._jdf.queryExecution().sparkPlan().toString().count("Generate") <= exchanges
+        assert Q.run_suite(Q.Suite(rules), {"t": df.limit(0)}).where("failures > 0 OR failures IS NULL").count() == 0
