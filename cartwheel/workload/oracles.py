@@ -513,7 +513,7 @@ STATEMENTS["s1_csv_free_text"] = """
            CAST(NULL AS TIMESTAMP) AS review_answer_timestamp
     FROM conversations"""
 STATEMENTS["s1_csv_ranges"] = r"""
-    SELECT CAST(doc_id AS VARCHAR) AS review_id, source AS order_id, CAST(n_chars AS INTEGER) AS review_score,
+    SELECT CAST(doc_id AS VARCHAR) AS review_id, source AS order_id, CAST(n_chars AS BIGINT) AS review_score,
            lang AS review_comment_title, CAST(length(t) AS INTEGER) AS chars, sha256(t) AS digest
     FROM (SELECT *, NULLIF(text, '') AS t FROM documents)"""
 STATEMENTS["s2_jsonl_load"] = "SELECT * EXCLUDE (run_ts) FROM raw_marketplace"
