@@ -7,8 +7,10 @@ in other letters is found too. A joined window lays an item beside a place of a
 item and document are compared word by word, and the slots must be filled consistently: a value
 of the benchmark stands for one value of the document wherever it occurs.
 
-Only windows that few items have lay an item anywhere: a prompt that many items share gives no
-pairs of all its documents and all its items.
+Windows that few items have lay these items one by one. A window that many items share lays their
+class, the items with the same shared windows at the same places, as one; the class is
+expanded only where its items are compared, so that no table of all its documents and all its
+items is made, and none of them is left out.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ class Templates:
     holds; ``least``: words it holds anyway, all but one if the item has no more. Items with
     fewer are found as a whole. ``run``: words in a row that are a leak whatever their share.
     ``consistency``: the share of an item's slot values that one value of the document each
-    must stand for. ``shared``: a window of more items than that is a prompt and no mark of one.
+    must stand for. ``shared``: a window of more items than that is a prompt, which lays its items
+    as classes; that changes the work, not what is found.
     """
     window: int = 7
     short: int = 4
@@ -60,15 +63,16 @@ def template_words(text: Column) -> Column:
 
     Types: ``n`` a number, ``u`` a unit after a number, ``p`` a name (a capitalised word
     inside a sentence). No pattern repeats a group of alternatives: the regex engine would
-    recurse for each repeat, and a long row of separators would overflow its stack.
+    recurse for each repeat, and a long row of separators would overflow its stack. The patterns look
+    for the rare character first and behind it only there.
     """
     plain = F.translate(F.coalesce(text, F.lit("")), f"{_SLOT}\t\n\r", "    ")
     numbered = F.regexp_replace(plain, r"[0-9]+(?:[.,][0-9]+)*+", f" {_SLOT}n$0 ")
     units = F.regexp_replace(
         numbered, rf"({_SLOT}n[0-9.,]+) +(?i:({'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])", rf"$1 {_SLOT}u$2")
     united = F.when(F.contains(numbered, F.lit(_SLOT)), units).otherwise(numbered)
-    named = F.regexp_replace(united, r"(?<=[\p{Ll},;] {1,4})(\p{Lu}\p{Ll}+)", f"{_SLOT}p$1")
-    pointless = F.regexp_replace(F.lower(named), r"[.,](?![0-9])|(?<![0-9])[.,]", " ")
+    named = F.regexp_replace(united, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll},;] {1,4})\p{Lu}\p{Ll}+", f"{_SLOT}p$0")
+    pointless = F.regexp_replace(F.lower(named), r"[.,](?:(?![0-9])|(?<![0-9][.,]))", " ")
     return F.filter(F.split(pointless, rf"[^\p{{L}}\p{{M}}\p{{N}}{_SLOT}.,]+", -1), lambda word: word != "")
 
 
@@ -93,9 +97,8 @@ def _named(word: Column) -> Column:
 def _windows(texts: DataFrame, sizes: list[int]) -> DataFrame:
     """``texts`` (with ``words``) as a row per window of these sizes: hash and place.
 
-    Windows of different sizes have different hashes. If a text has names, its windows come
-    twice, with typed and with plain names. The array columns are made one by one, so that none is
-    computed twice.
+    Windows of different sizes have different hashes. A window with a name comes twice, with typed and
+    with plain names. The array columns are made one by one, so that none is computed twice.
     """
     kept = [c for c in texts.columns if c != "words"]
     none = F.array().cast("array<struct<hash:bigint,place:int>>")
@@ -103,19 +106,29 @@ def _windows(texts: DataFrame, sizes: list[int]) -> DataFrame:
     def hashes(form) -> Column:
         return F.transform("words", lambda w: F.xxhash64(form(w)))
 
-    def windows(hashed: str, size: int) -> Column:
-        starts = F.sequence(F.lit(0), F.size("words") - size)
+    def around(names: str, size: int) -> Column:
+        """Where windows of this size begin that hold a name."""
+        last = F.size("words") - size
+        return F.array_distinct(F.flatten(F.transform(names, lambda p: F.sequence(
+            F.greatest(p - size + 1, F.lit(0)), F.least(p, last)))))
+
+    def windows(hashed: str, size: int, starts: Column | None = None) -> Column:
+        starts = F.sequence(F.lit(0), F.size("words") - size) if starts is None else starts
         return F.when(F.size(hashed) >= size, F.transform(starts, lambda i: F.struct(
             F.xxhash64(F.slice(hashed, i + 1, size)).alias("hash"), i.alias("place")))).otherwise(none)
 
-    forms = {"typed": (hashes(_typed), [s for s in sizes if s >= LITERAL])}
-    forms["plain"] = (F.when(F.exists("words", lambda w: _is_slot(w, "p")), hashes(_named)), forms["typed"][1])
-    forms["literal"] = (hashes(_value), [s for s in sizes if s < LITERAL])
-    forms = {name: form for name, form in forms.items() if form[1]}
-    hashed = texts
-    for name, (column, _) in forms.items():
-        hashed = hashed.withColumn(name, column)
-    found = [windows(name, size) for name, (_, own) in forms.items() for size in own]
+    whole, literal = [s for s in sizes if s >= LITERAL], [s for s in sizes if s < LITERAL]
+    found, hashed = [], texts
+    if whole:
+        held = F.exists("words", lambda w: _is_slot(w, "p"))
+        places = F.filter(F.transform("words", lambda w, i: F.when(_is_slot(w, "p"), i)), lambda i: i.isNotNull())
+        hashed = hashed.withColumn("typed", hashes(_typed)).withColumn("names", F.when(held, places)).withColumn(
+            "plain", F.when(F.col("names").isNotNull(), hashes(_named)))
+        found += [windows("typed", size) for size in whole]
+        found += [windows("plain", size, around("names", size)) for size in whole]
+    if literal:
+        hashed = hashed.withColumn("literal", hashes(_value))
+        found += [windows("literal", size) for size in literal]
     made = hashed.select(*kept, F.explode(F.concat(none, *found)).alias("window"))
     return made.select(*kept, "window.hash", "window.place")
 
@@ -135,10 +148,12 @@ def _items(benchmark: DataFrame, rules: Templates) -> tuple[DataFrame, DataFrame
     return items, given.join(items, "words").select("item_id", "item")
 
 
-def _index(items: DataFrame, sizes: list[int], rules: Templates) -> DataFrame:
-    """(hash, item, item_place, n): the windows that lay an item beside a document.
+def _index(items: DataFrame, sizes: list[int], rules: Templates) -> tuple[DataFrame, DataFrame]:
+    """(hash, laid, laid_place, n): the windows that lay items beside a document, and (laid, item, words, n).
 
-    These are an item's windows that at most ``shared`` items have, or all if it has no such.
+    An item's windows that at most ``shared`` items have lay it as itself, or all if it has no such.
+    Its other windows lay its class, all items that have the same of them at the same places. Numbers of
+    classes are below 0; ``n`` is the number of words of a class's longest item.
     """
     windows = keep(reduce(DataFrame.unionByName, [
         _windows(items.where(F.col("size") == size).select("item", "n", "words"), [size]).distinct()
@@ -146,8 +161,19 @@ def _index(items: DataFrame, sizes: list[int], rules: Templates) -> DataFrame:
     held = windows.groupBy("hash").agg((F.count_distinct("item") <= rules.shared).alias("own"))
     marked = keep(windows.join(held, "hash"), "benchmark-shared")
     without = marked.groupBy("item").agg(F.max("own").alias("any")).where(~F.col("any"))
-    return marked.join(without, "item", "left").where("own OR any IS NOT NULL").select(
-        "hash", "item", F.col("place").alias("item_place"), "n")
+    single = marked.join(without, "item", "left").where("own OR any IS NOT NULL").select(
+        "hash", F.col("item").alias("laid"), F.col("place").alias("laid_place"), "n")
+    prompts = keep(marked.where("NOT own").join(without, "item", "left_anti").groupBy("item", "n").agg(
+        F.array_sort(F.collect_set(F.struct("hash", F.col("place").alias("laid_place")))).alias("marks")),
+        "benchmark-prompts")
+    classes = keep(prompts.groupBy("marks").agg((-1 - F.min("item")).alias("laid"), F.max("n").alias("n")),
+                   "benchmark-classes")
+    index = single.unionByName(classes.select("laid", "n", F.explode("marks").alias("mark")).select(
+        "mark.*", "laid", "n"))
+    members = prompts.select("item", "marks").join(classes.select("marks", "laid"), "marks").drop("marks").join(
+        items, "item")
+    laid_items = items.withColumn("laid", F.col("item")).unionByName(members)
+    return index, laid_items.select("laid", "item", "words", "n")
 
 
 def _identity() -> Column:
@@ -176,19 +202,19 @@ def _same_text(a: str, b: str) -> Column:
 
 
 def _laid(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """doc_id, text_id, item, shift, first and given: the words of a document around each place
-    where an item is laid. ``given`` starts at word ``first`` of the document."""
+    """doc_id, text_id, laid, shift, first and given: the words of a document around each place
+    where an item or class is laid. ``given`` starts at word ``first`` of the document."""
     ids = candidates.select("doc_id", "text_id").distinct()
     texts = docs.alias("d").join(_bounded(ids).alias("i"), _same_text("d", "i"), "left_semi")
     places = candidates.groupBy("doc_id", "text_id").agg(
-        F.collect_set(F.struct("item", "shift", "n")).alias("places"))
+        F.collect_set(F.struct("laid", "shift", "n")).alias("places"))
     once = texts.groupBy("doc_id", "text_id").agg(F.first("text").alias("text"))
     words = once.alias("d").join(places.alias("p"), _same_text("d", "p")).select(
         "d.doc_id", "d.text_id", "p.places", template_words(F.col("d.text")).alias("words"))
 
     def around(p: Column) -> Column:
         first = F.greatest(p["shift"] - 1, F.lit(0))
-        return F.struct(p["item"].alias("item"), p["shift"].alias("shift"), first.alias("first"),
+        return F.struct(p["laid"].alias("laid"), p["shift"].alias("shift"), first.alias("first"),
                         F.slice("words", first + 1, p["n"] + 2).alias("given"))
 
     cut = words.select("doc_id", "text_id", F.size("words").alias("doc_words"),
@@ -215,7 +241,7 @@ def _compared(laid: DataFrame, items: DataFrame, rules: Templates) -> DataFrame:
                         (here | says(asked, at(i, -1)) | says(asked, at(i, 1))).alias("near"),
                         _value(asked).alias("asked"), _value(at(i, 0)).alias("given"))
 
-    compared = laid.join(items, "item").withColumn(
+    compared = laid.join(items, "laid").withColumn(
         "at", F.transform(F.sequence(F.lit(0), F.col("n") - 1), compare))
     measured = compared.select(
         "doc_id", "text_id", "item", "n",
@@ -243,12 +269,14 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, rules: Templates) -> tuple[Dat
         return texts.where(F.lit(False)).select(
             "doc_id", "text_id", F.lit(0).cast("long").alias("item"), F.lit(0).alias("n"),
             F.lit(0).alias("n_words"), F.lit(False).alias("changed")), names
-    index = keep(_index(items, sizes, rules), "benchmark-index")
+    index, laid_items = _index(items, sizes, rules)
+    index = keep(index, "benchmark-index")
     windows = _windows(texts.select("doc_id", "text_id", template_words(F.col("text")).alias("words")), sizes)
-    candidates = keep(windows.join(_bounded(index), "hash").select(
-        "doc_id", "text_id", "item", (F.col("place") - F.col("item_place")).alias("shift"), "n").distinct(),
-        "candidates")
-    found = _compared(_laid(texts, candidates), items, rules)
+    places = keep(windows.join(_bounded(index), "hash").select(
+        "doc_id", "text_id", "laid", (F.col("place") - F.col("laid_place")).alias("shift"), "n").distinct(),
+        "places")
+    candidates = keep(places.where("laid >= 0"), "candidates").unionByName(places.where("laid < 0"))
+    found = _compared(_laid(texts, candidates), keep(laid_items, "benchmark-laid"), rules)
     return keep(found.groupBy("doc_id", "text_id", "item", "n").agg(
         F.max("n_words").alias("n_words"), F.max("changed").alias("changed")), "leaks"), names
 

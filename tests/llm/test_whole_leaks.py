@@ -175,3 +175,18 @@ def test_leaks_equal_a_plain_matcher(spark):
         texts.append(" ".join(r.choices(words, k=r.randint(0, 20)) + own + r.choices(words, k=r.randint(0, 6))))
     expected = brute_leaks(texts, items)
     assert found(spark, items, *texts) == expected and len(expected) > 100
+
+
+def test_items_that_share_a_prompt_are_all_found(spark):
+    """Thirty items begin with the same fourteen words, and a text holds these alone or with a tail."""
+    words = [a + b + c for a in "bcdfghjk" for b in "aeiou" for c in ("lo", "mi", "ra", "ns", "th")]
+    prompt = words[:14]
+    r = random.Random(5)
+    tails = [r.sample(words[14:], 4 + k % 9) for k in range(30)]
+    items = [" ".join(prompt + tail) for tail in tails]
+    cut = [w for k, w in enumerate(prompt) if k != 7]
+    texts = ["so it went " + " ".join(prompt) + " and no more", "then " + " ".join(prompt[:12]) + " alas",
+             " ".join(cut + tails[3]), "nothing of it here"]
+    hits = found(spark, items, *texts)
+    assert hits == brute_leaks(texts, items, decontam.Templates(shared=1000))
+    assert {k for d, k in hits if d == 0} == set(range(30)) and {d for d, _ in hits} == {0, 1, 2}
