@@ -1,8 +1,8 @@
 """Which rows a load changed, and which months of the sales fact that touches.
 
-Two states of a table are compared key by key: each task adds up a digest per key, so a
-key of any number of rows is one row before the shuffle, and a key changed if its digests
-or its number of rows differ. Changed keys are carried through the tables to orders, and from
+Two states of a table are compared key by key, in one grouping of both: each task adds up a digest
+per key, with a minus sign for the state before, so a key of any number of rows is one row before the
+shuffle, and a key changed if its digests or its number of rows do not cancel out. Changed keys are carried through the tables to orders, and from
 the orders' dates, before and after, to months.
 """
 
@@ -23,15 +23,15 @@ STAMP = "_loaded_at"
 Staged = Mapping[str, DataFrame]
 
 
-def _digests(rows: DataFrame, key: str) -> DataFrame:
-    """A row per key with the number of its rows and sums of their digests, in 128 bits."""
+def _digests(rows: DataFrame, key: str, sign: int) -> DataFrame:
+    """A row's key, ``sign``, and its digest of 128 bits in four numbers, with that sign."""
     # A hash passes over NULLs, so each column says itself whether it is one.
     values = [x for c in sorted(rows.columns) if c != STAMP for x in (F.col(c), F.col(c).isNull())]
     halves = rows.select(F.col(key), F.xxhash64(*values).alias("one"), F.xxhash64(F.lit(1), *values).alias("two"))
-    wide = "decimal(38,0)"
-    return halves.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("one").cast(wide)).alias("one"),
-        F.sum(F.col("two").cast(wide)).alias("two"))
+    # Numbers of 32 bits: their sums are exact without decimals.
+    return halves.select(key, F.lit(sign).alias("n"), *(
+        (F.lit(sign) * part).alias(f"{c}_{name}") for c in ("one", "two")
+        for name, part in (("high", F.shiftright(c, 32)), ("low", F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))))))
 
 
 def changed_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -41,11 +41,10 @@ def changed_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     has are not compared.
     """
     both = [c for c in before.columns if c in after.columns]
-    old, new = _digests(before.select(*both), key).alias("b"), _digests(after.select(*both), key).alias("a")
-    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in ("n", "one", "two")]
-    return old.join(new, F.col(f"b.{key}").eqNullSafe(F.col(f"a.{key}")), "full_outer").where(
-        ~(same[0] & same[1] & same[2])).select(
-        F.when(F.col("b.n").isNull(), F.col(f"a.{key}")).otherwise(F.col(f"b.{key}")).alias(key))
+    rows = _digests(before.select(*both), key, -1).unionByName(_digests(after.select(*both), key, 1))
+    sums = [c for c in rows.columns if c != key]
+    moved = rows.groupBy(key).agg(*(F.sum(c).alias(f"_{c}") for c in sums))
+    return moved.where(" OR ".join(f"_{c} <> 0" for c in sums)).select(key)
 
 
 def _with(rows_before: DataFrame, rows_after: DataFrame, keys: DataFrame, key: str, wanted: str) -> DataFrame:

@@ -9,7 +9,7 @@ table with versions; a month is computed from the orders of that month alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,31 +32,40 @@ _MOMENTS = "moments"
 def monthly_state(sales: DataFrame, enriched: DataFrame, reviews: DataFrame) -> DataFrame:
     """State by person and month, from the sales fact, enriched orders of any status, and reviews.
 
-    Reviews are reduced to orders once, and meet delivered and other orders at that grain.
+    Reviews are reduced to orders once, and meet delivered and other orders at that grain. Both
+    kinds of rows are added up in one grouping.
     """
     totals = review_totals(reviews)
     paid, on_time, kind = F.col("total_payment_brl"), F.col("is_on_time"), F.col("primary_payment_type")
     month = month_start(F.col("order_date")).alias(MONTH)
-    bought = sales.join(totals.drop("review_count"), "order_id", "left").groupBy(PERSON, month).agg(
-        F.count("order_id").alias("total_orders"),
+    bought = sales.join(totals.drop("review_count"), "order_id", "left").select(
+        PERSON, month, F.lit(True).alias("sold"), "order_id", "order_date", paid, "actual_delivery_days", on_time, kind,
+        "customer_state", "primary_category", "score_sum", "scored", "five_star", "low_score")
+    # A person's review average counts orders of any status.
+    reviewed = enriched.select("order_id", PERSON, month).join(totals.where("scored > 0"), "order_id").select(
+        PERSON, MONTH, F.col("score_sum").alias("any_score_sum"), F.col("scored").alias("any_scored"))
+    rows = bought.unionByName(reviewed, allowMissingColumns=True)
+    counts = {
+        "total_orders": F.count("order_id"), "paid_orders": F.count(paid),
+        "delivery_count": F.count("actual_delivery_days"),
+        "on_time": F.count_if(on_time), "late": F.count_if(~on_time),
+        **{f"{k}_orders": F.count_if(kind == k) for k in ("credit_card", "boleto", "voucher")}}
+    state = rows.groupBy(PERSON, MONTH).agg(
+        F.count("sold").alias("sold"), *(n.alias(name) for name, n in counts.items()),
         F.min("order_date").alias("first_order_date"), F.max("order_date").alias("last_order_date"),
-        F.count(paid).alias("paid_orders"), F.sum(paid.try_cast("decimal(28,8)")).alias("paid_exact"),
+        F.sum(paid.try_cast("decimal(28,8)")).alias("paid_exact"),
         F.sum(paid).alias("paid_plain"), F.max(F.abs(paid)).alias("paid_size"),
         F.min(paid).alias("min_paid"), F.max(paid).alias("max_paid"),
         F.avg(paid).alias("mean"), F.var_pop(paid).alias("variance"),
-        F.sum("actual_delivery_days").alias("delivery_sum"), F.count("actual_delivery_days").alias("delivery_count"),
-        F.count_if(on_time).alias("on_time"), F.count_if(~on_time).alias("late"),
-        *(F.count_if(kind == k).alias(f"{k}_orders") for k in ("credit_card", "boleto", "voucher")),
-        F.collect_set("customer_state").alias("states"), F.collect_set("primary_category").alias("categories"),
-        *(F.sum(c).alias(c) for c in ("score_sum", "scored", "five_star", "low_score")))
+        F.sum("actual_delivery_days").alias("delivery_sum"),
+        *(F.array_sort(F.collect_set(c)).alias(name) for c, name in zip(("customer_state", "primary_category"), _SETS)),
+        *(F.sum(c).alias(c) for c in ("score_sum", "scored", "five_star", "low_score", "any_score_sum", "any_scored")))
     moments = F.struct(F.col("paid_orders").alias("n"), F.col("mean"),
                        (F.col("variance") * F.col("paid_orders")).alias("squares"))
-    bought = bought.withColumn(_MOMENTS, F.when(F.col("paid_orders") > 0, moments)).drop("mean", "variance")
-    # A person's review average counts orders of any status.
-    reviewed = (
-        enriched.select("order_id", PERSON, month).join(totals.where("scored > 0"), "order_id")
-        .groupBy(PERSON, MONTH).agg(F.sum("score_sum").alias("any_score_sum"), F.sum("scored").alias("any_scored")))
-    return merged(bought.unionByName(reviewed, allowMissingColumns=True), PERSON, MONTH)
+    # Without an order there are no counts, as there are no sums.
+    return state.select(
+        PERSON, MONTH, *(F.when(F.col("sold") > 0, F.col(c)).alias(c) if c in counts else F.col(c) for c in _SUMS),
+        *_LEAST, *_MOST, *_SETS, F.when(F.col("paid_orders") > 0, moments).alias(_MOMENTS))
 
 
 def _joined_moments(held: str) -> Column:
@@ -121,6 +130,14 @@ def state_table(spark: SparkSession, path: str) -> VersionedTable:
     return VersionedTable(spark, path, MONTH)
 
 
+def _by_month(rows: DataFrame) -> Callable[[str], None]:
+    """Writes rows with the months brought together: few files a month, not one of each task.
+
+    Spark splits a large month over several tasks by its measured size.
+    """
+    return rows.hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH).parquet
+
+
 def refresh_state(table: VersionedTable, sales: DataFrame, enriched: DataFrame, reviews: DataFrame,
                   months: Iterable[date] | None = None) -> None:
     """Compute the state of some months anew (first days), all others stay; None for all months.
@@ -129,11 +146,12 @@ def refresh_state(table: VersionedTable, sales: DataFrame, enriched: DataFrame,
     touches both, see :func:`cartwheel.operators.changes.months_to_refresh`.
     """
     if months is None:
-        table.replace(monthly_state(sales, enriched, reviews).where(F.col(MONTH).isNotNull()))
+        rows = monthly_state(sales, enriched, reviews).where(F.col(MONTH).isNotNull())
+        table.replace(rows, _by_month(rows))
         return
     chosen = sorted(set(months))
     if chosen:
         inside = month_start(F.col("order_date")).isin(chosen)
         rows = monthly_state(sales.where(inside), enriched.where(inside), reviews)
         names = {m.isoformat() for m in chosen}
-        table.replace_partitions(rows, lambda month: month in names)
+        table.replace_partitions(rows, lambda month: month in names, _by_month(rows))

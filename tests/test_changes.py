@@ -96,3 +96,7 @@ def test_nothing_changed(spark, now):
     I.refresh_months(None, None, [])
 
 
+def test_states_are_compared_in_one_grouping(frame):
+    rows = frame(ROWS, ("a", 1, None), ("a", 1, None), ("b", 2, None))
+    plan = changes.changed_keys(rows, rows, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "decimal" not in plan and plan.count("Aggregate") == 1

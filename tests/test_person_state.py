@@ -100,3 +100,24 @@ def test_one_absurd_amount(frame, amount, shown):
                          frame(line, *[i[:4] for i in items]), frame(line + ", category_name_en string", *items), orders, reviews)
     got = {r.seller_id: r.total_revenue_brl for r in shops.collect()}
     assert got["s2"] == 5.25 and (got["s1"] == shown or math.isnan(shown) and math.isnan(got["s1"]))
+
+
+def test_a_month_is_not_a_file_of_each_task(spark, frame):
+    orders, reviews = random_orders(4, 400)
+    enriched, reviews = frame(ORDERS, *orders), frame(REVIEWS, *reviews)
+    table = S.state_table(spark, scratch_path(spark, "state"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        S.refresh_state(table, enriched.where("order_status = 'delivered'"), enriched, reviews)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = table.read().select(F.input_file_name().alias("file"), S.MONTH).distinct().groupBy(S.MONTH).count()
+    assert {r["count"] for r in files.collect()} == {1}
+    check(S.merged(table.read()), enriched, reviews)
+
+
+def test_a_person_and_month_is_grouped_once(frame):
+    orders, reviews = random_orders(5, 40)
+    state = state_of(frame(ORDERS, *orders), frame(REVIEWS, *reviews))
+    plan = state._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Aggregate [customer_unique_id") == 1
