@@ -3,6 +3,7 @@ from datetime import date, timedelta
 import pytest
 
 from cartwheel.operators import quality as Q
+from cartwheel.workload import inputs, queries
 from conftest import by_key, rows_of, ts
 
 HISTORY = "k string, dbt_scd_id string, dbt_valid_from timestamp, dbt_valid_to timestamp"
@@ -143,3 +144,12 @@ def test_column_checks_read_a_table_once(spark, frame):
         assert few._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
         assert few._jdf.queryExecution().sparkPlan().toString().count("Generate") <= exchanges
         assert Q.run_suite(Q.Suite(rules), {"t": df.limit(0)}).where("failures > 0 OR failures IS NULL").count() == 0
+
+
+def test_the_mart_suite_enriches_orders_once(spark, monkeypatch):
+    calls = []
+    whole = inputs.orders.orders_enriched
+    monkeypatch.setattr(inputs.orders, "orders_enriched", lambda *of: calls.append(1) or whole(*of))
+    report = queries.QUERIES["q10_mart_suite"](spark, "/root/testdata/sf0.001")
+    assert report.select("table").distinct().count() == 8
+    assert len(calls) == 1
