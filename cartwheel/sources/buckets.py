@@ -11,6 +11,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Stored bytes of the tables for one bucket, and the fewest buckets.
+BUCKET_BYTES, FEWEST_BUCKETS = 32 << 20, 8
+
+
+def buckets_for(stored: int) -> int:
+    """Buckets for tables of so many stored bytes in all, so that a bucket's share stays the same."""
+    return max(FEWEST_BUCKETS, -(-stored // BUCKET_BYTES))
+
+
 class BucketedTables:
     """Parquet tables below ``root``, in ``buckets`` files each, known to the session's catalog.
 

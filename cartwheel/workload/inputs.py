@@ -16,6 +16,7 @@ from cartwheel.operators import history as H
 from cartwheel.operators import staging as S
 from cartwheel.plans import calendar, customers, orders, prices, sellers
 from cartwheel.session import keep, tune
+from cartwheel.sources.replace import Folders
 
 RUN_TS = datetime(2024, 1, 31)
 ORDERS_AS_OF = date(2001, 8, 2)
@@ -36,6 +37,11 @@ class Inputs:
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def size(self, name: str) -> int:
+        """Bytes of a stored table, 1 at least."""
+        path = f"{self.folder}/{name}.parquet"
+        return max(1, sum(Folders(self.spark, path).data_files(path).values()))
+
     # --- raw tables ------------------------------------------------------
 
     def raw_orders(self) -> DataFrame:

@@ -23,7 +23,7 @@ from cartwheel.operators.ranking import Ntile, global_ntile
 from cartwheel.plans import calendar, customers, guards, metrics, orders, person_state, prices, sellers
 from cartwheel.session import keep, keep_all, scratch_path
 from cartwheel.sources import audit, catalog, drift, files, landing
-from cartwheel.sources.buckets import BucketedTables
+from cartwheel.sources.buckets import BucketedTables, buckets_for
 from cartwheel.sources.versions import VersionedTable
 from cartwheel.workload.inputs import ORDERS_AS_OF, PRICES_AS_OF, RUN_TS, Inputs
 
@@ -589,7 +589,8 @@ def _(t: Inputs) -> DataFrame:
 @query("j3_bucketed_sales")
 def _(t: Inputs) -> DataFrame:
     """The sales fact from enriched orders, items and reviews that are stored in buckets of the order."""
-    tables = BucketedTables(t.spark, scratch_path(t.spark, "buckets"), 8)
+    buckets = buckets_for(sum(map(t.size, ("customer", "part", "orders", "lineitem", "events"))))
+    tables = BucketedTables(t.spark, scratch_path(t.spark, "buckets"), buckets)
     stored = [tables.store(name, df, "order_id") for name, df in (
         ("enriched", t.orders_enriched()), ("items", t.items_enriched()), ("reviews", t.stg_reviews()))]
     return orders.mart_sales(*stored)

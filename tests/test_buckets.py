@@ -5,7 +5,8 @@ from conftest import rows_of
 
 from cartwheel.plans import orders
 from cartwheel.session import scratch_path
-from cartwheel.sources.buckets import BucketedTables
+from cartwheel.sources.buckets import BucketedTables, buckets_for
+from cartwheel.workload import queries
 from cartwheel.workload.inputs import Inputs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,3 +41,14 @@ def test_a_table_stored_again(spark):
     assert first.count() == 5
     with pytest.raises(ValueError):
         BucketedTables(spark, "/x", 0)
+
+
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    assert buckets_for(1) == buckets_for(100 << 20) == 8
+    assert buckets_for(6 << 30) == 192 and buckets_for(12 << 30) == 384
+    given = []
+    monkeypatch.setattr(Inputs, "size", lambda self, name: 1 << 30)
+    monkeypatch.setattr(queries, "BucketedTables", lambda spark, root, buckets: given.append(buckets) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        queries.QUERIES["j3_bucketed_sales"](spark, FOLDER)
+    assert given == [160]
