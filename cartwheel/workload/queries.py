@@ -31,6 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DROP_DATE = date(2024, 1, 31)
+#: Stored documents that go to one CSV file, several partitions of a reader.
+CSV_FILE_BYTES = 256 << 20
 
 
 def query(name: str):
@@ -77,7 +79,10 @@ def _(t: Inputs) -> DataFrame:
 
 @query("s1_csv_ranges")
 def _(t: Inputs) -> DataFrame:
-    """Whole documents in one CSV file, their line breaks inside quotes, read in byte ranges."""
+    """Whole documents in large CSV files, their line breaks inside quotes, read in byte ranges.
+
+    One file up to :data:`CSV_FILE_BYTES` of documents, as a file is written by one task.
+    """
     texts = t.source("documents").select(
         F.col("doc_id").cast("string").alias("review_id"), F.col("source").alias("order_id"),
         F.col("n_chars").alias("review_score"), F.col("lang").alias("review_comment_title"),
@@ -85,7 +90,7 @@ def _(t: Inputs) -> DataFrame:
         F.lit(RUN_TS).cast("timestamp").alias("review_creation_date"),
         F.lit(None).cast("timestamp").alias("review_answer_timestamp"))
     path = scratch_path(t.spark, "csv-documents")
-    files.write_csv(texts.coalesce(1), path)
+    files.write_csv(texts.coalesce(-(-t.size("documents") // CSV_FILE_BYTES)), path)
     read = files.read_csv_table(t.spark, path, schemas.REVIEWS, free_text=True, large=0)
     return read.select("review_id", "order_id", "review_score", "review_comment_title",
                        F.length("review_comment_message").alias("chars"),

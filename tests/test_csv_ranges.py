@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from cartwheel import schemas
 from cartwheel.session import scratch_path
 from cartwheel.sources import csv_ranges, files
+from cartwheel.workload import queries
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()),
                        T.StructField("more", T.StringType())])
@@ -120,3 +121,14 @@ def test_written_tables_read_back(spark, frame, small_ranges):
     files.write_csv(rows.coalesce(1), path)
     small_ranges(400)
     assert rows_of(files.read_csv_table(spark, path, SCHEMA, free_text=True), "id") == rows_of(rows, "id")
+
+
+def test_documents_are_written_by_more_tasks_the_more_they_are(spark, small_ranges, monkeypatch):
+    folder, tasks = "/root/testdata/sf0.001", []
+    query, write = queries.QUERIES["s1_csv_ranges"], files.write_csv
+    monkeypatch.setattr(files, "write_csv", lambda df, *more: tasks.append(df.rdd.getNumPartitions()) or write(df, *more))
+    one = rows_of(query(spark, folder), "review_id")
+    monkeypatch.setattr(queries, "CSV_FILE_BYTES", queries.Inputs(spark, folder).size("documents") // 3)
+    small_ranges(20_000)
+    assert rows_of(query(spark, folder), "review_id") == one
+    assert tasks[0] == 1 and 3 <= tasks[1] <= 4
