@@ -190,3 +190,11 @@ def test_items_that_share_a_prompt_are_all_found(spark):
     hits = found(spark, items, *texts)
     assert hits == brute_leaks(texts, items, decontam.Templates(shared=1000))
     assert {k for d, k in hits if d == 0} == set(range(30)) and {d for d, _ in hits} == {0, 1, 2}
+
+
+def test_the_pipeline_drops_documents_with_a_shared_prompt(spark):
+    words = [a + b + c for a in "bcdfghjk" for b in "aeiou" for c in ("lo", "mi", "ra", "ns", "th")]
+    items = [" ".join(words[:14] + words[20 + 4 * k:24 + 4 * k]) for k in range(25)]
+    docs = documents(spark, "so it went " + " ".join(words[:14]) + " and no more", "then " + " ".join(words[:8]))
+    left = decontam.remove_leaks(docs, spark.createDataFrame(list(enumerate(items)), ITEMS))
+    assert [r.doc_id for r in left.collect()] == [1]
