@@ -27,13 +27,16 @@ _SUMS = ("total_orders", "paid_orders", "paid_exact", "paid_plain", "delivery_su
 _LEAST, _MOST = ("first_order_date", "min_paid"), ("last_order_date", "max_paid", "paid_size")
 _SETS = ("states", "categories")
 _MOMENTS = "moments"
+#: What state takes of the sales fact.
+SALES = ("order_id", PERSON, "order_date", "customer_state", "primary_category", "total_payment_brl",
+         "actual_delivery_days", "is_on_time", "primary_payment_type")
 
 
 def monthly_state(sales: DataFrame, enriched: DataFrame, reviews: DataFrame) -> DataFrame:
     """State by person and month, from the sales fact, enriched orders of any status, and reviews.
 
     Reviews are reduced to orders once, and meet delivered and other orders at that grain. Both
-    kinds of rows are added up in one grouping.
+    kinds of rows are added up in one grouping. Of the sales fact only the columns :data:`SALES` are read.
     """
     totals = review_totals(reviews)
     paid, on_time, kind = F.col("total_payment_brl"), F.col("is_on_time"), F.col("primary_payment_type")

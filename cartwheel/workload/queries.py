@@ -1048,8 +1048,12 @@ def _(t: Inputs) -> DataFrame:
 
 @query("m3_day_delta")
 def _(t: Inputs) -> DataFrame:
-    """Lifetime of all orders up to a day, to which the orders of later days are merged."""
-    sales, enriched, reviews = keep(t.sales(), "sales"), t.orders_enriched(), t.stg_reviews()
+    """Lifetime of all orders up to a day, to which the orders of later days are merged.
+
+    The sales fact is stored for both parts with the columns that state takes of it.
+    """
+    sales = keep(t.sales().select(*person_state.SALES), "sales")
+    enriched, reviews = t.orders_enriched(), t.stg_reviews()
     late = F.col("order_date") > F.lit(date(2001, 6, 14))
     parts = [person_state.merged(person_state.monthly_state(sales.where(when), enriched.where(when), reviews))
              for when in (~late, late)]

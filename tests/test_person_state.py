@@ -12,6 +12,7 @@ from cartwheel.plans import customers as C
 from cartwheel.plans import person_state as S
 from cartwheel.plans.sellers import mart_sellers
 from cartwheel.session import scratch_path
+from cartwheel.workload import queries
 
 ORDERS = ("order_id string, customer_unique_id string, order_status string, order_date date, customer_state string, "
           "primary_category string, total_payment_brl double, actual_delivery_days int, is_on_time boolean, "
@@ -121,3 +122,19 @@ def test_a_person_and_month_is_grouped_once(frame):
     state = state_of(frame(ORDERS, *orders), frame(REVIEWS, *reviews))
     plan = state._jdf.queryExecution().analyzed().toString()
     assert plan.count("Aggregate [customer_unique_id") == 1
+
+
+def test_a_day_delta_stores_only_what_state_takes(spark, monkeypatch):
+    """Items are summed up for their category alone, without a distinct count of products."""
+    stored, keep = {}, queries.keep
+
+    def noted(df, label):
+        stored[label] = df
+        return keep(df, label)
+
+    monkeypatch.setattr(queries, "keep", noted)
+    queries.QUERIES["m3_day_delta"](spark, "/root/testdata/sf0.001")
+    plan = stored["sales"]._jdf.queryExecution().optimizedPlan().toString()
+    assert set(stored["sales"].columns) == set(S.SALES)
+    assert "lineitem" in plan or "l_partkey" in plan
+    assert "distinct" not in plan
