@@ -29,11 +29,12 @@ FAMILIES = {
 UNDETERMINED = "und"
 #: Hashed features of a text.
 FEATURES = 1 << 12
-#: Labelled rows the machines are fitted on, over all languages, and the most per language.
+#: Labelled rows the machines are fitted on, over all languages (one of each at least), and the most per language.
 FIT_ROWS = 3200
 FIT_ROWS_PER_LANGUAGE = 400
-#: Languages that can be learned.
+#: Families that vote one against one; more are bundled, and a bundle has so many parts.
 MAX_LANGUAGES = 200
+BUNDLE = 8
 #: A document is rejected when its score is below this.
 MIN_SCORE = 0.5
 
@@ -135,22 +136,42 @@ class Model:
     within: dict[str, list[Machine]]
 
 
-def fit(languages: list[str], rows: np.ndarray) -> Model:
-    """Fit all machines; a family or language needs one row at least."""
+@dataclass(frozen=True)
+class Bundles:
+    """Machines between bundles of families, and the model of each bundle."""
+    members: dict[str, Model | Bundles]
+    between: list[Machine]
+
+
+def _machines(names: list[str], of: list[str], rows: np.ndarray) -> list[Machine]:
+    result = []
+    for first, second in combinations(names, 2):
+        at = [i for i, x in enumerate(of) if x in (first, second)]
+        result.append(fit_machine(first, second, rows[at], np.array([of[i] == first for i in at])))
+    return result
+
+
+def fit(languages: list[str], rows: np.ndarray, most: int | None = None) -> Model | Bundles:
+    """Fit all machines; a family or language needs one row at least.
+
+    More than ``most`` families (:data:`MAX_LANGUAGES`) are bundled, neighbours in the alphabet together.
+    """
     families = [family_of(x) for x in languages]
+    names = sorted(set(families))
+    if len(names) > (MAX_LANGUAGES if most is None else most):
+        return _bundled(names, families, languages, rows)
+    members = {name: sorted({x for x, f in zip(languages, families) if f == name}) for name in names}
+    return Model(members, _machines(names, families, rows),
+                 {name: _machines(inner, languages, rows) for name, inner in members.items()})
 
-    def machines(names: list[str], of: list[str]) -> list[Machine]:
-        result = []
-        for first, second in combinations(names, 2):
-            at = [i for i, x in enumerate(of) if x in (first, second)]
-            result.append(fit_machine(first, second, rows[at],
-                                      np.array([of[i] == first for i in at])))
-        return result
 
-    members = {name: sorted({x for x, f in zip(languages, families) if f == name})
-               for name in sorted(set(families))}
-    return Model(members, machines(list(members), families),
-                 {name: machines(inner, languages) for name, inner in members.items()})
+def _bundled(names: list[str], families: list[str], languages: list[str], rows: np.ndarray) -> Bundles:
+    parts = np.array_split(np.array(names, dtype=object), min(BUNDLE, -(-len(names) // BUNDLE)))
+    bundle = {name: part[0] for part in parts for name in part}
+    of = [bundle[f] for f in families]
+    inside = {part[0]: [i for i, x in enumerate(of) if x == part[0]] for part in parts}
+    return Bundles({first: fit([languages[i] for i in at], rows[at], BUNDLE) for first, at in inside.items()},
+                   _machines(list(inside), of, rows))
 
 
 def _vote(names: list[str], machines: list[Machine], values: list[np.ndarray],
@@ -169,9 +190,10 @@ def _vote(names: list[str], machines: list[Machine], values: list[np.ndarray],
     return best, 1.0 / (1.0 + np.exp(-4.0 * np.clip(margin, -20, 20)))
 
 
-def predict(model: Model, texts: list[bytes]) -> tuple[list[str], list[float]]:
+def predict(model: Model | Bundles, texts: list[bytes]) -> tuple[list[str], list[float]]:
     """The language and the certainty (0 to 1) of each text."""
-    languages, scores = [], []
+    languages: list[str] = []
+    scores: list[float] = []
     for run in chunks([len(t) for t in texts]):
         part = texts[run]
         codes, starts = feature_codes(part)
@@ -189,6 +211,15 @@ def predict(model: Model, texts: list[bytes]) -> tuple[list[str], list[float]]:
 
         names = list(model.members)
         family, certainty = _vote(names, model.between, values(model.between), len(part))
+        if isinstance(model, Bundles):
+            found: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(part)
+            for k in set(family.tolist()):
+                at = np.flatnonzero(family == k)
+                for i, language, sure in zip(at, *predict(model.members[names[k]], [part[i] for i in at])):
+                    found[i] = (language, float(min(certainty[i], sure)))
+            languages += [language for language, _ in found]
+            scores += [score for _, score in found]
+            continue
         inner = {}
         for k in set(family.tolist()):
             members, machines = model.members[names[k]], model.within[names[k]]
@@ -206,21 +237,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame) -> Model | None:
+def learn(docs: DataFrame) -> Model | Bundles | None:
     """Fit on a bounded sample of labelled rows that are not held out; None without any.
 
     The sample has the rows with the lowest hashes of id and text, each row once:
-    :data:`FIT_ROWS_PER_LANGUAGE` of a language at most and :data:`FIT_ROWS` of all, whatever the ids. With more
-    than :data:`MAX_LANGUAGES` labels the most frequent ones are learned. What reaches the
-    driver is the feature rows of the sample.
+    :data:`FIT_ROWS_PER_LANGUAGE` of a language at most and :data:`FIT_ROWS` of all, whatever the ids, but one
+    of each label. Every label is learned. What reaches the driver is the feature rows of the sample.
     """
     usable = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
         & (F.length("text") > 0))
-    per_language = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    per_language = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not per_language:
         return None
-    want = min(FIT_ROWS_PER_LANGUAGE, FIT_ROWS // len(per_language))
+    want = max(1, min(FIT_ROWS_PER_LANGUAGE, FIT_ROWS // len(per_language)))
     sample = _lowest(usable, {row["lang"]: row["count"] for row in per_language}, want)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +292,7 @@ def _lowest(usable: DataFrame, counts: dict[str, int], want: int) -> DataFrame:
             shares[lang] = min(1.0, 16 * shares[lang])
 
 
-def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Model | Bundles | None = None) -> DataFrame:
     """The language of every whole text of ``docs`` (doc_id, text, and lang to learn from).
 
     Without ``model`` one is learned from ``docs`` first. Gives a row per input row: doc_id,

@@ -48,6 +48,22 @@ def test_more_labels_than_are_learned(spark, monkeypatch):
     assert "de" in names and names <= {"de", *(f"l{k:03}" for k in range(300))}
 
 
+@pytest.mark.parametrize("most, rows", [(200, 3200), (4, 3200), (4, 8)])
+def test_every_label_is_learned(spark, monkeypatch, most, rows):
+    """Also with more labels than families that vote one against one, and than rows of the sample."""
+    monkeypatch.setattr(language, "MAX_LANGUAGES", most)
+    monkeypatch.setattr(language, "FIT_ROWS", rows)
+    labels = {f"q{k:02}": [c + v + d for c in "bcdfg" for v in "aeiou"[k % 5] for d in "klmnprstvwxyz"[k % 13] + "hj"[k // 13]]
+              for k in range(21)}
+    docs = [(100 * k + n, " ".join(words[n % 5:] + words), name) for k, (name, words) in enumerate(labels.items())
+            for n in range(12 + k)]
+    table = labelled(spark, docs)
+    found = {r.doc_id: r.lang_pred for r in language.identify(table).collect()}
+    assert found == {doc_id: name for doc_id, _, name in docs}
+    kept = language.accept(table).groupBy("lang").count().collect()
+    assert {r.lang for r in kept} == set(labels)
+
+
 def plain_features(text):
     """Counts of hashed n-grams of 2, 3 and 4 folded bytes at each place."""
     folded = [ord(chr(b).lower()) if b < 128 and chr(b).isalpha() else 32 if b < 128 else b for b in text]
